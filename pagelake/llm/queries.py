@@ -6,26 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import quality, token_count
+from pagelake.llm import mixing, packing, quality, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op5_mixing": op5_mixing,
         "op7_quality": op7_quality,
+        "op8_packing": op8_packing,
         "op10_token_counts": op10_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_mixing": mixing.ORACLE,
+    }
