@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import mixing, packing, quality, simhash, token_count
+from pagelake.llm import mixing, packing, pii, quality, simhash, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir))
 
@@ -38,6 +42,7 @@ def queries() -> dict[str, Query]:
         "op5_mixing": op5_mixing,
         "op7_quality": op7_quality,
         "op8_packing": op8_packing,
+        "op9_personal_data": op9_personal_data,
         "op10_token_counts": op10_token_counts,
     }
 
