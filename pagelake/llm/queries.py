@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import mixing, packing, pii, quality, simhash, token_count
+from pagelake.llm import media, mixing, packing, pii, quality, simhash, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
         "op5_mixing": op5_mixing,
+        "op6_media": op6_media,
         "op7_quality": op7_quality,
         "op8_packing": op8_packing,
         "op9_personal_data": op9_personal_data,
