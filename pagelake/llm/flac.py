@@ -452,7 +452,7 @@ def _subframes(bits: _Bits, pos: np.ndarray, samples: np.ndarray, depth: np.ndar
                 warm.append(np.diff(warm[-1], axis=0))
             for j in range(o - 1, -1, -1):
                 d = np.cumsum(d, axis=0) + warm[j][-1]
-            out[o:, here] = d[: most - o]
+            out[o : o + len(d), here] = d
         for o in np.unique(order[linear]):
             here = linear[order[linear] == o]
             r = res[:, np.searchsorted(coded, here)]
