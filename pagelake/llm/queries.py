@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import media, mixing, packing, pii, quality, simhash, token_count
+from pagelake.llm import lm_score, media, mixing, packing, pii, quality, simhash, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(documents(spark, sf_dir))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(documents(spark, sf_dir))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -43,6 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op4_lm_scores": op4_lm_scores,
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
         "op7_quality": op7_quality,
