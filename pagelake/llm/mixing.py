@@ -99,6 +99,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """docs, columns as they are, with every row as often as the mix takes it (possibly never)."""
+    sized = sizes(docs)
+    planned = plan(save(sized.select("source", "size", "h"), "mix-sizes"), weights, share, most)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), column(docs, "source", "string"), row_hash(column(docs, "doc_id", "bigint")).alias("h"))
+    often = taken(rows, planned).filter("repeats > 0")
+    return often.select("doc", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select("doc.*")
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,

@@ -347,7 +347,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """docs with personal data in `text` replaced by its kind in angle brackets; null texts stay null."""
+    """docs with personal data in `text` replaced by its kind in angle brackets; null texts stay null.
+
+    A column n_chars, where docs has one, is set to the new length.
+    """
     weights = trained()
     ship(docs.sparkSession)
 
@@ -355,4 +358,5 @@ def mask(docs: DataFrame) -> DataFrame:
     def hide(texts):  # noqa: ANN001, ANN202
         return texts.map(lambda x: None if x is None else masked(x, find(x, weights)[1]))
 
-    return docs.withColumn("text", hide(column(docs, "text", "string"))).select(docs.columns)
+    out = docs.withColumn("text", hide(column(docs, "text", "string")))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

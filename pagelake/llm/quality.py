@@ -12,8 +12,9 @@ from collections import Counter
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pagelake.llm.common import per_text
+from pagelake.llm.common import column, per_text, ship
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -88,3 +89,14 @@ def quality(docs: DataFrame) -> DataFrame:
     null. Only doc_id and text are read, so other columns do not matter. No shuffle: a map over the scan.
     """
     return per_text(docs, measure, SCHEMA)
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of docs that the rules keep, columns as they are; null and empty texts are rejected."""
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def kept(raws):  # noqa: ANN001, ANN202
+        return raws.map(lambda raw: measure(raw)[-1])
+
+    return docs.filter(kept(F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary")))

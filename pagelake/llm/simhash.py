@@ -221,10 +221,40 @@ def components(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> D
     texts meet in one fingerprint, which is all that the search sees, so copies are never paired.
     """
     fps = save(fingerprints(docs, width), "fingerprints")
+    return fps.join(_named(fps, radius), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id", "n_same")
+
+
+def _named(fps: DataFrame, radius: int) -> DataFrame:
+    """fp, root (a fingerprint of its component), component_id and n_same of every distinct fingerprint."""
     distinct = save(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same")), "distinct")
     edges = save(links(distinct.select("fp"), radius), "links")
     roots = connected_components(edges) if not edges.isEmpty() else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("fp", "component_id", "n_same")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id", "n_same")
+    return named.join(ids, "root").select("fp", "root", "component_id", "n_same")
+
+
+def one_of_each(docs: DataFrame, width: int, radius: int) -> DataFrame:
+    """The rows of docs, columns as they are, with one row of each component: that of the smallest doc_id.
+
+    Ties are broken by a hash of the whole row; of rows that are alike in every column one stays. A null doc_id
+    comes last. Rows are hashed, not paired, so a group of any size costs one aggregate.
+    """
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def fp_of(raws):  # noqa: ANN001, ANN202
+        return raws.map(lambda raw: int(np.uint64(fingerprint(raw, width)).astype(np.int64)))
+
+    hashed = F.xxhash64(*[docs[c] for c in docs.columns])
+    raw = F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary")
+    keys = save(docs.select(column(docs, "doc_id", "bigint"), hashed.alias("row_hash"), fp_of(raw).alias("fp")), "row-keys")
+    named = _named(keys.select("doc_id", "fp"), radius).select("fp", "root")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
+    first = keys.join(named, "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
+    alike = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("alike"))
+    stays = save(first.alias("f").join(alike.alias("a"), F.col("f.row_hash").eqNullSafe(F.col("a.row_hash")) & F.col("f.doc_id").eqNullSafe(F.col("a.doc_id"))).select(F.col("f.doc_id").alias("keep_id"), F.col("f.row_hash").alias("keep_hash"), "alike"), "stays")
+    out = docs.withColumn("row_hash_", hashed).join(stays, (F.col("row_hash_") == F.col("keep_hash")) & column(docs, "doc_id", "bigint").eqNullSafe(F.col("keep_id")))
+    once = out.filter("alike = 1").select(docs.columns)
+    several = out.filter("alike > 1").dropDuplicates(["keep_hash", "keep_id"]).select(docs.columns)
+    return once.unionByName(several)
