@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import lm_score, media, mixing, packing, pii, quality, simhash, token_count
+from pagelake.llm import lm_score, media, mixing, packing, pii, quality, simhash, suffix_dedup, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_simhash": op2_simhash,
         "op4_lm_scores": op4_lm_scores,
         "op5_mixing": op5_mixing,
