@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import lm_score, media, mixing, packing, pii, quality, simhash, suffix_dedup, token_count
+from pagelake.llm import license_scan, lm_score, media, mixing, packing, pii, quality, simhash, suffix_dedup, token_count
 from pagelake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(documents(spark, sf_dir))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(documents(spark, sf_dir))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_simhash": op2_simhash,
+        "op3_license_scan": op3_license_scan,
         "op4_lm_scores": op4_lm_scores,
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
