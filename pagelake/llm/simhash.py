@@ -25,6 +25,8 @@ from pagelake.llm.components import connected_components
 SEED, BITS, SHINGLE, RADIUS = 42, 64, 3, 2
 #: Distinct fingerprints in the sample that the parts and thresholds are fitted on, at most.
 SAMPLE = 4_096
+#: What dealing out one probe costs, in comparisons of two fingerprints that already lie together.
+PROBE = 64
 #: Buckets of more fingerprints are split again by the bits that their part leaves.
 CROWD = 4_096
 
@@ -101,7 +103,7 @@ def plan(sample: np.ndarray, n: int, radius: int = RADIUS) -> list[tuple[tuple[i
         for bits in groups:
             value = extract(sample, bits)
             apart = np.bincount(np.bitwise_count(value[: len(few), None] ^ value[None]).ravel(), minlength=BITS + 1) / max(1, len(few) * len(sample))
-            costs.append({t: sum(math.comb(len(bits), d) for d in range(t + 1)) + (n * float(apart[: t + 1].sum()) if t >= 0 else 0.0) for t in range(-1, radius + 1)})
+            costs.append({t: PROBE * sum(math.comb(len(bits), d) for d in range(t + 1)) + (n * float(apart[: t + 1].sum()) if t >= 0 else 0.0) for t in range(-1, radius + 1)})
         chosen = allocate(costs, radius - parts + 1)
         found.append((sum(c[t] for c, t in zip(costs, chosen, strict=True)), [(b, t) for b, t in zip(groups, chosen, strict=True) if t >= 0]))
     return min(found, key=lambda x: x[0])[1]
