@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+from pagelake.plans import order_queries, set_queries, text_queries
+
+ALL = set_queries.QUERIES | order_queries.QUERIES | text_queries.QUERIES
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: f for name, (f, _) in ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in ALL.items() if sql}
