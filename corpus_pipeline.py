@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pagelake.llm import mixing, packing, pii, quality, simhash
 from pagelake.llm.common import save
 
-#: Words in a shingle and differing bits at most, for near-duplicates in the pipeline.
-SHINGLE, RADIUS = 5, 3
+#: Words in a shingle, differing bits at most, and similarity from which texts are near-duplicates in the pipeline.
+SHINGLE, RADIUS, SIMILARITY = 5, 2, 0.8
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    return simhash.one_of_each(docs, SHINGLE, RADIUS)
+    return simhash.one_of_each(docs, SHINGLE, RADIUS, SIMILARITY)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,12 +14,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import column, forget, per_text, save, ship
+from pagelake.llm.common import column, per_text, save, ship, small
 from pagelake.llm.components import connected_components
 
 SEED, BITS, SHINGLE, RADIUS = 42, 64, 3, 2
@@ -31,21 +32,30 @@ PROBE = 64
 CROWD = 4_096
 
 
-def fingerprint(raw: bytes, width: int = SHINGLE) -> int:
-    """A bit is 1 if it is set in over half the hashes of the text's shingles; no words: 0."""
+def shingle_hashes(raw: bytes, width: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, repeats included, in parts of bounded size; a shorter text is one shingle."""
     words = raw.lower().split()
     if not words:
-        return 0
+        return
     hashed = functools.partial(xxhash.xxh64_intdigest, seed=SEED)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else iter([b" ".join(words)])
+    while part := list(itertools.islice(shingles, 65_536)):
+        yield np.fromiter(map(hashed, part), np.uint64, len(part))
+
+
+def majority(parts: list[np.ndarray]) -> int:
     ones, n = np.zeros(BITS, np.int64), 0
-    while part := list(itertools.islice(shingles if isinstance(shingles, Iterator) else (shingles := iter(shingles)), 65_536)):
-        h = np.fromiter(map(hashed, part), np.uint64, len(part))
+    for h in parts:
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        n += len(part)
+        n += len(h)
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(raw: bytes, width: int = SHINGLE) -> int:
+    """A bit is 1 if it is set in over half the hashes of the text's shingles; no words: 0."""
+    return majority(list(shingle_hashes(raw, width)))
+
+
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of every row."""
     return per_text(docs, lambda raw: (np.uint64(fingerprint(raw, width)).astype(np.int64).item(),), "fp long")
@@ -226,37 +236,93 @@ def components(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> D
     return fps.join(_named(fps, radius), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id", "n_same")
 
 
-def _named(fps: DataFrame, radius: int) -> DataFrame:
-    """fp, root (a fingerprint of its component), component_id and n_same of every distinct fingerprint."""
+def _named(fps: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:
+    """fp, root (a fingerprint of its component), component_id and n_same of every distinct fingerprint.
+
+    more: further edges (a, b) between fingerprints.
+    """
     distinct = save(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same")), "distinct")
-    edges = save(links(distinct.select("fp"), radius), "links")
+    edges = links(distinct.select("fp"), radius)
+    edges = save(edges if more is None else edges.union(more.select("a", "b")), "links")
     roots = connected_components(edges) if not edges.isEmpty() else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return named.join(ids, "root").select("fp", "root", "component_id", "n_same")
 
 
-def one_of_each(docs: DataFrame, width: int, radius: int) -> DataFrame:
+#: Minima in a band and bands: texts of Jaccard similarity 0.8 share a band with probability 0.9998.
+BAND, N_BANDS = 4, 16
+
+
+def minima(parts: list[np.ndarray]) -> list[int]:
+    """A key for each band: the smallest of the shingle hashes under each of its multipliers, hashed together."""
+    if not parts:
+        return [0] * N_BANDS
+    h = np.unique(np.concatenate(parts))
+    factors = np.array([xxhash.xxh64_intdigest(b"%d" % k, seed=1) | 1 for k in range(BAND * N_BANDS)], np.uint64)
+    least = np.array([(h * f).min() for f in factors], np.uint64).reshape(N_BANDS, BAND)
+    return [xxhash.xxh64_intdigest(b"%d:" % k + least[k].tobytes()) - (1 << 63) for k in range(N_BANDS)]
+
+
+def alike(a: bytes, b: bytes, width: int) -> float:
+    """Jaccard similarity of two texts' sets of shingles."""
+    x, y = (np.unique(np.concatenate([*shingle_hashes(t, width), np.zeros(0, np.uint64)])) for t in (a, b))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def similar(keys: DataFrame, rows: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges (a, b) between fingerprints whose texts are alike by `similarity` or more.
+
+    64 bits cannot tell such pairs from others: at similarity 0.8 about ten of them differ. So candidates are texts
+    that share a band of minima of the same shingle hashes. Within a band's bucket each text is compared with two
+    hubs, so a bucket of any size gives two pairs a text; pairs are then verified on whole texts.
+    keys: doc_id, row_hash, fp, bands. rows: doc_id, row_hash, raw.
+    """
+    ship(keys.sparkSession)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "bands")
+    reps = save(keys.groupBy("fp").agg(F.min(place).alias("p")).select("fp", "p.doc_id", "p.row_hash", "p.bands"), "near-texts")
+    bands = reps.select("fp", F.explode("bands").alias("band"))
+    hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("fp").alias("h1"), F.min_by("fp", F.xxhash64("fp")).alias("h2")).filter("n > 1")
+    pairs = bands.join(hubs, "band").select(F.explode(F.array(F.struct("fp", F.col("h1").alias("hub")), F.struct("fp", F.col("h2").alias("hub")))).alias("p"))
+    pairs = save(pairs.select(F.col("p.fp").alias("a"), F.col("p.hub").alias("b")).filter("a <> b").distinct(), "near-pairs")
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    texts_ = reps.select("fp", "doc_id", "row_hash").join(asked, "fp").withColumnRenamed("doc_id", "d").withColumnRenamed("row_hash", "r")
+    got = rows.join(small(texts_, 100_000), F.col("row_hash").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("fp", "raw")
+    got = save(got.groupBy("fp").agg(F.min("raw").alias("raw")), "near-raw")
+    both = pairs.join(got.select(F.col("fp").alias("a"), F.col("raw").alias("raw_a")), "a").join(got.select(F.col("fp").alias("b"), F.col("raw").alias("raw_b")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [alike(x, y, width) >= similarity for x, y in zip(batch["raw_a"].to_pylist(), batch["raw_b"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.select("a", "b", "raw_a", "raw_b").mapInArrow(verify, "a long, b long")
+
+
+def one_of_each(docs: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
     """The rows of docs, columns as they are, with one row of each component: that of the smallest doc_id.
 
-    Ties are broken by a hash of the whole row; of rows that are alike in every column one stays. A null doc_id
-    comes last. Rows are hashed, not paired, so a group of any size costs one aggregate.
+    Texts are linked by fingerprints within the radius and by shingle similarity. Ties are broken by a hash of the
+    whole row; of rows that are alike in every column one stays. A null doc_id comes last. No group is paired out.
     """
     ship(docs.sparkSession)
 
-    @F.pandas_udf("long")
-    def fp_of(raws):  # noqa: ANN001, ANN202
-        return raws.map(lambda raw: int(np.uint64(fingerprint(raw, width)).astype(np.int64)))
+    @F.pandas_udf("struct<fp:long,bands:array<long>>")
+    def keys_of(raws: pd.Series) -> pd.DataFrame:
+        parts = [list(shingle_hashes(raw, width)) for raw in raws]
+        return pd.DataFrame({"fp": [int(np.uint64(majority(p)).astype(np.int64)) for p in parts], "bands": [minima(p) for p in parts]})
 
     hashed = F.xxhash64(*[docs[c] for c in docs.columns])
-    raw = F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary")
-    keys = save(docs.select(column(docs, "doc_id", "bigint"), hashed.alias("row_hash"), fp_of(raw).alias("fp")), "row-keys")
-    named = _named(keys.select("doc_id", "fp"), radius).select("fp", "root")
+    rows = docs.select(column(docs, "doc_id", "bigint"), hashed.alias("row_hash"), F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary").alias("raw"))
+    keys = save(rows.withColumn("k", keys_of("raw")).select("doc_id", "row_hash", "k.fp", "k.bands"), "row-keys")
+    named = _named(keys.select("doc_id", "fp"), radius, similar(keys, rows, width, similarity)).select("fp", "root")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
-    first = keys.join(named, "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
-    alike = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("alike"))
-    stays = save(first.alias("f").join(alike.alias("a"), F.col("f.row_hash").eqNullSafe(F.col("a.row_hash")) & F.col("f.doc_id").eqNullSafe(F.col("a.doc_id"))).select(F.col("f.doc_id").alias("keep_id"), F.col("f.row_hash").alias("keep_hash"), "alike"), "stays")
+    first = keys.select("doc_id", "row_hash", "fp").join(named, "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
+    copies = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("copies"))
+    stays = first.alias("f").join(copies.alias("a"), F.col("f.row_hash").eqNullSafe(F.col("a.row_hash")) & F.col("f.doc_id").eqNullSafe(F.col("a.doc_id")))
+    stays = save(stays.select(F.col("f.doc_id").alias("keep_id"), F.col("f.row_hash").alias("keep_hash"), "copies"), "stays")
     out = docs.withColumn("row_hash_", hashed).join(stays, (F.col("row_hash_") == F.col("keep_hash")) & column(docs, "doc_id", "bigint").eqNullSafe(F.col("keep_id")))
-    once = out.filter("alike = 1").select(docs.columns)
-    several = out.filter("alike > 1").dropDuplicates(["keep_hash", "keep_id"]).select(docs.columns)
+    once = out.filter("copies = 1").select(docs.columns)
+    several = out.filter("copies > 1").dropDuplicates(["keep_hash", "keep_id"]).select(docs.columns)
     return once.unionByName(several)
