@@ -322,7 +322,7 @@ def one_of_each(docs: DataFrame, width: int, radius: int, similarity: float) ->
     copies = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("copies"))
     stays = first.alias("f").join(copies.alias("a"), F.col("f.row_hash").eqNullSafe(F.col("a.row_hash")) & F.col("f.doc_id").eqNullSafe(F.col("a.doc_id")))
     stays = save(stays.select(F.col("f.doc_id").alias("keep_id"), F.col("f.row_hash").alias("keep_hash"), "copies"), "stays")
-    out = docs.withColumn("row_hash_", hashed).join(stays, (F.col("row_hash_") == F.col("keep_hash")) & column(docs, "doc_id", "bigint").eqNullSafe(F.col("keep_id")))
-    once = out.filter("copies = 1").select(docs.columns)
-    several = out.filter("copies > 1").dropDuplicates(["keep_hash", "keep_id"]).select(docs.columns)
-    return once.unionByName(several)
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), column(docs, "doc_id", "bigint"), hashed.alias("row_hash"))
+    out = whole.join(stays, F.col("row_hash").eqNullSafe(F.col("keep_hash")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    once = out.filter("copies = 1").select("doc.*")
+    return once.unionByName(out.filter("copies > 1").dropDuplicates(["keep_hash", "keep_id"]).select("doc.*"))

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM  # an anchor lies up to so many bytes after its string's start
 REACH = SPAN + WIDTH  # bytes of an anchor's context
 #: Bytes of text in a block, about; bytes that are hashed together.
-BLOCK, TOGETHER = 24_000_000, 400_000
+BLOCK, TOGETHER = 12_000_000, 400_000
 #: An anchor in more task outputs than this goes by its strings, one by one, so that no shard gets all of it.
 CROWD = 20_000
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
@@ -106,6 +107,26 @@ def _pack(x: np.ndarray) -> bytes:
     return x.tobytes()
 
 
+def _stretches(*columns: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches of equal tuples."""
+    n = len(columns[0])
+    if not n:
+        return [], []
+    new = np.ones(n, bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    starts = np.flatnonzero(new).tolist()
+    return starts, [*starts[1:], n]
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    fields = [x.split() for x in schema.split(", ")]
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
+
+
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (h % np.uint64(shards)).astype(np.int64)
 
@@ -132,15 +153,15 @@ def smallest_by_string(group: np.ndarray, rows: np.ndarray, left: np.ndarray, si
     column c also starts, in a context of the same group, in a smaller document.
     """
     m = len(rows)
-    wide = np.concatenate([rows, np.zeros((m, 3), np.uint8)], axis=1).astype(np.int64)
+    wide = np.concatenate([rows, np.zeros((m, 3), np.uint8)], axis=1).astype(np.int32)
     sampled = np.array([c for c in range(REACH - 2) if c % 3])
-    triple = np.zeros((m, REACH), np.int64)
+    triple = np.zeros((m, REACH), np.int32)
     triple[:, sampled] = wide[:, sampled] << 16 | wide[:, sampled + 1] << 8 | wide[:, sampled + 2]
 
     def named(x: np.ndarray, step: int, spans: int) -> np.ndarray:
         """Names of (x[c], x[c + step], x[c + 2 step]) at sampled columns with so many bytes to come."""
         cols = np.array([c for c in range(REACH - spans + 1) if c % 3])
-        out = np.zeros((m, REACH), np.int64)
+        out = np.zeros((m, REACH), np.int32)
         out[:, cols] = names(x[:, cols].ravel(), x[:, cols + step].ravel(), x[:, cols + 2 * step].ravel()).reshape(m, len(cols))
         return out
 
@@ -171,6 +192,10 @@ def smallest_by_string(group: np.ndarray, rows: np.ndarray, left: np.ndarray, si
 # ---------------------------------------------------------------- the operator
 
 
+SCANNED = "shard int, blocks binary, hashes binary, often binary"
+FOUND = "block int, shard int, hashes binary, crowd binary"
+
+
 def _scan(docs: DataFrame, shards: int) -> DataFrame:
     """(shard, block, hashes): the short hashes of anchors, by block, of each task."""
 
@@ -178,32 +203,72 @@ def _scan(docs: DataFrame, shards: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             block, h = np.concatenate([b for b, _ in held]), np.concatenate([x for _, x in held])
+            held.clear()
             shard, brief = shard_of(h, shards), short(h)
             order = np.lexsort((brief, block, shard))
             shard, block, brief = shard[order], block[order], brief[order]
-            fresh = np.concatenate([[True], (shard[1:] != shard[:-1]) | (block[1:] != block[:-1]) | (brief[1:] != brief[:-1])])
-            often = np.diff(np.append(np.flatnonzero(fresh), len(fresh))) > 1  # twice in a block already
-            shard, block, brief = shard[fresh], block[fresh], brief[fresh]
-            edge = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1])]))
-            ends = np.append(edge[1:], len(shard))
-            blobs = [(int(shard[i]), _pack(block[i:j].astype(np.int32)), _pack(brief[i:j]), _pack(often[i:j])) for i, j in zip(edge.tolist(), ends.tolist(), strict=True)]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*blobs, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["shard", "blocks", "hashes", "often"])
+            starts, ends = _stretches(shard, block, brief)
+            often = np.subtract(ends, starts) > 1  # twice in a block already
+            shard, block, brief = shard[starts], block[starts], brief[starts]
+            rows = [(int(shard[i]), _pack(block[i:j].astype(np.int32)), _pack(brief[i:j]), _pack(often[i:j])) for i, j in zip(*_stretches(shard), strict=True)]
+            yield from _table(rows, SCANNED).to_batches()
 
         for batch in batches:
             block = batch["block"].to_numpy()
             for doc, _, h in anchors(batch["raw"].to_pylist(), False):
                 held.append((block[doc], h))
                 count += len(h)
-            if count > 4_000_000:
-                yield out()
+            if count > 2_000_000:
+                yield from out()
                 count = 0
         if held:
-            yield out()
+            yield from out()
+
+    return docs.select("block", "raw").mapInArrow(run, SCANNED)
 
-    return docs.select("block", "raw").mapInArrow(run, "shard int, blocks binary, hashes binary, often binary")
+
+PACKED = "block int, ranks binary, sizes binary, data binary"
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The texts of each task by block, compressed together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[int, bytes]]] = {}
+        total = 0
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for block, rows in held.items():
+                ranks, sizes = np.array([r for r, _ in rows], np.int64), np.array([len(x) for _, x in rows], np.int64)
+                yield from _table([(block, _pack(ranks), _pack(sizes), squeeze(b"".join(x for _, x in rows)))], PACKED).to_batches()
+            held.clear()
+
+        for batch in batches:
+            for block, rank, raw in zip(batch["block"].to_pylist(), batch["rank"].to_pylist(), batch["raw"].to_pylist(), strict=True):
+                held.setdefault(block, []).append((rank, raw))
+                total += len(raw)
+            if total > 2 * BLOCK:
+                yield from out()
+                total = 0
+        yield from out()
+
+    return docs.select("block", "rank", "raw").mapInArrow(run, PACKED)
+
+
+def _texts(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """Ranks and texts of packed rows."""
+    ranks, raws = [np.zeros(0, np.int64)], []
+    for r, s, data in zip(table["ranks"].to_pylist(), table["sizes"].to_pylist(), table["data"].to_pylist(), strict=True):
+        flat = zstandard.ZstdDecompressor().decompress(data)
+        ranks.append(np.frombuffer(r, np.int64))
+        at = 0
+        for n in np.frombuffer(s, np.int64).tolist():
+            raws.append(flat[at : at + n])
+            at += n
+    return np.concatenate(ranks), raws
 
 
 def _repeated(table: pa.Table) -> pa.Table:
@@ -217,13 +282,11 @@ def _repeated(table: pa.Table) -> pa.Table:
     block, h, crowd = block[keep], h[keep], (n > CROWD)[which[keep]]
     order = np.lexsort((h, block))
     block, h, crowd = block[order], h[order], crowd[order]
-    edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
-    rows = [(int(block[i]), table["shard"][0].as_py(), _pack(h[i:j]), _pack(crowd[i:j])) for i, j in zip(edge.tolist(), np.append(edge[1:], len(block)).tolist(), strict=True)]
-    cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["block", "shard", "hashes", "crowd"])
+    shard = table["shard"][0].as_py()
+    return _table([(int(block[i]), shard, _pack(h[i:j]), _pack(crowd[i:j])) for i, j in zip(*_stretches(block), strict=True)], FOUND)
 
 
-TOUCHED = "block int, doc_id long, rank long, raw binary, n_bytes long, kept_sha256 string, places binary, hashes binary, contexts binary"
+TOUCHED = "block int, doc_id long, n_bytes long, kept_sha256 string, ranks binary, sizes binary, data binary, counts binary, places binary, hashes binary, contexts binary"
 
 
 def _match(shards: int):
@@ -234,15 +297,14 @@ def _match(shards: int):
         crowd = np.concatenate([np.frombuffer(x, bool) for x in found["crowd"].to_pylist()]) if keys else np.zeros(0, bool)
         order = np.argsort(key)
         key, crowd = np.append(key[order], np.iinfo(np.uint64).max), np.append(crowd[order], False)
-        raws = docs["raw"].to_pylist()
+        ranks, raws = _texts(docs)
         mine: dict[int, list[np.ndarray]] = {}
         for doc, at, h, context in anchors(raws, True):
             k = short(h).astype(np.uint64) | shard_of(h, shards).astype(np.uint64) << np.uint64(32)
             i = np.searchsorted(key[:-1], k)
             good = np.flatnonzero(key[i] == k)
             doc, at, h, context, dense = doc[good], at[good], h[good], context[good], crowd[i[good]]
-            edge = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else []
-            for a, b in zip(edge, np.append(edge[1:], len(doc)) if len(doc) else [], strict=True):
+            for a, b in zip(*_stretches(doc), strict=True):
                 places, hashes, contexts, full = at[a:b], h[a:b], context[a:b], dense[a:b]
                 if full.any():  # each string by itself, marked by a place below zero
                     raw = np.frombuffer(raws[doc[a]], np.uint8)
@@ -251,57 +313,63 @@ def _match(shards: int):
                     value = _grams(raw, WIDTH)[s]
                     places, hashes, contexts = np.append(places[~full], -1 - s), np.append(hashes[~full], _mix(value + _B)), np.append(contexts[~full], _mix(value + _A))
                 mine[int(doc[a])] = [places.astype(np.int32), hashes, contexts]
-        none = np.zeros(0, np.uint8)
-        got = [mine.get(k, [none, none, none]) for k in range(len(raws))]
-        touched = [len(g[0]) > 0 for g in got]
-        cols = [docs["block"], docs["doc_id"], docs["rank"], pa.array([x if t else None for x, t in zip(raws, touched, strict=True)], pa.binary()), pa.array([len(x) for x in raws], pa.int64()),
-                pa.array([None if t else hashlib.sha256(x).hexdigest() for x, t in zip(raws, touched, strict=True)], pa.string()), *(pa.array([_pack(g[j]) for g in got], pa.binary()) for j in range(3))]
-        return pa.table(cols, names=[x.split()[0] for x in TOUCHED.split(", ")])
+        block = docs["block"][0].as_py() if docs.num_rows else None  # texts of a block that no shard knows are untouched
+        rows = [(block, None if r == LAST else int(r), len(x), hashlib.sha256(x).hexdigest(), *[None] * 7) for k, (r, x) in enumerate(zip(ranks.tolist(), raws, strict=True)) if k not in mine]
+        if mine:
+            data = zstandard.ZstdCompressor(level=3).compress(b"".join(raws[k] for k in mine))
+            sizes, counts = np.array([len(raws[k]) for k in mine], np.int64), np.array([len(v[0]) for v in mine.values()], np.int64)
+            rows.append((block, None, None, None, _pack(ranks[list(mine)]), _pack(sizes), data, _pack(counts), *[b"".join(_pack(v[j]) for v in mine.values()) for j in range(3)]))
+        return _table(rows, TOUCHED)
 
     return run
 
 
-def _state(table: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
-    """Of one block: anchors (row, place, rank, hash, context), and the number of each one's distinct (hash, context),
-    counted in the order of (shard, hash, context), with the first row of each in order of rank.
-    """
-    place = [np.frombuffer(x, np.int32) for x in table["places"].to_pylist()]
-    row = np.repeat(np.arange(len(place)), [len(x) for x in place])
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()])
-    context = np.concatenate([np.frombuffer(x, np.uint64) for x in table["contexts"].to_pylist()])
-    at, rank = np.concatenate(place).astype(np.int64), table["rank"].to_numpy()[row]
-    shard = shard_of(h, shards)
-    order = np.lexsort((rank, context, h, shard))
-    row, at, rank, h, context, shard = (x[order] for x in (row, at, rank, h, context, shard))
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (context[1:] != context[:-1])]) if len(h) else np.zeros(0, bool)
-    return row, at, rank, h, context, shard, new
+class _Block:
+    """A block's touched texts and their anchors, in the order of (shard, hash, context, rank)."""
+
+    def __init__(self, table: pa.Table, shards: int):
+        self.ranks, self.raws = _texts(table)
+        read = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
+        row = np.repeat(np.arange(len(self.raws)), read("counts", np.int64))
+        at, h, context = read("places", np.int32).astype(np.int64), read("hashes", np.uint64), read("contexts", np.uint64)
+        shard = shard_of(h, shards)
+        order = np.lexsort((self.ranks[row], context, h, shard))
+        self.row, h, context, self.shard = row[order], h[order], context[order], shard[order]
+        self.rank = self.ranks[self.row]
+        self.h, self.context = h, context
+        starts, ends = _stretches(h, context)
+        self.first, self.which = np.array(starts, np.int64), np.repeat(np.arange(len(starts)), np.subtract(ends, starts))
+        self.size = np.array([len(x) for x in self.raws], np.int64)
+        at = at[order]
+        alone = at < 0  # a string by itself
+        self.place = np.where(alone, -1 - at, at)
+        self.lo, self.hi = np.where(alone, self.place, np.maximum(self.place - SPAN, 0)), np.minimum(self.place + WIDTH, self.size[self.row])
+
+
+SENT = "shard int, block int, first long, hashes binary, contexts binary, ranks binary, lefts binary, sizes binary, bytes binary"
+TOLD = "block int, numbers binary, ranks binary, masks binary"
 
 
 def _send(shards: int):
-    def run(table: pa.Table) -> pa.Table:
-        """Of one block: for every shard the distinct (hash, context) with the smallest rank and the context's bytes."""
-        row, at, rank, h, context, shard, new = _state(table, shards)
-        first = np.flatnonzero(new)
-        raws = [np.frombuffer(x, np.uint8) for x in table["raw"].to_pylist()]
-        begin = np.cumsum([0, *(len(x) for x in raws)])
-        flat = np.concatenate(raws)
-        r, p = row[first], at[first]
-        alone = p < 0
-        p = np.where(alone, -1 - p, p)
-        size_of = np.diff(begin)[r]
-        lo, hi = np.where(alone, p, np.maximum(p - SPAN, 0)), np.minimum(p + WIDTH, size_of)
-        step = np.arange(REACH)
-        col = p[:, None] - SPAN + step
-        inside = (col >= lo[:, None]) & (col < hi[:, None])
-        rows = np.where(inside, flat[np.where(inside, begin[r][:, None] + col, 0)], 0).astype(np.uint8)
-        shard_first = shard[first]
-        edge = np.flatnonzero(np.concatenate([[True], shard_first[1:] != shard_first[:-1]]))
-        out = []
-        for i, j in zip(edge.tolist(), np.append(edge[1:], len(first)).tolist(), strict=True):
-            s = slice(i, j)
-            out.append((int(shard_first[i]), table["block"][0].as_py(), i, _pack(h[first][s]), _pack(context[first][s]), _pack(rank[first][s]), _pack((p - lo)[s].astype(np.uint8)), _pack((hi - lo)[s].astype(np.uint8)), _pack(rows[s])))
-        kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 6)
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["shard", "block", "first", "hashes", "contexts", "ranks", "lefts", "sizes", "bytes"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of every block: for each shard the distinct (hash, context) with the smallest rank and the context's bytes."""
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from block(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+
+    def block(table: pa.Table) -> pa.Table:
+        b = _Block(table, shards)
+        flat, begin = np.frombuffer(b"".join(b.raws), np.uint8), np.cumsum(b.size) - b.size
+        step, out = np.arange(REACH), []
+        for i, j in zip(*_stretches(b.shard[b.first]), strict=True):
+            f = b.first[i:j]
+            p, lo, hi, at = b.place[f], b.lo[f], b.hi[f], begin[b.row[f]]
+            col = (p - SPAN)[:, None] + step
+            inside = (col >= lo[:, None]) & (col < hi[:, None])
+            rows = flat[np.where(inside, at[:, None] + col, 0)]
+            rows[~inside] = 0
+            out.append((int(b.shard[f[0]]), table["block"][0].as_py(), i, _pack(b.h[f]), _pack(b.context[f]), _pack(b.rank[f]), _pack((p - lo).astype(np.uint8)), _pack((hi - lo).astype(np.uint8)), _pack(rows)))
+        return _table(out, SENT)
 
     return run
 
@@ -331,10 +399,7 @@ def _resolve(table: pa.Table) -> pa.Table:
     block, number, least, mask = block[tell], number[tell], least[tell], mask[tell]
     order = np.argsort(block, kind="stable")
     block, number, least, mask = block[order], number[order], least[order], mask[order]
-    edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
-    out = [(int(block[i]), _pack(number[i:j]), _pack(least[i:j]), _pack(mask[i:j].astype(np.int32))) for i, j in zip(edge.tolist(), np.append(edge[1:], len(block)).tolist(), strict=True)]
-    cols = list(zip(*out, strict=True)) if out else [()] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["block", "numbers", "ranks", "masks"])
+    return _table([(int(block[i]), _pack(number[i:j]), _pack(least[i:j]), _pack(mask[i:j].astype(np.int32))) for i, j in zip(*_stretches(block), strict=True)], TOLD)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -343,36 +408,32 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def _remove(shards: int, keep_bytes: bool):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         """Of one block: its touched documents without what smaller documents have."""
-        row, at, rank, _, _, _, new = _state(table, shards)
-        which = np.cumsum(new) - 1
-        least, mask = rank[new].copy(), np.zeros(int(new.sum()), np.int64)
+        if not table.num_rows:
+            return _table([], RESULT)
+        b = _Block(table, shards)
+        least, mask = b.rank[b.first].copy(), np.zeros(len(b.first), np.int64)
         for n, r, m in zip(told["numbers"].to_pylist(), told["ranks"].to_pylist(), told["masks"].to_pylist(), strict=True):
             n = np.frombuffer(n, np.int64)
             least[n], mask[n] = np.frombuffer(r, np.int64), np.frombuffer(m, np.int32)
-        raws = table["raw"].to_pylist()
-        size = np.array([len(x) for x in raws], np.int64)
-        begin = np.cumsum(size + 1) - size - 1
-        change = np.zeros(int((size + 1).sum()) + 1, np.int32)
-        alone = at < 0
-        p = np.where(alone, -1 - at, at)
-        lo, hi = np.where(alone, p, np.maximum(p - SPAN, 0)), np.minimum(p + WIDTH, size[row])
-        gone = rank > least[which]
-        np.add.at(change, (begin[row] + lo)[gone], 1)
-        np.add.at(change, (begin[row] + hi)[gone], -1)
-        part = np.flatnonzero(~gone & (mask[which] > 0))
+        begin = np.cumsum(b.size + 1) - b.size - 1
+        change = np.zeros(int((b.size + 1).sum()) + 1, np.int32)
+        gone = b.rank > least[b.which]
+        np.add.at(change, (begin[b.row] + b.lo)[gone], 1)
+        np.add.at(change, (begin[b.row] + b.hi)[gone], -1)
+        part = np.flatnonzero(~gone & (mask[b.which] > 0))
         for c in range(SPAN + 1):
-            here = part[mask[which[part]] >> c & 1 > 0]
-            s = begin[row[here]] + p[here] - SPAN + c
+            here = part[mask[b.which[part]] >> c & 1 > 0]
+            s = begin[b.row[here]] + b.place[here] - SPAN + c
             np.add.at(change, s, 1)
             np.add.at(change, s + WIDTH, -1)
-        covered = np.cumsum(change) > 0
+        covered = np.cumsum(change, dtype=np.int32) > 0
         out = []
-        for k, raw in enumerate(raws):
-            c = covered[begin[k] : begin[k] + size[k]]
+        for k, raw in enumerate(b.raws):
+            c = covered[begin[k] : begin[k] + b.size[k]]
             kept = np.frombuffer(raw, np.uint8)[~c].tobytes()
-            out.append((table["doc_id"][k].as_py(), len(raw), int(c.sum()), int(c[:1].sum() + (c[1:] & ~c[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in RESULT.split(", ")])
+            rank = int(b.ranks[k])
+            out.append((None if rank == LAST else rank, len(raw), int(c.sum()), int(c[:1].sum() + (c[1:] & ~c[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+        return _table(out, RESULT)
 
     return run
 
@@ -392,14 +453,13 @@ def dedup(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     shards = max(4, -(-total // BLOCK))
     rows = rows.join(small(copies), "digest", "left").withColumn("copy", F.coalesce(F.col("rank") > F.col("least"), F.lit(False)))
     alone = rows.filter(~F.col("copy")).withColumn("block", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)).cast("int")).select("block", "doc_id", "rank", "raw")
-    found = _scan(alone, shards).groupBy("shard").applyInArrow(_repeated, "block int, shard int, hashes binary, crowd binary")
-    matched = save(alone.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_match(shards), TOUCHED), "matched")
-    touched = matched.filter("raw IS NOT NULL")
-    sent = touched.groupBy("block").applyInArrow(_send(shards), "shard int, block int, first long, hashes binary, contexts binary, ranks binary, lefts binary, sizes binary, bytes binary")
-    told = sent.groupBy("shard").applyInArrow(_resolve, "block int, numbers binary, ranks binary, masks binary")
+    found = _scan(alone, shards).groupBy("shard").applyInArrow(_repeated, FOUND)
+    matched = save(_packed(alone).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_match(shards), TOUCHED), "matched")
+    touched = matched.filter("data IS NOT NULL").drop("doc_id", "n_bytes", "kept_sha256")
+    told = touched.mapInArrow(_send(shards), SENT).groupBy("shard").applyInArrow(_resolve, TOLD)
     names_ = [x.split()[0] for x in RESULT.split(", ")]
     changed = touched.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_remove(shards, keep_bytes), RESULT)
-    same = matched.filter("raw IS NULL").select("doc_id", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), "kept_sha256", F.lit(None).cast("binary").alias("kept"))
+    same = matched.filter("data IS NULL").select("doc_id", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), "kept_sha256", F.lit(None).cast("binary").alias("kept"))
     if keep_bytes:
         whole = alone.select("doc_id", "raw", F.sha2("raw", 256).alias("sha")).alias("w")
         same = same.drop("kept").join(whole.select(F.col("doc_id").alias("d"), F.col("raw").alias("kept"), "sha").dropDuplicates(["d", "sha"]), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("kept_sha256") == F.col("sha"))).select(names_)
