@@ -80,7 +80,7 @@ def corpus_counts(train: DataFrame, name: str, class_of: np.ndarray) -> DataFram
         ids, pairs = np.zeros(len(class_of), np.int64), np.zeros(CLASSES * CLASSES, np.int64)
 
         def out(kind: str, keys: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys)), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys), pa.string()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
 
         for batch in batches:
             raws = batch["raw"].to_pylist()
