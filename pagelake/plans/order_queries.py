@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelake.functions.numbers import money
+from pagelake.operators import detect, extract, geometry
 from pagelake.operators import ordered as o
 from pagelake.sources.tables import table
 
@@ -129,6 +130,35 @@ def cumulative_share(spark: SparkSession, d: str) -> DataFrame:
     return s.select("s_suppkey", "s_nationkey", rank.alias("place"), run.cast("double").alias("running"), F.sum("v").over(w).cast("double").alias("total"))
 
 
+def link_items(spark: SparkSession, d: str) -> DataFrame:
+    e = _events(spark, d, "event_type")
+    e = e.withColumn("unit", o.running_unit(F.col("event_type") == "signup", BY, ORDER))
+    return extract.link_items(e, ["user_id", "unit"], "event_id", F.col("event_type") == "purchase", F.col("event_type") == "click")
+
+
+def span_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    x = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("volume"), F.concat("l_returnflag", "l_linestatus").alias("code"), F.col("l_partkey").alias("page"), F.when(F.col("l_linenumber") == 1, "title").when(F.col("l_linenumber") <= 3, "header").otherwise("inline").alias("evidence"))
+    held = detect.drop_weak(x, ["volume"])
+    seen = held.groupBy("volume", "code").agg(F.max("page").alias("last_seen"))
+    first = detect.starts(held, ["volume"]).join(seen.withColumn("last_seen", F.least("last_seen", F.lit(100).cast("bigint"))), ["volume", "code"])
+    pages = x.groupBy("volume").agg(F.max("page").alias("last_page"))
+    walls = table(spark, d, "supplier").select(F.col("s_suppkey").alias("volume"), (F.col("s_nationkey") * 40).cast("bigint").alias("page"))
+    return detect.spans(first, pages, ["volume"], walls).select("volume", "code", "start", "evidence", "end0", "end1", "end2")
+
+
+def _printed_words(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of benchmark items set as pages: six words a line, lines twelve points apart, slightly uneven."""
+    b = table(spark, d, "benchmark").select("item_id", F.posexplode(F.split("text", " ")).alias("word_id", "text")).filter("text <> ''")
+    k = F.col("word_id")
+    x0, y0 = (k % 6) * 80.0, F.floor(k / 6) * 12.0 + (k % 3) * 0.5
+    return b.select("item_id", k.cast("bigint").alias("word_id"), "text", x0.alias("u0"), (x0 + 40.0).alias("u1"), y0.alias("v0"), (y0 + 9.0).alias("v1"), F.lit(9.0).alias("size"))
+
+
+def page_cells(spark: SparkSession, d: str) -> DataFrame:
+    w = geometry.column_starts(geometry.row_bands(_printed_words(spark, d), ["item_id"]), ["item_id"])
+    return geometry.cells(w, ["item_id"])
+
+
 U = "u AS (SELECT *, count(CASE WHEN event_type = 'signup' THEN 1 END) OVER " + OVER + " AS unit FROM events)"
 RUNS = """d AS (SELECT DISTINCT l_suppkey, l_partkey AS n FROM lineitem),
 i AS (SELECT *, n - row_number() OVER (PARTITION BY l_suppkey ORDER BY n) AS g FROM d),
@@ -166,6 +196,26 @@ c AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY l_suppkey ORDER BY p) >
 k AS (SELECT *, CAST(sum(cut) OVER (PARTITION BY l_suppkey ORDER BY p) AS BIGINT) AS cluster FROM c)
 SELECT l_suppkey, cluster, count(*) AS n, min(p) AS lo, max(p) AS hi FROM k GROUP BY l_suppkey, cluster"""),
     "band_fold": (band_fold, None),
+    "link_items": (link_items, f"""WITH {U},
+n AS (SELECT *, event_type = 'purchase' AS a, event_type = 'click' AS i, count(CASE WHEN event_type = 'purchase' THEN 1 END) OVER w AS na, count(CASE WHEN event_type = 'click' THEN 1 END) OVER w AS ni,
+  count(CASE WHEN event_type = 'purchase' THEN 1 END) OVER v AS ka, count(CASE WHEN event_type = 'click' THEN 1 END) OVER v AS ki, max(CASE WHEN event_type = 'purchase' THEN event_id END) OVER v AS above
+  FROM u WINDOW w AS (PARTITION BY user_id, unit), v AS (PARTITION BY user_id, unit ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT user_id, unit, event_id AS item_row, NULL::BIGINT AS amount_row, 'implied' AS how FROM n WHERE i AND na = 0
+UNION ALL SELECT x.user_id, x.unit, x.event_id, y.event_id, 'paired' FROM n x JOIN n y ON x.user_id = y.user_id AND x.unit = y.unit AND x.ki = y.ka AND y.a WHERE x.i AND x.na = x.ni
+UNION ALL SELECT user_id, unit, event_id, above, CASE WHEN above IS NULL THEN 'issue' ELSE 'above' END FROM n WHERE i AND na > 0 AND na < ni
+UNION ALL SELECT x.user_id, x.unit, x.event_id, y.event_id, 'copied' FROM n x JOIN n y ON x.user_id = y.user_id AND x.unit = y.unit AND y.a WHERE x.i AND x.na > x.ni AND x.ki = 1"""),
+    "span_pipeline": (span_pipeline, """WITH x AS (SELECT l_suppkey AS volume, l_returnflag || l_linestatus AS code, l_partkey AS page, CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber <= 3 THEN 2 ELSE 3 END AS r FROM lineitem),
+i AS (SELECT *, page - dense_rank() OVER (PARTITION BY volume, code ORDER BY page) AS g FROM x WHERE r = 3),
+k AS (SELECT volume, code, page, r FROM (SELECT *, max(page) OVER w - min(page) OVER w + 1 AS n FROM i WINDOW w AS (PARTITION BY volume, code, g)) WHERE n >= 2),
+h AS (SELECT volume, code, page, r FROM x WHERE r < 3 UNION ALL SELECT * FROM k),
+f AS (SELECT volume, code, page AS start, CASE r WHEN 1 THEN 'title' WHEN 2 THEN 'header' ELSE 'inline' END AS evidence FROM h QUALIFY row_number() OVER (PARTITION BY volume, code ORDER BY r, page) = 1),
+s AS (SELECT volume, code, least(max(page), 100) AS last_seen FROM h GROUP BY volume, code), p AS (SELECT volume, max(page) AS last_page FROM x GROUP BY volume),
+e AS (SELECT f.*, last_seen, greatest(start, coalesce(lead(start) OVER (PARTITION BY f.volume ORDER BY start, f.code) - 1, last_page)) AS end0, CASE WHEN s_nationkey * 40 > start THEN CAST(s_nationkey * 40 AS BIGINT) END AS wall
+  FROM f JOIN s ON f.volume = s.volume AND f.code = s.code JOIN p ON f.volume = p.volume LEFT JOIN supplier ON s_suppkey = f.volume),
+e1 AS (SELECT *, CASE WHEN wall <= end0 THEN wall - 1 ELSE end0 END AS end1 FROM e)
+SELECT volume, code, start, evidence, end0, end1, greatest(end1, coalesce(last_seen, start)) AS end2 FROM e1"""),
+    "page_cells": (page_cells, """WITH w AS (SELECT item_id, unnest(string_split(text, ' ')) AS t, unnest(range(0, len(string_split(text, ' ')))) AS k FROM benchmark)
+SELECT item_id, CAST(dense_rank() OVER (PARTITION BY item_id ORDER BY k // 6) - 1 AS BIGINT) AS band, row_number() OVER (PARTITION BY item_id, k // 6 ORDER BY k) - 1 AS "column", t AS cell FROM w WHERE t <> ''"""),
     "cumulative_share": (cumulative_share, """WITH s AS (SELECT s_suppkey, s_nationkey, CAST(s_acctbal AS DECIMAL(18,2)) AS v FROM supplier)
 SELECT s_suppkey, s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY v DESC, s_suppkey) AS place,
   CAST(sum(v) OVER (PARTITION BY s_nationkey ORDER BY v DESC, s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running,

@@ -240,7 +240,6 @@ def continuation_merge(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy("user_id", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))), lambda c: c["event_type"]), " ").alias("text"))
 
 
-S18 = "CAST({} AS DECIMAL(18,2))"
 STATUS = "CASE WHEN computed IS NULL OR printed IS NULL THEN 'UNCHECKED' WHEN abs(printed - computed) = 0 THEN 'PASS' WHEN abs(printed - computed) <= 0.02 THEN 'ROUNDING' ELSE 'FAIL' END"
 
 QUERIES = {

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagelake.plans import order_queries, set_queries, text_queries
+from pagelake.streaming import incremental
 
-ALL = set_queries.QUERIES | order_queries.QUERIES | text_queries.QUERIES
+ALL = set_queries.QUERIES | order_queries.QUERIES | text_queries.QUERIES | incremental.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
