@@ -48,10 +48,10 @@ class Question:
     value: str | None = None
 
 
-def check_question(spark: SparkSession, q: Question) -> list[str]:
+def check_question(spark: SparkSession, q: Question, **args) -> list[str]:
     """What is wrong with a question: it fails, gives no row, or lacks the columns it draws."""
     try:
-        df = guarded(spark, q.sql)
+        df = guarded(spark, q.sql, **args)
         wrong = [f"no column {c}" for c in (q.label, q.value) if c and c not in df.columns]
         return wrong or ([] if df.limit(1).count() else ["no rows"])
     except Exception as e:  # the report names it
