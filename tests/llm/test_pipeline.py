@@ -3,7 +3,7 @@
 import collections
 
 import corpus_pipeline
-from conftest import cases, frame
+from samples import cases, frame
 from pagelake.llm import packing, pii, quality
 
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from conftest import cases, frame, prose
+from samples import cases, frame, prose
 from pagelake.llm import simhash
 from pagelake.llm.components import connected_components
 

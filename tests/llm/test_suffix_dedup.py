@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from conftest import cases, frame, prose
+from samples import cases, frame, prose
 from pagelake.llm import suffix_dedup
 
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import cases, frame, prose
+from samples import cases, frame, prose
 from pagelake.llm import attention, flac, license_scan, lm_score, media, mixing, packing, pii, quality, token_count
 from pagelake.llm.tokens import pre_tokens, word_ids
 
