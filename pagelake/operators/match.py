@@ -15,19 +15,22 @@ def match_names(left: DataFrame, right: DataFrame, name: str, prefix: int = 8) -
     """Three levels: the exact name; a unique prefix either way, among names that no exact match took; a unique equal
     name without blanks and signs, among all. Gives name, match (null if none) and level.
 
-    Names in a prefix relation share their first `prefix` characters (or are shorter), so blocks of these are joined
-    by equality and no pair outside a block is formed.
+    Names in a prefix relation share their first `prefix` characters, or the shorter one is a beginning of the other
+    of less than that; both are one equality join, and no pair outside a block is formed.
     """
     a, b = left.select(F.col(name).alias("a")).distinct(), right.select(F.col(name).alias("b")).distinct()
     exact = a.join(b, F.col("a") == F.col("b")).select("a", "b", F.lit("exact").alias("level"))
     rest, free = a.join(exact.select("a"), "a", "left_anti"), b.join(exact.select("b"), "b", "left_anti")
-    block = lambda c: F.substring(c, 1, prefix)
-    short_a, short_b = rest.filter(F.length("a") < prefix), free.filter(F.length("b") < prefix)
-    pairs = rest.join(free, block("a") == block("b")).select("a", "b")
-    # names shorter than a block: each of their lengths is one more equality
-    for n in range(1, prefix):
-        pairs = pairs.union(short_a.filter(F.length("a") == n).join(free, F.col("a") == F.substring("b", 1, n)).select("a", "b"))
-        pairs = pairs.union(rest.join(short_b.filter(F.length("b") == n), F.substring("a", 1, n) == F.col("b")).select("a", "b"))
+    heads = lambda c: F.transform(F.sequence(F.lit(1), F.least(F.length(c), F.lit(prefix - 1))), lambda n: F.substring(c, F.lit(1), n))
+    tagged = lambda t, keys: F.transform(keys, lambda k: F.concat(F.lit(t), k))
+
+    def keys(c: str, whole: str, begun: str) -> Column:
+        """A long name's block, a short name itself, and the beginnings that a short name of the other side may equal."""
+        short = F.length(c) < prefix
+        own = F.when(short, F.array(F.concat(F.lit(whole), F.col(c)))).otherwise(F.array(F.concat(F.lit("="), F.substring(c, 1, prefix))))
+        return F.explode(F.concat(own, F.when(F.length(c) > 0, tagged(begun, heads(F.col(c)))).otherwise(F.array().cast("array<string>"))))
+
+    pairs = rest.select("a", keys("a", "a", "b").alias("k")).join(free.select("b", keys("b", "b", "a").alias("k")), "k").select("a", "b")
     pairs = pairs.filter(F.col("a").startswith(F.col("b")) | F.col("b").startswith(F.col("a"))).distinct()
     begun = pairs.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).filter("n = 1").select("a", "b", F.lit("prefix").alias("level"))
     rest = rest.join(begun.select("a"), "a", "left_anti")
