@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -70,6 +71,12 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of shuffle files that no table needs any more; else they stay until the driver happens to collect garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has no more than so many rows, else as it is (a shuffle join follows)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import save, ship, small, texts
+from pagelake.llm.common import save, ship, small, texts, tidy
 
 WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM  # an anchor lies up to so many bytes after its string's start
@@ -28,6 +28,8 @@ REACH = SPAN + WIDTH  # bytes of an anchor's context
 BLOCK, TOGETHER = 12_000_000, 400_000
 #: An anchor in more task outputs than this goes by its strings, one by one, so that no shard gets all of it.
 CROWD = 20_000
+#: Contexts whose suffixes are sorted together, unless one group has more.
+CONTEXTS = 8_192
 LAST = (1 << 63) - 1  # stands for a null doc_id, which is smaller than none
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -368,7 +370,7 @@ def _send(shards: int):
             inside = (col >= lo[:, None]) & (col < hi[:, None])
             rows = flat[np.where(inside, at[:, None] + col, 0)]
             rows[~inside] = 0
-            out.append((int(b.shard[f[0]]), table["block"][0].as_py(), i, _pack(b.h[f]), _pack(b.context[f]), _pack(b.rank[f]), _pack((p - lo).astype(np.uint8)), _pack((hi - lo).astype(np.uint8)), _pack(rows)))
+            out.append((int(b.shard[f[0]]), table["block"][0].as_py(), i, _pack(b.h[f]), _pack(b.context[f]), _pack(b.rank[f]), _pack((p - lo).astype(np.uint8)), _pack((hi - lo).astype(np.uint8)), zstandard.ZstdCompressor(level=3).compress(_pack(rows))))
         return _table(out, SENT)
 
     return run
@@ -378,7 +380,7 @@ def _resolve(table: pa.Table) -> pa.Table:
     """Of one shard: for every block, which of its (hash, context) have a smaller rank elsewhere, and which strings."""
     read = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
     h, context, rank = read("hashes", np.uint64), read("contexts", np.uint64), read("ranks", np.int64)
-    left, size, rows = read("lefts", np.uint8).astype(np.int64), read("sizes", np.uint8).astype(np.int64), read("bytes", np.uint8).reshape(-1, REACH)
+    left, size, rows = read("lefts", np.uint8).astype(np.int64), read("sizes", np.uint8).astype(np.int64), np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for x in table["bytes"].to_pylist()), np.uint8).reshape(-1, REACH)
     lengths = [len(x) // 8 for x in table["hashes"].to_pylist()]
     block = np.repeat(table["block"].to_numpy(), lengths)
     number = np.concatenate([f + np.arange(n) for f, n in zip(table["first"].to_pylist(), lengths, strict=True)])
@@ -391,9 +393,17 @@ def _resolve(table: pa.Table) -> pa.Table:
     group = np.cumsum(new_h) - 1
     several = np.bincount(group[first])[group[first]] > 1
     bits = np.zeros(len(first), np.int64)
-    some = first[several]
-    if len(some):
-        bits[several] = smallest_by_string(group[some], rows[order[some]], left[some], size[some], rank[some])
+    some, at = first[several], np.flatnonzero(several)
+    starts, ends = _stretches(group[some])
+    i = 0
+    while i < len(starts):  # groups do not see each other, so a few at a time are enough
+        j = i + 1
+        while j < len(starts) and ends[j] - starts[i] <= CONTEXTS:
+            j += 1
+        c = slice(starts[i], ends[j - 1])
+        f = some[c]
+        bits[at[c]] = smallest_by_string(group[f], rows[order[f]], left[f], size[f], rank[f])
+        i = j
     least, mask = rank[first][which], bits[which]
     tell = (least < rank) | (mask > 0)
     block, number, least, mask = block[tell], number[tell], least[tell], mask[tell]
@@ -455,6 +465,8 @@ def dedup(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     alone = rows.filter(~F.col("copy")).withColumn("block", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)).cast("int")).select("block", "doc_id", "rank", "raw")
     found = _scan(alone, shards).groupBy("shard").applyInArrow(_repeated, FOUND)
     matched = save(_packed(alone).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_match(shards), TOUCHED), "matched")
+    del found
+    tidy(spark)
     touched = matched.filter("data IS NOT NULL").drop("doc_id", "n_bytes", "kept_sha256")
     told = touched.mapInArrow(_send(shards), SENT).groupBy("shard").applyInArrow(_resolve, TOLD)
     names_ = [x.split()[0] for x in RESULT.split(", ")]
