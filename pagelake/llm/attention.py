@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Width, hidden width, tokens in a window, and by how many the next window is further on.
-WIDTH, HIDDEN, WINDOW, STRIDE = 16, 32, 32, 24
+WIDTH, HIDDEN, WINDOW, STRIDE = 8, 16, 24, 20
 
 Params = dict[str, np.ndarray]
 
@@ -114,7 +114,7 @@ def train(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, len
     return p, loss
 
 
-def score(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, size: int = 256) -> np.ndarray:
+def score(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, size: int = 512) -> np.ndarray:
     """Natural log probability of every target class, by position."""
     out = np.zeros(len(seen), np.float64)
     for pos, ok, _ in batches(lengths, size):

@@ -53,11 +53,11 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir[0]
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    df.write.parquet(at, compression=codec)
     out = spark.read.schema(df.schema).parquet(at)
     out._saved_at = at
     return out

@@ -22,7 +22,7 @@ from pagelake.llm.common import save, ship, texts
 from pagelake.llm.tokens import WORD_BPE, library, word_ids
 
 #: Classes of ids; class 0 is both begin and end of a text, the last one holds all ids that are not common.
-CLASSES = 192
+CLASSES = 96
 #: Training rows, chosen by hash, that the attention weights and the classes are fitted on: about so many.
 SAMPLE = 4_000
 #: Shards that train side by side, rounds after which their weights are averaged, and steps in each.
@@ -39,9 +39,23 @@ def parted(docs: DataFrame) -> DataFrame:
     return texts(docs).select("doc_id", "raw", (F.crc32(key.cast("binary")) % HELD_OUT == 0).alias("held_out"), F.xxhash64(key).alias("h"))
 
 
-def _sequences(raws: list[bytes], encoder, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(context classes, target classes, target ids, lengths) of texts; the end is the last target, id = vocabulary size."""
-    ids = [np.frombuffer(encoder.ids(raw.decode(errors="replace")), "<u4").astype(np.int64) for raw in raws]
+def encoded(rows: DataFrame, name: str) -> DataFrame:
+    """rows with `ids`: the text's subword ids, 16 bits each. Written once, read by every later pass."""
+    if library(name).get_vocab_size() > 1 << 16:
+        raise ValueError("more ids than 16 bits hold")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_ids(name)
+        for batch in batches:
+            ids = [np.frombuffer(encoder.ids(x.as_py().decode(errors="replace")), "<u4").astype("<u2").tobytes() for x in batch["raw"]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, "ids"])
+
+    return rows.mapInArrow(run, "doc_id long, raw binary, held_out boolean, h long, ids binary")
+
+
+def _sequences(packed: list[bytes], class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(context classes, target classes, target ids, lengths) of id strings; the end is the last target, id = vocabulary size."""
+    ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in packed]
     end = np.array([len(class_of) - 1])
     target = np.concatenate([y for x in ids for y in (x, end)]) if ids else np.zeros(0, np.int64)
     lengths = np.array([len(x) + 1 for x in ids], np.int64)
@@ -54,16 +68,15 @@ def _classes(sample: DataFrame, name: str) -> np.ndarray:
     """Class of every id, from the counts of the sample; the end of text has class 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = word_ids(name), np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(encoder.ids(x.as_py().decode(errors="replace")) for x in batch["raw"]), "<u4")
-            got = np.bincount(ids)
+            got = np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u2"))
             total, got = (got, total) if len(got) > len(total) else (total, got)
             total[: len(got)] += got
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
 
-    top = sample.select("raw").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(CLASSES - 2).collect()
+    top = sample.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(CLASSES - 2).collect()
     size = library(name).get_vocab_size()
     out = np.full(size + 1, CLASSES - 1, np.int64)
     for k, r in enumerate(top):
@@ -72,21 +85,20 @@ def _classes(sample: DataFrame, name: str) -> np.ndarray:
     return out
 
 
-def corpus_counts(train: DataFrame, name: str, class_of: np.ndarray) -> DataFrame:
+def corpus_counts(train: DataFrame, class_of: np.ndarray) -> DataFrame:
     """(kind, key, n) over all rows: words 'w', ids 'i', pairs of classes 'p'; summed in the tasks, then by key."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, words = word_ids(name), Counter()
+        words: Counter = Counter()
         ids, pairs = np.zeros(len(class_of), np.int64), np.zeros(CLASSES * CLASSES, np.int64)
 
         def out(kind: str, keys: list, n: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys), pa.string()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
 
         for batch in batches:
-            raws = batch["raw"].to_pylist()
-            for raw in raws:
-                words.update(raw.lower().split())
-            seen, classes, target, _ = _sequences(raws, encoder, class_of)
+            for raw in batch["raw"]:
+                words.update(raw.as_py().lower().split())
+            seen, classes, target, _ = _sequences(batch["ids"].to_pylist(), class_of)
             np.add(ids, np.bincount(target, minlength=len(ids)), out=ids)
             np.add(pairs, np.bincount(seen * CLASSES + classes, minlength=len(pairs)), out=pairs)
             if len(words) >= GATHER:
@@ -97,7 +109,7 @@ def corpus_counts(train: DataFrame, name: str, class_of: np.ndarray) -> DataFram
             some = np.flatnonzero(table)
             yield out(kind, [b"%d" % x for x in some], table[some].tolist())
 
-    return train.select("raw").mapInArrow(gather, "kind string, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return train.select("raw", "ids").mapInArrow(gather, "kind string, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _table(counts: DataFrame, kind: str, size: int) -> np.ndarray:
@@ -108,7 +120,7 @@ def _table(counts: DataFrame, kind: str, size: int) -> np.ndarray:
     return out
 
 
-def fit(sample: DataFrame, name: str, class_of: np.ndarray, base: np.ndarray) -> attention.Params:
+def fit(sample: DataFrame, class_of: np.ndarray, base: np.ndarray) -> attention.Params:
     """Weights: shards of the sample train from the same start, and their averages start the next round."""
     spark = sample.sparkSession
     weights = attention.fresh(CLASSES)
@@ -116,14 +128,14 @@ def fit(sample: DataFrame, name: str, class_of: np.ndarray, base: np.ndarray) ->
         sent = spark.sparkContext.broadcast((weights, base, class_of))
 
         def shard(batches: Iterator[pa.RecordBatch], sent=sent, r=r) -> Iterator[pa.RecordBatch]:
-            raws = [x for batch in batches for x in batch["raw"].to_pylist()]
-            if raws:
+            packed = [x for batch in batches for x in batch["ids"].to_pylist()]
+            if packed:
                 start, usual, of = sent.value
-                seen, classes, _, lengths = _sequences(raws, word_ids(name), of)
+                seen, classes, _, lengths = _sequences(packed, of)
                 got, _ = attention.train(start, usual, seen, classes, lengths, STEPS, seed=r)
                 yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary())], names=["weights"])
 
-        trained = [pickle.loads(x["weights"]) for x in sample.select("raw", "h").repartition(SHARDS, F.pmod("h", F.lit(SHARDS))).sortWithinPartitions("h").select("raw").mapInArrow(shard, "weights binary").collect()]
+        trained = [pickle.loads(x["weights"]) for x in sample.repartition(SHARDS, F.pmod("h", F.lit(SHARDS))).sortWithinPartitions("h").select("ids").mapInArrow(shard, "weights binary").collect()]
         if trained:
             weights = {k: np.mean([t[k] for t in trained], axis=0).astype(np.float32) for k in weights}
     return weights
@@ -139,18 +151,18 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = parted(docs)
+    rows = save(encoded(parted(docs).select("doc_id", "raw", "held_out", "h"), name), "lm-tokens", "zstd")
     train = rows.filter(~F.col("held_out"))
     n_train = train.count()
     every = max(1, n_train // SAMPLE)
-    sample = save(train.filter(F.pmod("h", F.lit(every)) == 0).select("raw", "h"), "lm-sample")
+    sample = save(train.filter(F.pmod("h", F.lit(every)) == 0).select("ids", "h"), "lm-sample")
     class_of = _classes(sample, name)
-    counts = save(corpus_counts(train, name, class_of), "lm-counts")
+    counts = save(corpus_counts(train, class_of), "lm-counts")
     ids, pairs = _table(counts, "i", len(class_of)), _table(counts, "p", CLASSES * CLASSES).reshape(CLASSES, CLASSES)
     base = np.log((pairs + ALPHA) / (pairs.sum(axis=1, keepdims=True) + ALPHA * CLASSES)).astype(np.float32)
     in_class = np.bincount(class_of, ids + ALPHA, CLASSES)
     share = np.log((ids + ALPHA) / in_class[class_of])
-    weights = fit(sample, name, class_of, base)
+    weights = fit(sample, class_of, base)
     words = counts.filter("kind = 'w'").select("key", "n")
     n_words, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n_words + n_train, v + (n_train > 0)  # with the end token, once a row
@@ -160,10 +172,10 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, usual, of, shares, known, ends = sent.value
-        encoder, log = word_ids(name), math.log10
+        log = math.log10
         worth = {w: log(n + ALPHA) for w, n in known.items()}
         for batch in batches:
-            raws = batch["raw"].to_pylist()
+            raws, packed = batch["raw"].to_pylist(), batch["ids"].to_pylist()
             lm, n_tokens, n_known, first, rare = [], [], [], [], []
             at = 0
             while at < len(raws):  # so many bytes at a time
@@ -171,7 +183,7 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
                 while end < len(raws) and (end == at or held + len(raws[end]) < 500_000):
                     held += len(raws[end])
                     end += 1
-                seen, classes, target, lengths = _sequences(raws[at:end], encoder, of)
+                seen, classes, target, lengths = _sequences(packed[at:end], of)
                 got = attention.score(p, usual, seen, classes, lengths) + shares[target]
                 lm += (np.add.reduceat(got, np.cumsum(lengths) - lengths) / math.log(10)).tolist()
                 at = end

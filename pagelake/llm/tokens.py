@@ -14,8 +14,8 @@ import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
-#: Entries that a worker's cache holds; what comes after is worked out each time.
-CACHE = 400_000
+#: Entries that a worker's caches of chunks and of their parts hold; what comes after is worked out each time.
+CACHE, PARTS = 400_000, 800_000
 
 
 @functools.lru_cache
@@ -56,7 +56,7 @@ class WordIds(dict):
 
     def part(self, pre_token: str) -> bytes:
         ids = np.array([x.id for x in self.tokenizer.model.tokenize(in_bytes(pre_token))], "<u4").tobytes()
-        if len(self.parts) < CACHE and len(pre_token) <= 32:
+        if len(self.parts) < PARTS and len(pre_token) <= 32:
             self.parts[pre_token] = ids
         return ids
 
