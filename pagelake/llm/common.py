@@ -6,6 +6,7 @@ import functools
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -73,8 +74,10 @@ def forget(df: DataFrame) -> None:
 
 def tidy(spark: SparkSession) -> None:
     """Let go of shuffle files that no table needs any more; else they stay until the driver happens to collect garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first round frees what holds the plans, the second what the plans hold
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

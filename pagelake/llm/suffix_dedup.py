@@ -25,7 +25,7 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM  # an anchor lies up to so many bytes after its string's start
 REACH = SPAN + WIDTH  # bytes of an anchor's context
 #: Bytes of text in a block, about; bytes that are hashed together.
-BLOCK, TOGETHER = 12_000_000, 400_000
+BLOCK, TOGETHER = 8_000_000, 200_000
 #: An anchor in more task outputs than this goes by its strings, one by one, so that no shard gets all of it.
 CROWD = 20_000
 #: Contexts whose suffixes are sorted together, unless one group has more.
@@ -222,7 +222,7 @@ def _scan(docs: DataFrame, shards: int) -> DataFrame:
             for doc, _, h in anchors(batch["raw"].to_pylist(), False):
                 held.append((block[doc], h))
                 count += len(h)
-            if count > 2_000_000:
+            if count > 500_000:
                 yield from out()
                 count = 0
         if held:
@@ -252,7 +252,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             for block, rank, raw in zip(batch["block"].to_pylist(), batch["rank"].to_pylist(), batch["raw"].to_pylist(), strict=True):
                 held.setdefault(block, []).append((rank, raw))
                 total += len(raw)
-            if total > 2 * BLOCK:
+            if total > BLOCK:
                 yield from out()
                 total = 0
         yield from out()
