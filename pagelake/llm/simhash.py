@@ -236,15 +236,15 @@ def components(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> D
     return fps.join(_named(fps, radius), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id", "n_same")
 
 
-def _named(fps: DataFrame, radius: int, more: DataFrame | None = None) -> DataFrame:
-    """fp, root (a fingerprint of its component), component_id and n_same of every distinct fingerprint.
+def _roots(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node with an edge; nothing for no edges."""
+    return connected_components(edges) if not edges.isEmpty() else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-    more: further edges (a, b) between fingerprints.
-    """
+
+def _named(fps: DataFrame, radius: int) -> DataFrame:
+    """fp, root (a fingerprint of its component), component_id and n_same of every distinct fingerprint."""
     distinct = save(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_same")), "distinct")
-    edges = links(distinct.select("fp"), radius)
-    edges = save(edges if more is None else edges.union(more.select("a", "b")), "links")
-    roots = connected_components(edges) if not edges.isEmpty() else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = _roots(save(links(distinct.select("fp"), radius), "links"))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return named.join(ids, "root").select("fp", "root", "component_id", "n_same")
@@ -254,50 +254,105 @@ def _named(fps: DataFrame, radius: int, more: DataFrame | None = None) -> DataFr
 BAND, N_BANDS = 4, 16
 
 
-def minima(parts: list[np.ndarray]) -> list[int]:
-    """A key for each band: the smallest of the shingle hashes under each of its multipliers, hashed together."""
-    if not parts:
-        return [0] * N_BANDS
-    h = np.unique(np.concatenate(parts))
+def minima(h: np.ndarray) -> tuple[list[int], bytes]:
+    """Of a set of shingle hashes: a key for each band, and one byte of each minimum.
+
+    A minimum is the smallest of the hashes under its multiplier; those of a band are hashed together.
+    """
+    if not len(h):
+        return [0] * N_BANDS, bytes(BAND * N_BANDS)
     factors = np.array([xxhash.xxh64_intdigest(b"%d" % k, seed=1) | 1 for k in range(BAND * N_BANDS)], np.uint64)
     least = np.array([(h * f).min() for f in factors], np.uint64).reshape(N_BANDS, BAND)
-    return [xxhash.xxh64_intdigest(b"%d:" % k + least[k].tobytes()) - (1 << 63) for k in range(N_BANDS)]
+    keys = [xxhash.xxh64_intdigest(b"%d:" % k + least[k].tobytes()) - (1 << 63) for k in range(N_BANDS)]
+    return keys, bytes(xxhash.xxh64_intdigest(x.tobytes()) & 255 for x in least.ravel())
+
+
+def shingle_set(raw: bytes, width: int) -> np.ndarray:
+    return np.unique(np.concatenate([*shingle_hashes(raw, width), np.zeros(0, np.uint64)]))
 
 
-def alike(a: bytes, b: bytes, width: int) -> float:
-    """Jaccard similarity of two texts' sets of shingles."""
-    x, y = (np.unique(np.concatenate([*shingle_hashes(t, width), np.zeros(0, np.uint64)])) for t in (a, b))
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def similar(keys: DataFrame, rows: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Edges (a, b) between fingerprints whose texts are alike by `similarity` or more.
+def fewest_equal(similarity: float) -> int:
+    """Equal minima from which a pair is compared: alike texts have fewer in under one pair of 10 ** 9."""
+    n, below = BAND * N_BANDS, 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)
+        if below > 1e-9:
+            return k
+    return n
+
+
+def similar(keys: DataFrame, rows: DataFrame, named: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(node, root) of the groups of `named` (fp, root) that texts alike by `similarity` or more join.
 
     64 bits cannot tell such pairs from others: at similarity 0.8 about ten of them differ. So candidates are texts
-    that share a band of minima of the same shingle hashes. Within a band's bucket each text is compared with two
-    hubs, so a bucket of any size gives two pairs a text; pairs are then verified on whole texts.
-    keys: doc_id, row_hash, fp, bands. rows: doc_id, row_hash, raw.
+    that share a band of minima of the same shingle hashes. Within a band's bucket hubs are compared with all texts
+    of other groups and then leave it, twice as many in each round, until the bucket holds one group only. So every
+    pair of a bucket is either compared or already in one group, and a group around some original costs few hubs:
+    texts that share most buckets become hubs first. Pairs are verified on whole texts.
+    keys: doc_id, row_hash, node (of a shingle set and fp), fp, n, sketch, bands. rows: doc_id, row_hash, raw.
     """
     ship(keys.sparkSession)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "bands")
-    reps = save(keys.groupBy("fp").agg(F.min(place).alias("p")).select("fp", "p.doc_id", "p.row_hash", "p.bands"), "near-texts")
-    bands = reps.select("fp", F.explode("bands").alias("band"))
-    hubs = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("fp").alias("h1"), F.min_by("fp", F.xxhash64("fp")).alias("h2")).filter("n > 1")
-    pairs = bands.join(hubs, "band").select(F.explode(F.array(F.struct("fp", F.col("h1").alias("hub")), F.struct("fp", F.col("h2").alias("hub")))).alias("p"))
-    pairs = save(pairs.select(F.col("p.fp").alias("a"), F.col("p.hub").alias("b")).filter("a <> b").distinct(), "near-pairs")
-    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    texts_ = reps.select("fp", "doc_id", "row_hash").join(asked, "fp").withColumnRenamed("doc_id", "d").withColumnRenamed("row_hash", "r")
-    got = rows.join(small(texts_, 100_000), F.col("row_hash").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("fp", "raw")
-    got = save(got.groupBy("fp").agg(F.min("raw").alias("raw")), "near-raw")
-    both = pairs.join(got.select(F.col("fp").alias("a"), F.col("raw").alias("raw_a")), "a").join(got.select(F.col("fp").alias("b"), F.col("raw").alias("raw_b")), "b")
+    fewest = fewest_equal(similarity)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "fp", "n", "sketch", "bands")
+    reps = save(keys.groupBy("node").agg(F.min(place).alias("p")).select("node", "p.*"), "near-texts")
+    bands = reps.join(named, "fp").select("node", "root", "n", "sketch", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.count("*").alias("crowd"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "crowd")
+    live = save(bands.join(shared, "band"), "near-bands")
+    degree = live.groupBy("node").agg(F.sum("crowd").alias("degree"))
+    live = save(live.join(degree, "node").select("band", "node", F.col("root").alias("first_root"), "root", "n", "sketch", "degree"), "near-live")
+    asked = live.select("node").distinct()
+    texts_ = reps.select("node", "doc_id", "row_hash").join(asked, "node").withColumnRenamed("doc_id", "d").withColumnRenamed("row_hash", "r")
+    got = rows.join(small(texts_, 100_000), F.col("row_hash").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "raw")
+    got = save(got.groupBy("node").agg(F.min("raw").alias("raw")), "near-raw")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BAND * N_BANDS) for c in ("sketch_a", "sketch_b"))
+                ok = pa.array((x == y).sum(axis=1) >= fewest)
+                yield pa.RecordBatch.from_arrays([batch[c] for c in ("a", "b", "root_a", "root_b")], names=["a", "b", "root_a", "root_b"]).filter(ok)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, known = b"", shingle_set(b"", width)
         for batch in batches:
-            ok = [alike(x, y, width) >= similarity for x, y in zip(batch["raw_a"].to_pylist(), batch["raw_b"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return both.select("a", "b", "raw_a", "raw_b").mapInArrow(verify, "a long, b long")
+            ok = []
+            for x, y in zip(batch["raw_a"].to_pylist(), batch["raw_b"].to_pylist(), strict=True):
+                if y != hub:
+                    hub, known = y, shingle_set(y, width)
+                ok.append(jaccard(shingle_set(x, width), known) >= similarity)
+            yield pa.RecordBatch.from_arrays([batch["root_a"], batch["root_b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    merges, groups, tried, n_hubs = None, None, None, 2
+    while True:
+        active = live.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band")
+        live = save(live.join(active, "band", "left_semi"), "near-live")
+        if live.isEmpty():
+            break
+        order = F.struct("degree", F.xxhash64("node"), "node", "first_root", "root", "n", "sketch")
+        hubs = live.groupBy("band", F.pmod(F.xxhash64("node", F.lit(n_hubs)), F.lit(n_hubs)).alias("slot")).agg(F.max(order).alias("h"))
+        hubs = save(hubs.select("band", F.col("h.node").alias("b"), F.col("h.first_root").alias("root_b"), F.col("h.root").alias("now_b"), F.col("h.n").alias("n_b"), F.col("h.sketch").alias("sketch_b")), "near-hubs")
+        near = (F.col("root") != F.col("now_b")) & (F.least("n", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n", "n_b"))
+        pairs = live.join(hubs, "band").filter(near).select(F.col("node").alias("a"), "b", F.col("first_root").alias("root_a"), "root_b", F.col("sketch").alias("sketch_a"), "sketch_b")
+        pairs = pairs.mapInArrow(likely, "a long, b long, root_a long, root_b long").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = save(pairs, "near-pairs")
+        both = pairs.join(got.select(F.col("node").alias("a"), F.col("raw").alias("raw_a")), "a").join(got.select(F.col("node").alias("b"), F.col("raw").alias("raw_b")), "b")
+        new = save(both.select("root_a", "root_b", "raw_a", "raw_b").mapInArrow(verify, "a long, b long").distinct(), "near-merges")
+        both_ways = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tried = both_ways if tried is None else tried.union(both_ways)
+        live = live.join(hubs.select("band", F.col("b").alias("node")), ["band", "node"], "left_anti")
+        if not new.isEmpty():
+            merges = new if merges is None else merges.union(new)
+            groups = _roots(merges)
+            live = live.drop("root").join(groups.select(F.col("node").alias("first_root"), "root"), "first_root", "left").withColumn("root", F.coalesce("root", "first_root"))
+        n_hubs *= 2
+    return groups if groups is not None else named.select(F.col("fp").alias("node"), "root").limit(0)
 
 
 def one_of_each(docs: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
@@ -308,15 +363,22 @@ def one_of_each(docs: DataFrame, width: int, radius: int, similarity: float) ->
     """
     ship(docs.sparkSession)
 
-    @F.pandas_udf("struct<fp:long,bands:array<long>>")
+    @F.pandas_udf("struct<node:long,fp:long,n:long,sketch:binary,bands:array<long>>")
     def keys_of(raws: pd.Series) -> pd.DataFrame:
-        parts = [list(shingle_hashes(raw, width)) for raw in raws]
-        return pd.DataFrame({"fp": [int(np.uint64(majority(p)).astype(np.int64)) for p in parts], "bands": [minima(p) for p in parts]})
+        out = []
+        for raw in raws:
+            parts = list(shingle_hashes(raw, width))
+            fp, h = majority(parts), np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+            bands, sketch = minima(h)
+            out.append((xxhash.xxh64_intdigest(h.tobytes() + fp.to_bytes(8, "little")) - (1 << 63), int(np.uint64(fp).astype(np.int64)), len(h), sketch, bands))
+        return pd.DataFrame(out, columns=["node", "fp", "n", "sketch", "bands"])
 
     hashed = F.xxhash64(*[docs[c] for c in docs.columns])
     rows = docs.select(column(docs, "doc_id", "bigint"), hashed.alias("row_hash"), F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary").alias("raw"))
-    keys = save(rows.withColumn("k", keys_of("raw")).select("doc_id", "row_hash", "k.fp", "k.bands"), "row-keys")
-    named = _named(keys.select("doc_id", "fp"), radius, similar(keys, rows, width, similarity)).select("fp", "root")
+    keys = save(rows.withColumn("k", keys_of("raw")).select("doc_id", "row_hash", "k.*"), "row-keys")
+    named = save(_named(keys.select("doc_id", "fp"), radius).select("fp", "root"), "named")
+    groups = similar(keys, rows, named, width, similarity).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+    named = named.join(groups, "root", "left").select("fp", F.coalesce("joined", "root").alias("root"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
     first = keys.select("doc_id", "row_hash", "fp").join(named, "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
     copies = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("copies"))
