@@ -33,6 +33,8 @@ NOTICES = {
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "proprietary": ["All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher."],
 }
+#: Notices of fewer words than a shingle: each is one shingle, all its words in their order.
+SHORT_NOTICES = {"proprietary": ["All rights reserved."]}
 
 
 def words_of(text: str) -> list[str]:
@@ -40,18 +42,25 @@ def words_of(text: str) -> list[str]:
 
 
 def templates() -> list[tuple[int, str, list[str]]]:
-    """(number, license, words) of every notice."""
+    """(number, license, words) of every notice of a shingle or more."""
     return [(k, name, words_of(text)) for k, (name, text) in enumerate((n, t) for n, ts in NOTICES.items() for t in ts)]
 
 
+def all_templates() -> list[tuple[int, str, list[str]]]:
+    """templates(), then the short notices."""
+    long = templates()
+    return long + [(len(long) + k, name, words_of(text)) for k, (name, text) in enumerate((n, t) for n, ts in SHORT_NOTICES.items() for t in ts)]
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
-def _shingles(words: Column) -> Column:
-    """Hashes of the shingles of a word array, in order; an array too short has none."""
-    n = F.size(words) - (SHINGLE - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(SHINGLE)), " ")))).otherwise(F.array().cast("array<bigint>"))
+def _shingles(words: Column, n_words: Column) -> Column:
+    """Hashes of the shingles of a word array, in order, for a notice of n_words; an array too short has none."""
+    width = F.least(n_words, F.lit(SHINGLE))
+    n = F.size(words) - (width - 1)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, width), " ")))).otherwise(F.array().cast("array<bigint>"))
 
 
 def _bands(shingles: Column) -> Column:
@@ -62,8 +71,8 @@ def _bands(shingles: Column) -> Column:
 
 def template_table(spark: SparkSession) -> DataFrame:
     """template, license, n_words, shingles, bands: one row per notice, a fixed number."""
-    raw = spark.createDataFrame([(k, name, w) for k, name, w in templates()], "template int, license string, words array<string>")
-    sh = raw.select("template", "license", F.size("words").alias("n_words"), _shingles(F.col("words")).alias("shingles"))
+    raw = spark.createDataFrame([(k, name, w) for k, name, w in all_templates()], "template int, license string, words array<string>")
+    sh = raw.select("template", "license", F.size("words").alias("n_words"), _shingles(F.col("words"), F.size("words")).alias("shingles"))
     return sh.withColumn("bands", _bands(F.col("shingles")))
 
 
@@ -75,7 +84,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     known = template_table(spark)
-    lengths = sorted({len(w) for _, _, w in templates()})
+    lengths = sorted({len(w) for _, _, w in all_templates()})
     cue = "(?i)(" + "|".join(CUES) + ")"
     rows = docs.select(column(docs, "doc_id", "bigint"), column(docs, "text", "string")).filter(F.col("text").rlike(cue))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", _words(F.col("text")).alias("words"))
@@ -90,11 +99,11 @@ def scan(docs: DataFrame) -> DataFrame:
     windows = F.array_distinct(F.flatten(F.flatten(F.transform("spots", lambda i: F.transform(grid, lambda g: starts(i, g))))))
     cut = rows.select("row", "doc_id", "words", F.explode(windows).alias("w"))
     cut = cut.select("row", "doc_id", F.col("w.start").alias("start"), F.col("w.n").alias("n_words"), F.slice("words", F.col("w.start") + 1, F.col("w.n")).alias("window"), F.slice("words", F.greatest(F.col("w.start") - F.col("w.n"), F.lit(0)) + 1, 3 * F.col("w.n")).alias("around"))
-    hashed = cut.filter(F.size("window") >= SHINGLE).withColumn("h", _shingles(F.col("window")))
+    hashed = cut.filter(F.size("window") >= F.least("n_words", F.lit(SHINGLE))).withColumn("h", _shingles(F.col("window"), F.col("n_words")))
     probes = hashed.select("row", "doc_id", "start", "around", "n_words", F.posexplode(_bands(F.col("h"))).alias("band", "value"))
     index = known.select("template", F.col("n_words").alias("t_words"), F.posexplode("bands").alias("t_band", "t_value"))
     met = probes.join(F.broadcast(index), (F.col("band") == F.col("t_band")) & (F.col("value") == F.col("t_value")) & (F.col("n_words") == F.col("t_words")))
     met = met.dropDuplicates(["row", "start", "template"]).join(F.broadcast(known.select("template", "license", "shingles")), "template")
-    share = F.size(F.array_intersect(_shingles(F.col("around")), F.col("shingles"))) / F.size(F.array_distinct("shingles"))
+    share = F.size(F.array_intersect(_shingles(F.col("around"), F.col("n_words")), F.col("shingles"))) / F.size(F.array_distinct("shingles"))
     sure = met.withColumn("containment", share).filter(F.col("containment") >= CONTAINED)
     return sure.groupBy("row", "license").agg(F.first("doc_id").alias("doc_id"), F.max("containment").alias("containment"), F.min("start").cast("bigint").alias("first_word"), F.countDistinct("start").alias("n_windows")).select("doc_id", "license", "containment", "first_word", "n_windows")

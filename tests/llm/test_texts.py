@@ -329,6 +329,24 @@ def test_licenses(docs, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_every_kind_of_license_line(spark):
+    kinds = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0",
+        "All rights reserved.": "proprietary",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0",
+        "Released under the MIT License.": "mit",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+    }
+    texts, want = [], set()
+    for line, name in kinds.items():  # alone, at the start, in the middle, at the end
+        for t in (line, f"{line}\n{prose(1, 30)}", f"{prose(2, 30)}\n{line}\n{prose(3, 30)}", f"{prose(4, 30)}\n{line.upper()}"):
+            want.add((len(texts), name))
+            texts.append(t)
+    texts += ["all of it is reserved", "rights reserved", "all reserved rights"]
+    got = {(r["doc_id"], r["license"]) for r in license_scan.scan(frame(spark, list(enumerate(texts)))).collect()}
+    assert got - {(i, "gpl-2.0") for i in range(4)} == want  # version 3's line holds four of five shingles of version 2's
+
+
 def test_every_notice_has_cues():
     for _, name, w in license_scan.templates():
         sh = [w[k : k + 5] for k in range(len(w) - 4)]
