@@ -22,7 +22,7 @@ from pagelake.llm.common import save, ship, texts
 from pagelake.llm.tokens import WORD_BPE, library, word_ids
 
 #: Classes of ids; class 0 is both begin and end of a text, the last one holds all ids that are not common.
-CLASSES = 96
+CLASSES = 192
 #: Training rows, chosen by hash, that the attention weights and the classes are fitted on: about so many.
 SAMPLE = 4_000
 #: Shards that train side by side, rounds after which their weights are averaged, and steps in each.

@@ -413,3 +413,10 @@ def test_learned_model_beats_uniform_on_held_out_text(spark):
     for r in held:
         ids = len(word_ids().ids(dict(data)[r["doc_id"]])) // 4
         assert r["score"] > -0.5 * (ids + 1) * math.log10(size)
+
+
+def test_model_has_its_sizes():
+    """Ids that the input tells apart, width, hidden width, and tokens of context at a seam."""
+    assert lm_score.CLASSES >= 192 and attention.WIDTH >= 16 and attention.HIDDEN >= 32
+    pos, ok, _ = next(attention.batches(np.array([200]), 100))
+    assert pos.shape[1] >= 32 and all(np.flatnonzero(x)[0] >= 8 for x in ok[1:])
