@@ -93,18 +93,22 @@ def batches(lengths: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.nda
         yield np.where(inside, s + step, s), inside & ((f == 0) | (step >= WINDOW - STRIDE)), w
 
 
-def train(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, steps: int, seed: int, size: int = 48, rate: float = 0.01) -> tuple[Params, float]:
-    """So many Adam steps over the windows in shuffled order; (weights, last mean loss)."""
+def train(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, steps: int, part: int = 0, parts: int = 1, size: int = 48, rate: float = 0.01) -> tuple[Params, float]:
+    """Adam steps over one of `parts` parts of the windows in shuffled order, each window once, and again up to so many steps; (weights, last mean loss)."""
     every = [(pos, ok) for pos, ok, _ in batches(lengths, 4096)]
     if not every:
         return p, 0.0
     pos, ok = np.concatenate([e[0] for e in every]), np.concatenate([e[1] for e in every])
-    rng = np.random.default_rng(seed)
+    mine = np.random.default_rng(0).permutation(len(pos))[part::parts]  # all parts together are all windows
+    if not len(mine):
+        return p, 0.0
+    steps = max(steps, -(-len(mine) // size))
+    mine = np.resize(mine, steps * size)
     p = {k: v.copy() for k, v in p.items()}
     m, s = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
     loss = 0.0
     for i in range(1, steps + 1):
-        pick = rng.integers(0, len(pos), size)
+        pick = mine[(i - 1) * size : i * size]
         got, d = slopes(p, base, seen[pos[pick]], target[pos[pick]], ok[pick])
         loss = got if i == 1 else 0.95 * loss + 0.05 * got
         for k, v in d.items():

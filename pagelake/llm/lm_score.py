@@ -23,10 +23,10 @@ from pagelake.llm.tokens import WORD_BPE, library, word_ids
 
 #: Classes of ids; class 0 is both begin and end of a text, the last one holds all ids that are not common.
 CLASSES = 192
-#: Training rows, chosen by hash, that the attention weights and the classes are fitted on: about so many.
-SAMPLE = 4_000
-#: Shards that train side by side, rounds after which their weights are averaged, and steps in each.
-SHARDS, ROUNDS, STEPS = 6, 2, 150
+#: Training rows in a shard, about, and the fewest shards. Their number grows with the rows; all rows are in one.
+SHARD_ROWS, SHARDS = 2_000, 6
+#: Rounds after which the shards' weights are averaged, and the fewest steps in each. All rounds together see every window.
+ROUNDS, STEPS = 2, 150
 #: Frequent words in the bounded table; distinct keys that a task gathers before it passes them on.
 FREQUENT, GATHER = 100_000, 300_000
 HELD_OUT = 10
@@ -34,7 +34,7 @@ ALPHA = 0.1
 
 
 def parted(docs: DataFrame) -> DataFrame:
-    """doc_id, raw, held_out (crc32 of doc_id as text, mod 10, is 0) and a second hash for the sample."""
+    """doc_id, raw, held_out (crc32 of doc_id as text, mod 10, is 0) and a second hash that deals out shards."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return texts(docs).select("doc_id", "raw", (F.crc32(key.cast("binary")) % HELD_OUT == 0).alias("held_out"), F.xxhash64(key).alias("h"))
 
@@ -64,8 +64,8 @@ def _sequences(packed: list[bytes], class_of: np.ndarray) -> tuple[np.ndarray, n
     return seen, classes, target, lengths  # the end's class is the begin's, so the next text begins right
 
 
-def _classes(sample: DataFrame, name: str) -> np.ndarray:
-    """Class of every id, from the counts of the sample; the end of text has class 0."""
+def _classes(train: DataFrame, name: str) -> np.ndarray:
+    """Class of every id, from the counts of all training rows; the end of text has class 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
@@ -76,7 +76,7 @@ def _classes(sample: DataFrame, name: str) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
 
-    top = sample.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(CLASSES - 2).collect()
+    top = train.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(CLASSES - 2).collect()
     size = library(name).get_vocab_size()
     out = np.full(size + 1, CLASSES - 1, np.int64)
     for k, r in enumerate(top):
@@ -120,10 +120,22 @@ def _table(counts: DataFrame, kind: str, size: int) -> np.ndarray:
     return out
 
 
-def fit(sample: DataFrame, class_of: np.ndarray, base: np.ndarray) -> attention.Params:
-    """Weights: shards of the sample train from the same start, and their averages start the next round."""
-    spark = sample.sparkSession
+def fit(train: DataFrame, n_train: int, class_of: np.ndarray, base: np.ndarray) -> attention.Params:
+    """Weights: shards of all training rows train from the same start, and their averages start the next round."""
+    spark = train.sparkSession
     weights = attention.fresh(CLASSES)
+    shards = max(SHARDS, -(-n_train // SHARD_ROWS))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, 0
+        for batch in batches:
+            for x, k in zip(batch["weights"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                got = pickle.loads(x)
+                total = got if total is None else {name: total[name] + got[name] for name in got}
+                n += k
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
+
     for r in range(ROUNDS):
         sent = spark.sparkContext.broadcast((weights, base, class_of))
 
@@ -132,12 +144,16 @@ def fit(sample: DataFrame, class_of: np.ndarray, base: np.ndarray) -> attention.
             if packed:
                 start, usual, of = sent.value
                 seen, classes, _, lengths = _sequences(packed, of)
-                got, _ = attention.train(start, usual, seen, classes, lengths, STEPS, seed=r)
-                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary())], names=["weights"])
-
-        trained = [pickle.loads(x["weights"]) for x in sample.repartition(SHARDS, F.pmod("h", F.lit(SHARDS))).sortWithinPartitions("h").select("ids").mapInArrow(shard, "weights binary").collect()]
-        if trained:
-            weights = {k: np.mean([t[k] for t in trained], axis=0).astype(np.float32) for k in weights}
+                got, _ = attention.train(start, usual, seen, classes, lengths, STEPS, part=r, parts=ROUNDS)
+                got = {k: v.astype(np.float64) for k, v in got.items()}
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary()), pa.array([1], pa.int64())], names=["weights", "n"])
+
+        trained = train.select("ids", "h").repartition(shards, "h").sortWithinPartitions("h", "ids").select("ids").mapInArrow(shard, "weights binary, n long")
+        sums = trained.repartition(math.isqrt(shards)).mapInArrow(add, "weights binary, n long") if shards > 100 * SHARDS else trained
+        got = [(pickle.loads(x["weights"]), x["n"]) for x in sums.collect()]
+        if got:
+            n = sum(k for _, k in got)
+            weights = {k: (sum(t[k] for t, _ in got) / n).astype(np.float32) for k in weights}
     return weights
 
 
@@ -154,15 +170,13 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
     rows = save(encoded(parted(docs).select("doc_id", "raw", "held_out", "h"), name), "lm-tokens", "zstd")
     train = rows.filter(~F.col("held_out"))
     n_train = train.count()
-    every = max(1, n_train // SAMPLE)
-    sample = save(train.filter(F.pmod("h", F.lit(every)) == 0).select("ids", "h"), "lm-sample")
-    class_of = _classes(sample, name)
+    class_of = _classes(train, name)
     counts = save(corpus_counts(train, class_of), "lm-counts")
     ids, pairs = _table(counts, "i", len(class_of)), _table(counts, "p", CLASSES * CLASSES).reshape(CLASSES, CLASSES)
     base = np.log((pairs + ALPHA) / (pairs.sum(axis=1, keepdims=True) + ALPHA * CLASSES)).astype(np.float32)
     in_class = np.bincount(class_of, ids + ALPHA, CLASSES)
     share = np.log((ids + ALPHA) / in_class[class_of])
-    weights = fit(sample, class_of, base)
+    weights = fit(train, n_train, class_of, base)
     words = counts.filter("kind = 'w'").select("key", "n")
     n_words, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n_words + n_train, v + (n_train > 0)  # with the end token, once a row

@@ -420,3 +420,15 @@ def test_model_has_its_sizes():
     assert lm_score.CLASSES >= 192 and attention.WIDTH >= 16 and attention.HIDDEN >= 32
     pos, ok, _ = next(attention.batches(np.array([200]), 100))
     assert pos.shape[1] >= 32 and all(np.flatnonzero(x)[0] >= 8 for x in ok[1:])
+
+
+def test_training_covers_all_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, np.array([1, 1, 2] if k < 9_000 else [7, 8, 9] * 9, "<u2").tobytes()) for k in range(9_100)], "h long, ids binary")
+    top = np.bincount(lm_score._classes(rows, lm_score.WORD_BPE))
+    assert top[:6].tolist() == [1] * 6  # the end and five ids, rare ones too
+    seen = []
+    monkeypatch.setattr(attention, "slopes", lambda p, base, c, target, ok: (seen.append(c[:, 0]), (0.0, {k: np.zeros_like(v) for k, v in p.items()}))[1])
+    c = np.arange(20_000)
+    for r in range(2):
+        attention.train(attention.fresh(3), np.zeros((3, 3), np.float32), c, c, np.ones(20_000, int), 150, part=r, parts=2)
+    assert len(np.unique(np.concatenate(seen))) == 20_000
