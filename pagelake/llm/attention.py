@@ -1,135 +1,245 @@
-"""A small causal self-attention model over classes of subword ids, trained and run in numpy."""
+"""A small causal self-attention model over subword ids, trained and run in numpy.
+
+Ids are numbered so that those that follow alike lie together, in clusters. The model gives the cluster of the next
+id, then the id within it, each by a softmax of its own; so every id is told apart, at the cost of two short
+softmaxes. Both start from the logarithm of what pair counts say (`base`); the model learns what to add to it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 
-#: Width, hidden width, tokens in a window, and by how many the next window is further on.
-WIDTH, HIDDEN, WINDOW, STRIDE = 16, 32, 32, 24
+#: Width, hidden width, tokens in a window, and by how many the next window is further on when scoring.
+WIDTH, HIDDEN, WINDOW, STRIDE = 16, 32, 48, 40
+#: Windows in a training step at most, and steps that a part of the corpus should have where it can.
+BATCH, STEPS = 128, 300
+RATE = np.float32(WIDTH**-0.5)
 
 Params = dict[str, np.ndarray]
 
 
-def fresh(classes: int, seed: int = 5) -> Params:
+class Base(NamedTuple):
+    """What the counts say. edges: first id of each cluster, and the number of ids. row: the table's row for every id
+    before. clusters, inner: log probability of a cluster, and of an id within its cluster, by row.
+    """
+
+    edges: np.ndarray
+    row: np.ndarray
+    clusters: np.ndarray
+    inner: np.ndarray
+
+
+class Windows(NamedTuple):
+    """Of every window and place: the id before, the one before that, the id to tell, whether it counts, its position."""
+
+    seen: np.ndarray
+    before: np.ndarray
+    target: np.ndarray
+    counts: np.ndarray
+    position: np.ndarray
+
+
+def fresh(ids: int, clusters: int, seed: int = 5) -> Params:
     rng = np.random.default_rng(seed)
     d = WIDTH
     m = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
+    embed = lambda n, scale: (scale * rng.standard_normal((n, d))).astype(np.float32)
     return {
-        "embed": (0.5 * rng.standard_normal((classes, d))).astype(np.float32), "place": (0.1 * rng.standard_normal((WINDOW, d))).astype(np.float32),
-        "q": m(d, d), "k": m(d, d), "v": m(d, d), "o": m(d, d), "w1": m(d, HIDDEN), "b1": np.zeros(HIDDEN, np.float32), "w2": m(HIDDEN, d), "out": np.zeros((d, classes), np.float32),
+        "embed": embed(ids, 0.5), "before": embed(ids, 0.5), "place": embed(WINDOW, 0.1),
+        "qkv": m(d, 3 * d), "o": m(d, d), "w1": m(d, HIDDEN), "b1": np.zeros(HIDDEN, np.float32), "w2": m(HIDDEN, d),
+        "top": np.zeros((d, clusters), np.float32), "inner": np.zeros((d, ids), np.float32),
     }
 
 
 MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
-def hidden(p: Params, c: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """States (window, position, width) after one attention layer; every position sees itself and what is before."""
-    x = p["embed"][c] + p["place"]
-    q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH**-0.5)
-    s += MASK
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    m = s @ v
-    h = x + m @ p["o"]
-    z = np.maximum(h @ p["w1"] + p["b1"], 0)
-    return h + z @ p["w2"], (x, q, k, v, s, m, h, z)
-
-
-def slopes(p: Params, base: np.ndarray, c: np.ndarray, target: np.ndarray, scored: np.ndarray) -> tuple[float, Params]:
-    """Mean loss over scored positions, and its gradients."""
-    g, (x, q, k, v, a, m, h, z) = hidden(p, c)
-    logits = g[scored] @ p["out"] + base[c[scored]]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    e /= e.sum(axis=1, keepdims=True)
-    t, n = target[scored], max(1, int(scored.sum()))
-    rows = np.arange(len(t))
-    loss = float(-np.log(e[rows, t] + 1e-30).sum() / n)
-    e[rows, t] -= 1
-    e /= n
-    d: Params = {"out": g[scored].T @ e}
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """exp(x - max) in place; returns its sums over the last axis."""
+    x -= x.max(axis=-1, keepdims=True)
+    np.exp(x, out=x)
+    return x.sum(axis=-1, keepdims=True)
+
+
+def hidden(p: Params, seen: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """States (window and position, width) after one attention layer; a position sees itself and what is before."""
+    n, d = len(seen), WIDTH
+    x = p["embed"][seen]
+    x += p["before"][before]
+    x += p["place"]
+    flat = x.reshape(-1, d)
+    qkv = (flat @ p["qkv"]).reshape(n, WINDOW, 3 * d)
+    q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
+    a = q @ k.transpose(0, 2, 1)
+    a *= RATE
+    a += MASK
+    a /= _softmax(a)
+    m = (a @ v).reshape(-1, d)
+    h = flat + m @ p["o"]
+    z = h @ p["w1"]
+    z += p["b1"]
+    np.maximum(z, 0, out=z)
+    return h + z @ p["w2"], (flat, q, k, v, a, m, h, z)
+
+
+def outputs(p: Params, base: Base, g: np.ndarray, seen: np.ndarray, target: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None, Params]:
+    """Log probability of every target; with slopes, also those of the summed loss by state and by weight."""
+    row = base.row[seen]
+    cluster = np.searchsorted(base.edges, target, "right") - 1
+    rows = np.arange(len(target))
+    e = g @ p["top"]
+    e += base.clusters[row]
+    e /= _softmax(e)
+    told = np.log(e[rows, cluster] + np.float32(1e-37))
+    dg, d = None, {}
+    if slopes:
+        e[rows, cluster] -= 1
+        d = {"top": g.T @ e, "inner": np.zeros_like(p["inner"])}
+        dg = e @ p["top"].T
+    order = np.argsort(cluster, kind="stable")
+    cuts = np.searchsorted(cluster[order], np.arange(len(base.edges)))
+    for k in np.flatnonzero(np.diff(cuts)):
+        mine, lo, hi = order[cuts[k] : cuts[k + 1]], base.edges[k], base.edges[k + 1]
+        some, w = g[mine], p["inner"][:, lo:hi]
+        e = some @ w
+        e += base.inner[row[mine], lo:hi]
+        e /= _softmax(e)
+        at, to = rows[: len(mine)], target[mine] - lo
+        told[mine] += np.log(e[at, to] + np.float32(1e-37))
+        if slopes:
+            e[at, to] -= 1
+            d["inner"][:, lo:hi] = some.T @ e
+            dg[mine] += e @ w.T
+    return told, dg, d
+
+
+def _sum_by(n: int, key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Rows of x summed by their key."""
+    order = np.argsort(key, kind="stable")
+    keys = key[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    out = np.zeros((n, x.shape[1]), np.float32)
+    out[keys[first]] = np.add.reduceat(x[order], first)
+    return out
+
+
+def slopes(p: Params, base: Base, w: Windows) -> tuple[float, Params]:
+    """Mean loss over the places that count, and its gradients."""
+    d_ = WIDTH
+    g, (x, q, k, v, a, m, h, z) = hidden(p, w.seen, w.before)
+    n, ok = len(w.seen), w.counts.ravel()
+    places = max(1, int(ok.sum()))
+    told, dsome, d = outputs(p, base, g[ok], w.seen.ravel()[ok], w.target.ravel()[ok], True)
     dg = np.zeros_like(g)
-    dg[scored] = e @ p["out"].T
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    d["w2"] = flat(z).T @ flat(dg)
-    dz = (dg @ p["w2"].T) * (z > 0)
-    d["w1"], d["b1"] = flat(h).T @ flat(dz), flat(dz).sum(axis=0)
+    dg[ok] = dsome
+    d["w2"] = z.T @ dg
+    dz = dg @ p["w2"].T
+    dz *= z > 0
+    d["w1"], d["b1"] = h.T @ dz, dz.sum(axis=0)
     dh = dg + dz @ p["w1"].T
-    d["o"] = flat(m).T @ flat(dh)
-    dm = dh @ p["o"].T
-    dv, da = a.transpose(0, 2, 1) @ dm, dm @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-    for name, y in (("q", dq), ("k", dk), ("v", dv)):
-        d[name] = flat(x).T @ flat(y)
-    d["place"] = dx.sum(axis=0)
-    d["embed"] = np.zeros_like(p["embed"])
-    np.add.at(d["embed"], c.ravel(), flat(dx))
-    return loss, d
-
-
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For sequences that lie one after the other: start of every window, its sequence, and how far in it starts."""
-    count = 1 + np.maximum(0, -(-(lengths - WINDOW) // STRIDE))
-    which = np.repeat(np.arange(len(lengths)), count)
-    far = (np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
-    return (np.cumsum(lengths) - lengths)[which] + far, which, far
-
-
-def batches(lengths: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(positions, scored, sequence) of windows, so many at a time; every position is scored in one window only."""
-    start, which, far = windows(lengths)
+    d["o"] = m.T @ dh
+    dm = (dh @ p["o"].T).reshape(n, WINDOW, d_)
+    da = dm @ v.transpose(0, 2, 1)
+    da -= (da * a).sum(axis=2, keepdims=True)
+    da *= a
+    da *= RATE
+    dqkv = np.concatenate([da @ k, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm], axis=2).reshape(-1, 3 * d_)
+    d["qkv"] = x.T @ dqkv
+    dx = dh + dqkv @ p["qkv"].T
+    d["place"] = dx.reshape(n, WINDOW, d_).sum(axis=0)
+    d["embed"], d["before"] = _sum_by(len(p["embed"]), w.seen.ravel(), dx), _sum_by(len(p["embed"]), w.before.ravel(), dx)
+    return -float(told.sum()) / places, {name: y / np.float32(places) for name, y in d.items()}
+
+
+def windows(target: np.ndarray, lengths: np.ndarray, begin: int, stride: int) -> Windows:
+    """Windows over sequences that lie one after the other in `target`; every position counts in one window only.
+
+    What is before a sequence's first id is `begin`, the end of some text.
+    """
+    first = np.cumsum(lengths) - lengths
+    seen = np.concatenate([[begin], target[:-1]])[: len(target)]
+    seen[first] = begin
+    before = np.concatenate([[begin], seen[:-1]])[: len(target)]
+    before[first] = begin
+    many = 1 + np.maximum(0, -(-(lengths - WINDOW) // stride))
+    which = np.repeat(np.arange(len(lengths)), many)
+    far = ((np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)) * stride)[:, None]
     step = np.arange(WINDOW)
-    for i in range(0, len(start), size):
-        s, w, f = start[i : i + size, None], which[i : i + size], far[i : i + size, None]
-        inside = f + step < lengths[w][:, None]
-        yield np.where(inside, s + step, s), inside & ((f == 0) | (step >= WINDOW - STRIDE)), w
-
-
-def train(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, steps: int, part: int = 0, parts: int = 1, size: int = 48, rate: float = 0.01) -> tuple[Params, float]:
-    """Adam steps over one of `parts` parts of the windows in shuffled order, each window once, and again up to so many steps; (weights, last mean loss)."""
-    every = [(pos, ok) for pos, ok, _ in batches(lengths, 4096)]
-    if not every:
-        return p, 0.0
-    pos, ok = np.concatenate([e[0] for e in every]), np.concatenate([e[1] for e in every])
-    mine = np.random.default_rng(0).permutation(len(pos))[part::parts]  # all parts together are all windows
-    if not len(mine):
-        return p, 0.0
-    steps = max(steps, -(-len(mine) // size))
-    mine = np.resize(mine, steps * size)
-    p = {k: v.copy() for k, v in p.items()}
-    m, s = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
-    loss = 0.0
-    for i in range(1, steps + 1):
-        pick = mine[(i - 1) * size : i * size]
-        got, d = slopes(p, base, seen[pos[pick]], target[pos[pick]], ok[pick])
-        loss = got if i == 1 else 0.95 * loss + 0.05 * got
-        for k, v in d.items():
-            m[k] = 0.9 * m[k] + 0.1 * v
-            s[k] = 0.99 * s[k] + 0.01 * v * v
-            p[k] -= (rate * (1 - i / (steps + 1)) * (m[k] / (1 - 0.9**i)) / (np.sqrt(s[k] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
-    return p, loss
-
-
-def score(p: Params, base: np.ndarray, seen: np.ndarray, target: np.ndarray, lengths: np.ndarray, size: int = 512) -> np.ndarray:
-    """Natural log probability of every target class, by position."""
-    out = np.zeros(len(seen), np.float64)
-    for pos, ok, _ in batches(lengths, size):
-        c = seen[pos]
-        g, _ = hidden(p, c)
-        at = pos[ok]
-        logits = g[ok] @ p["out"]
-        logits += base[c[ok]]
-        mine = logits[np.arange(len(at)), target[at]]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        out[at] = mine - top - np.log(logits.sum(axis=1))
+    inside = far + step < lengths[which][:, None]
+    at = np.where(inside, first[which][:, None] + far + step, first[which][:, None])
+    return Windows(seen[at], before[at], target[at], inside & ((far == 0) | (step >= WINDOW - stride)), at)
+
+
+def pick(w: Windows, rows: np.ndarray | slice) -> Windows:
+    return Windows(*(x[rows] for x in w))
+
+
+class Trainer:
+    """Adam over windows that come in portions; the rate falls to a twentieth over the steps that are expected."""
+
+    def __init__(self, p: Params, base: Base, expected: int, rate: float = 0.01):
+        self.p, self.base = {k: v.copy() for k, v in p.items()}, base
+        self.m, self.s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        self.step, self.places, self.expected, self.rate, self.loss = 0, 0, max(1, expected), rate, 0.0
+
+    def learn(self, w: Windows, size: int) -> None:
+        """One pass over the windows, in shuffled order, so many in a step."""
+        order = np.random.default_rng(self.step).permutation(len(w.seen))
+        for i in range(0, len(order), size):
+            part = pick(w, order[i : i + size])
+            loss, d = slopes(self.p, self.base, part)
+            self.step += 1
+            self.places += int(part.counts.sum())
+            self.loss = loss if self.step == 1 else 0.95 * self.loss + 0.05 * loss
+            rate = self.rate * max(0.05, 1 - self.step / (self.expected + 1)) * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
+            for k, x in d.items():
+                m, s = self.m[k], self.s[k]
+                m += np.float32(0.1) * (x - m)
+                x *= x
+                s += np.float32(0.01) * (x - s)
+                self.p[k] -= np.float32(rate) * m / (np.sqrt(s) + np.float32(1e-8))
+
+
+def portions(many: int) -> int:
+    """Windows in a step, for a part of the corpus that has so many windows: small parts take smaller steps, more often."""
+    return int(min(BATCH, max(16, many // STEPS)))
+
+
+def score(p: Params, base: Base, target: np.ndarray, lengths: np.ndarray, begin: int, size: int = 512) -> np.ndarray:
+    """Natural log probability of every target, by position, from overlapping windows."""
+    out = np.zeros(len(target), np.float64)
+    for w in _some(target, lengths, begin, size):
+        g, _ = hidden(p, w.seen, w.before)
+        ok = w.counts.ravel()
+        out[w.position.ravel()[ok]], _, _ = outputs(p, base, g[ok], w.seen.ravel()[ok], w.target.ravel()[ok], False)
     return out
+
+
+def _some(target: np.ndarray, lengths: np.ndarray, begin: int, size: int) -> Iterator[Windows]:
+    w = windows(target, lengths, begin, STRIDE)
+    for i in range(0, len(w.seen), size):
+        yield pick(w, slice(i, i + size))
+
+
+def bisect(features: np.ndarray, weight: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Rows in `parts` (a power of two) groups of nearly equal size: halved again and again along the direction in which
+    a group spreads most.
+    """
+    groups, rng = [np.arange(len(features))], np.random.default_rng(0)
+    while len(groups) < parts:
+        halves = []
+        for g in groups:
+            if len(g):
+                w = weight[g]
+                x = features[g] - np.average(features[g], axis=0, weights=w)
+                v = rng.standard_normal(x.shape[1])
+                for _ in range(15):
+                    v = x.T @ (w * (x @ v))
+                    v /= np.linalg.norm(v) + 1e-30
+                g = g[np.argsort(x @ v, kind="stable")]
+            halves += [g[: (len(g) + 1) // 2], g[(len(g) + 1) // 2 :]]
+        groups = halves
+    return groups

@@ -1,8 +1,8 @@
 """Language-model scores: a smoothed unigram base over words, and a causal attention model over subword ids.
 
-Counts of words, ids and pairs of id classes come from all training rows. An id's probability is that of its class
-after the context, times its share in the class. Common ids are classes of their own; pair counts give each class
-its usual followers, and the attention model learns what the longer context adds.
+Counts of words, ids and pairs of ids come from all training rows. The attention model tells every id that occurs
+in them apart: it starts from the pair counts and learns, in one pass over all training rows, what the longer
+context adds. Ids that never occur share the probability of a symbol of their own.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import math
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm import attention
-from pagelake.llm.common import save, ship, texts
+from pagelake.llm.common import frequent, save, ship, texts
 from pagelake.llm.tokens import WORD_BPE, library, word_ids
 
-#: Classes of ids; class 0 is both begin and end of a text, the last one holds all ids that are not common.
-CLASSES = 192
-#: Training rows in a shard, about, and the fewest shards. Their number grows with the rows; all rows are in one.
-SHARD_ROWS, SHARDS = 2_000, 6
-#: Rounds after which the shards' weights are averaged, and the fewest steps in each. All rounds together see every window.
-ROUNDS, STEPS = 2, 150
+#: The end of a text among 16-bit ids.
+END = (1 << 16) - 1
+#: Cells in the table of pair counts, at most: it has a row for as many of the frequent ids as fit, the others share one.
+CELLS = 1 << 22
+#: Weight of the ids' shares in a row of the table, in counts.
+PRIOR = 20.0
+#: Frequent ids whose company tells which ids belong in a cluster.
+FEATURES = 256
+#: Rounds after which the shards' weights are averaged; together they see every window once.
+ROUNDS = 2
+#: Shards at most (a shard is what a task reads of the written ids), and ids that a shard lays out at once.
+SHARDS, PORTION = 4_096, 1_000_000
 #: Frequent words in the bounded table; distinct keys that a task gathers before it passes them on.
 FREQUENT, GATHER = 100_000, 300_000
 HELD_OUT = 10
@@ -53,78 +60,123 @@ def encoded(rows: DataFrame, name: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, raw binary, held_out boolean, h long, ids binary")
 
 
-def _sequences(packed: list[bytes], class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(context classes, target classes, target ids, lengths) of id strings; the end is the last target, id = vocabulary size."""
-    ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in packed]
-    end = np.array([len(class_of) - 1])
-    target = np.concatenate([y for x in ids for y in (x, end)]) if ids else np.zeros(0, np.int64)
-    lengths = np.array([len(x) + 1 for x in ids], np.int64)
-    classes = class_of[target]
-    seen = np.concatenate([[0], classes[:-1]]) if len(classes) else classes
-    return seen, classes, target, lengths  # the end's class is the begin's, so the next text begins right
+def _four(keys: np.ndarray) -> pa.Array:
+    """32-bit numbers as four bytes each, the highest first."""
+    return pa.Array.from_buffers(pa.binary(4), len(keys), [None, pa.py_buffer(keys.astype(">u4").tobytes())]).cast(pa.binary())
 
 
-def _classes(train: DataFrame, name: str) -> np.ndarray:
-    """Class of every id, from the counts of all training rows; the end of text has class 0."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u2"))
-            total, got = (got, total) if len(got) > len(total) else (total, got)
-            total[: len(got)] += got
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
-
-    top = train.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(CLASSES - 2).collect()
-    size = library(name).get_vocab_size()
-    out = np.full(size + 1, CLASSES - 1, np.int64)
-    for k, r in enumerate(top):
-        out[r["id"]] = k + 1
-    out[size] = 0
-    return out
-
-
-def corpus_counts(train: DataFrame, class_of: np.ndarray) -> DataFrame:
-    """(kind, key, n) over all rows: words 'w', ids 'i', pairs of classes 'p'; summed in the tasks, then by key."""
+def corpus_counts(train: DataFrame) -> DataFrame:
+    """(kind, key, n) over all rows: words 'w' (key: the word) and pairs of ids 'p' (key: four bytes); summed in the tasks, then by key."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        ids, pairs = np.zeros(len(class_of), np.int64), np.zeros(CLASSES * CLASSES, np.int64)
+        pairs, times, held = np.zeros(0, np.uint32), np.zeros(0, np.int64), []
 
-        def out(kind: str, keys: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys), pa.string()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
+        def out(kind: str, keys: list | pa.Array, n: list | np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"])
+
+        def fold() -> None:
+            nonlocal pairs, times
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            both = np.concatenate([pairs, keys])
+            pairs, which = np.unique(both, return_inverse=True)
+            times = np.bincount(which, np.concatenate([times, n])).astype(np.int64)
 
         for batch in batches:
             for raw in batch["raw"]:
                 words.update(raw.as_py().lower().split())
-            seen, classes, target, _ = _sequences(batch["ids"].to_pylist(), class_of)
-            np.add(ids, np.bincount(target, minlength=len(ids)), out=ids)
-            np.add(pairs, np.bincount(seen * CLASSES + classes, minlength=len(pairs)), out=pairs)
+            ids = np.frombuffer(b"".join(x + b"\xff\xff" for x in batch["ids"].to_pylist()), "<u2").astype(np.uint32)
+            if len(ids):
+                held.append(np.concatenate([[np.uint32(END)], ids[:-1]]) << np.uint32(16) | ids)
+            if sum(map(len, held)) > 4 * PORTION:
+                fold()
+            if len(pairs) >= 4 * GATHER:
+                yield out("p", _four(pairs), times)
+                pairs, times = pairs[:0], times[:0]
             if len(words) >= GATHER:
                 yield out("w", list(words), list(words.values()))
                 words.clear()
         yield out("w", list(words), list(words.values()))
-        for kind, table in (("i", ids), ("p", pairs)):
-            some = np.flatnonzero(table)
-            yield out(kind, [b"%d" % x for x in some], table[some].tolist())
+        if held:
+            fold()
+        yield out("p", _four(pairs), times)
 
     return train.select("raw", "ids").mapInArrow(gather, "kind string, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _table(counts: DataFrame, kind: str, size: int) -> np.ndarray:
-    out = np.zeros(size, np.int64)
-    got = counts.filter(F.col("kind") == kind).select("key", "n").toArrow()
-    for key, n in zip(got["key"].to_pylist(), got["n"].to_pylist(), strict=True):
-        out[int(key)] = n
-    return out
-
+class Vocabulary(NamedTuple):
+    """number: of every 16-bit id, in the order of clusters. other: the number that all unseen ids share, and log of
+    each one's share in it. begin: the end of text's number.
+    """
 
-def fit(train: DataFrame, n_train: int, class_of: np.ndarray, base: np.ndarray) -> attention.Params:
-    """Weights: shards of all training rows train from the same start, and their averages start the next round."""
+    number: np.ndarray
+    other: int
+    share: float
+    begin: int
+    base: attention.Base
+
+
+def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
+    """Numbers, clusters and pair table from the counts of all training rows; nothing here grows with the input."""
+    pair = counts.filter("kind = 'p'").select(F.conv(F.hex(F.substring("key", 1, 2)), 16, 10).cast("int").alias("a"), F.conv(F.hex(F.substring("key", 3, 2)), 16, 10).cast("int").alias("b"), "n")
+    single = pair.groupBy("b").agg(F.sum("n").alias("n")).toArrow()  # as many rows as the tokenizer has ids, at most
+    ids, n = single["b"].to_numpy(), single["n"].to_numpy()
+    if END not in ids:
+        ids, n = np.append(ids, END), np.append(n, 0)
+    order = np.lexsort((ids, -n))
+    ids, n = ids[order], n[order]
+    v = len(ids) + 1  # the last one stands for the ids that do not occur
+    weight = np.append(n, 0) + ALPHA
+    many = int(min(v, max(1, CELLS // v - 1)))
+    first = np.full(1 << 16, v - 1)
+    first[ids] = np.arange(len(ids))
+    got = pair.filter(F.col("a").isin(ids[:many].tolist())) if many < len(ids) else pair
+    got = got.toArrow()  # CELLS rows at most
+    table = np.zeros((many + 1, v), np.float32)
+    np.add.at(table, (np.minimum(first[got["a"].to_numpy()], many), first[got["b"].to_numpy()]), got["n"].to_numpy())
+    table[many] = 0  # the others' row: shares alone
+    clusters = 1 << round(math.log2(math.sqrt(v)))
+    some = min(FEATURES, many, v)
+    company = np.zeros((v, 2 * some), np.float32)
+    company[:, :some] = np.sqrt(table[:some].T / weight[:, None])
+    company[: min(many, v), some:] = np.sqrt(table[: min(many, v), :some] / weight[: min(many, v), None])
+    groups = attention.bisect(company, weight, clusters)
+    groups = [g for g in groups if len(g)]
+    place = np.empty(v, np.int64)
+    place[np.concatenate(groups)] = np.arange(v)
+    edges = np.cumsum([0, *map(len, groups)])
+    share = weight / weight.sum()
+    table += np.float32(PRIOR) * share.astype(np.float32)
+    table /= table.sum(axis=1, keepdims=True)
+    inner = np.empty_like(table)
+    inner[:, place] = table
+    sums = np.add.reduceat(inner, edges[:-1], axis=1)
+    inner /= np.repeat(sums, np.diff(edges), axis=1)
+    row = np.full(v, many)
+    row[place[: min(many, v)]] = np.arange(min(many, v))
+    base = attention.Base(edges, row, np.log(sums), np.log(inner))
+    return Vocabulary(place[first], int(place[v - 1]), -math.log(max(1, size + 1 - len(ids))), int(place[first[END]]), base)
+
+
+def laid(packed: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of ids, each text's with its end; lengths) of id strings."""
+    ids = np.frombuffer(b"".join(x + b"\xff\xff" for x in packed), "<u2")
+    return vocab.number[ids], np.array([len(x) // 2 + 1 for x in packed], np.int64)
+
+
+def fit(train: DataFrame, tokens: int, vocab: Vocabulary) -> attention.Params:
+    """Weights: shards, which together hold all training rows, learn from the same start; their averages start the next round."""
     spark = train.sparkSession
-    weights = attention.fresh(CLASSES)
-    shards = max(SHARDS, -(-n_train // SHARD_ROWS))
+    weights = attention.fresh(len(vocab.number) and int(vocab.base.edges[-1]), len(vocab.base.edges) - 1)
+    train = train.select("ids")
+    shards = max(1, min(SHARDS, train.rdd.getNumPartitions()))
+    train = train.coalesce(shards)
+    many = tokens / attention.WINDOW / shards / ROUNDS  # windows a shard has in a round, about
+    size = attention.portions(int(many))
+
+    def packed(total: attention.Params, places: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary()), pa.array([places], pa.int64())], names=["weights", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = None, 0
@@ -134,23 +186,36 @@ def fit(train: DataFrame, n_train: int, class_of: np.ndarray, base: np.ndarray)
                 total = got if total is None else {name: total[name] + got[name] for name in got}
                 n += k
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
+            yield packed(total, n)
 
     for r in range(ROUNDS):
-        sent = spark.sparkContext.broadcast((weights, base, class_of))
+        sent = spark.sparkContext.broadcast((weights, vocab))
 
         def shard(batches: Iterator[pa.RecordBatch], sent=sent, r=r) -> Iterator[pa.RecordBatch]:
-            packed = [x for batch in batches for x in batch["ids"].to_pylist()]
-            if packed:
-                start, usual, of = sent.value
-                seen, classes, _, lengths = _sequences(packed, of)
-                got, _ = attention.train(start, usual, seen, classes, lengths, STEPS, part=r, parts=ROUNDS)
-                got = {k: v.astype(np.float64) for k, v in got.items()}
-                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary()), pa.array([1], pa.int64())], names=["weights", "n"])
-
-        trained = train.select("ids", "h").repartition(shards, "h").sortWithinPartitions("h", "ids").select("ids").mapInArrow(shard, "weights binary, n long")
-        sums = trained.repartition(math.isqrt(shards)).mapInArrow(add, "weights binary, n long") if shards > 100 * SHARDS else trained
-        got = [(pickle.loads(x["weights"]), x["n"]) for x in sums.collect()]
+            start, vocab = sent.value
+            trainer = attention.Trainer(start, vocab.base, int(many / size))
+            held, n = [], 0
+
+            def learn() -> None:
+                w = attention.windows(*laid(held, vocab), vocab.begin, attention.WINDOW)
+                trainer.learn(attention.pick(w, slice(r, None, ROUNDS)), size)
+                held.clear()
+
+            for batch in batches:
+                for x in batch["ids"].to_pylist():
+                    held.append(x)
+                    n += len(x) // 2 + 1
+                    if n > PORTION:
+                        learn()
+                        n = 0
+            if held:
+                learn()
+            if trainer.places:
+                yield packed({k: v.astype(np.float64) * trainer.places for k, v in trainer.p.items()}, trainer.places)
+
+        trained = train.mapInArrow(shard, "weights binary, n long")
+        sums = trained.repartition(math.isqrt(shards)).mapInArrow(add, "weights binary, n long") if shards > 512 else trained
+        got = [(pickle.loads(x["weights"]), x["n"]) for x in sums.collect()]  # bounded: the weights of 512 shards at most
         if got:
             n = sum(k for _, k in got)
             weights = {k: (sum(t[k] for t, _ in got) / n).astype(np.float32) for k in weights}
@@ -170,22 +235,19 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
     rows = save(encoded(parted(docs).select("doc_id", "raw", "held_out", "h"), name), "lm-tokens", "zstd")
     train = rows.filter(~F.col("held_out"))
     n_train = train.count()
-    class_of = _classes(train, name)
-    counts = save(corpus_counts(train, class_of), "lm-counts")
-    ids, pairs = _table(counts, "i", len(class_of)), _table(counts, "p", CLASSES * CLASSES).reshape(CLASSES, CLASSES)
-    base = np.log((pairs + ALPHA) / (pairs.sum(axis=1, keepdims=True) + ALPHA * CLASSES)).astype(np.float32)
-    in_class = np.bincount(class_of, ids + ALPHA, CLASSES)
-    share = np.log((ids + ALPHA) / in_class[class_of])
-    weights = fit(train, n_train, class_of, base)
+    counts = save(corpus_counts(train), "lm-counts")
+    vocab = vocabulary(counts, library(name).get_vocab_size())
+    tokens = counts.filter("kind = 'p'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    weights = fit(train, tokens, vocab)
     words = counts.filter("kind = 'w'").select("key", "n")
     n_words, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = n_words + n_train, v + (n_train > 0)  # with the end token, once a row
     floor = total + ALPHA * (distinct + 1)
-    top = words.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    sent = spark.sparkContext.broadcast((weights, base, class_of, share, dict(zip(top["key"].to_pylist(), top["n"].to_pylist(), strict=True)), n_train))
+    top = frequent(words, FREQUENT).toArrow()
+    sent = spark.sparkContext.broadcast((weights, vocab, dict(zip(top["key"].to_pylist(), top["n"].to_pylist(), strict=True)), n_train))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, usual, of, shares, known, ends = sent.value
+        p, vocab, known, ends = sent.value
         log = math.log10
         worth = {w: log(n + ALPHA) for w, n in known.items()}
         for batch in batches:
@@ -197,8 +259,8 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
                 while end < len(raws) and (end == at or held + len(raws[end]) < 500_000):
                     held += len(raws[end])
                     end += 1
-                seen, classes, target, lengths = _sequences(packed[at:end], of)
-                got = attention.score(p, usual, seen, classes, lengths) + shares[target]
+                target, lengths = laid(packed[at:end], vocab)
+                got = attention.score(p, vocab.base, target, lengths, vocab.begin) + vocab.share * (target == vocab.other)
                 lm += (np.add.reduceat(got, np.cumsum(lengths) - lengths) / math.log(10)).tolist()
                 at = end
             for raw in raws:

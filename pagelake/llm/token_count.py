@@ -13,14 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import forget, save, ship, texts
+from pagelake.llm.common import frequent, save, ship, texts
 from pagelake.llm.tokens import BYTE_BPE, pre_tokens
 
 #: Pre-tokens in the bounded table of frequent ones (about 3 MB), whatever the input.
 FREQUENT = 100_000
 #: Distinct pre-tokens a task gathers before it passes them on.
 GATHER = 300_000
-#: Occurrences within one task under which a pre-token cannot be among the frequent.
+#: Tokens above which a document is over the limit.
 LIMIT = 1_024
 
 
@@ -66,11 +66,11 @@ def count_tokens(docs: DataFrame, name: str = BYTE_BPE, limit: int = LIMIT) -> D
     """
     spark = docs.sparkSession
     vocab = save(vocabulary(docs, name), "pre-tokens")
-    top = vocab.orderBy(F.desc("n"), "pre_token").limit(FREQUENT).select("pre_token", "pieces").toArrow()
-    frequent = spark.sparkContext.broadcast(dict(zip(top["pre_token"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
+    top = frequent(vocab, FREQUENT).select("pre_token", "pieces").toArrow()
+    sent = spark.sparkContext.broadcast(dict(zip(top["pre_token"].to_pylist(), top["pieces"].to_pylist(), strict=True)))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = pre_tokens(name), frequent.value
+        cutter, known = pre_tokens(name), sent.value
         split: dict[str, tuple[int, list[str]]] = {}  # chunk -> tokens of its frequent pre-tokens, the others
         for batch in batches:
             sums, sizes, rare = [], [], []

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from samples import cases, frame, prose
 from pagelake.llm import attention, flac, license_scan, lm_score, media, mixing, packing, pii, quality, token_count
+from pagelake.llm.common import frequent
 from pagelake.llm.tokens import pre_tokens, word_ids
 
 ROWS = cases()
@@ -356,30 +357,59 @@ def test_every_notice_has_cues():
 # ---------------------------------------------------------------- scores
 
 
+def _base(ids=9, edges=(0, 4, 9), seed=1):
+    rng = np.random.default_rng(seed)
+    table = rng.random((ids, ids))
+    table /= table.sum(axis=1, keepdims=True)
+    sums = np.add.reduceat(table, edges[:-1], axis=1)
+    return attention.Base(np.array(edges), np.arange(ids), np.log(sums), np.log(table / np.repeat(sums, np.diff(edges), axis=1))), table
+
+
 def test_attention_slopes():
     rng = np.random.default_rng(0)
-    p = {k: v.astype(np.float64) for k, v in attention.fresh(9).items()}
-    p["out"] = rng.standard_normal(p["out"].shape)
-    c, t = rng.integers(0, 9, (2, attention.WINDOW)), rng.integers(0, 9, (2, attention.WINDOW))
-    ok, base = rng.random((2, attention.WINDOW)) < 0.7, rng.standard_normal((9, 9))
-    loss, d = attention.slopes(p, base, c, t, ok)
+    base, _ = _base()
+    p = {k: v.astype(np.float64) for k, v in attention.fresh(9, 2).items()}
+    p["top"], p["inner"] = rng.standard_normal(p["top"].shape), rng.standard_normal(p["inner"].shape)
+    w = attention.windows(rng.integers(0, 9, 150), np.array([100, 3, 47]), 0, attention.STRIDE)
+    loss, d = attention.slopes(p, base, w)
+    assert set(d) == set(p)
     for name, v in p.items():
-        at = tuple(int(rng.integers(0, n)) for n in v.shape)
-        e = np.zeros_like(v)
-        e[at] = 1e-5
-        up, down = (attention.slopes(p | {name: v + s * e}, base, c, t, ok)[0] for s in (1, -1))
-        assert abs((up - down) / 2e-5 - d[name][at]) < 1e-4, name
-
-
-def test_every_position_is_scored_once():
-    lengths = np.array([1, 5, 32, 33, 56, 57, 200])
-    count = np.zeros(lengths.sum(), int)
-    for pos, ok, _ in attention.batches(lengths, 3):
-        np.add.at(count, pos[ok], 1)
-    assert (count == 1).all()
-    p, base = attention.fresh(7), np.zeros((7, 7), np.float32)
-    got = attention.score(p, base, np.zeros(lengths.sum(), int), np.ones(lengths.sum(), int), lengths)
-    assert np.allclose(got, -math.log(7), atol=1e-4)  # no weight yet: all classes alike
+        for _ in range(3):
+            at = tuple(int(rng.integers(0, n)) for n in v.shape)
+            e = np.zeros_like(v)
+            e[at] = 1e-7  # small, so that no hidden unit turns on or off
+            up, down = (attention.slopes(p | {name: v + s * e}, base, w)[0] for s in (1, -1))
+            assert abs((up - down) / 2e-7 - d[name][at]) < 1e-5, name
+
+
+def test_every_position_is_scored_once_after_what_is_before():
+    lengths = np.array([1, 5, 40, 41, 48, 49, 88, 89, 200])
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 9, lengths.sum())
+    for stride in (attention.STRIDE, attention.WINDOW):
+        w = attention.windows(ids, lengths, 0, stride)
+        count = np.zeros(lengths.sum(), int)
+        np.add.at(count, w.position[w.counts], 1)
+        assert (count == 1).all() and (w.target == ids[w.position]).all()
+        first = np.cumsum(lengths) - lengths
+        assert (w.seen[np.isin(w.position, first)] == 0).all()
+        inner = w.counts & ~np.isin(w.position, first)
+        assert (w.seen[inner] == ids[w.position[inner] - 1]).all()
+    base, table = _base()
+    got = attention.score(attention.fresh(9, 2), base, ids, lengths, 0)  # nothing learned yet: the counts' probability
+    before = np.concatenate([[0], ids[:-1]])
+    before[first] = 0
+    assert np.allclose(got, np.log(table[before, ids]), atol=1e-4)
+
+
+def test_outputs_are_probabilities():
+    rng = np.random.default_rng(3)
+    base, _ = _base()
+    p = attention.fresh(9, 2)
+    p["top"], p["inner"] = (rng.standard_normal(p[k].shape).astype(np.float32) for k in ("top", "inner"))
+    g = rng.standard_normal((5, attention.WIDTH)).astype(np.float32)
+    told = [attention.outputs(p, base, g, np.full(5, 3), np.full(5, t), False)[0] for t in range(9)]
+    assert np.allclose(np.exp(told).sum(axis=0), 1, atol=1e-4)
 
 
 def test_scores(docs, empty):
@@ -416,19 +446,40 @@ def test_learned_model_beats_uniform_on_held_out_text(spark):
 
 
 def test_model_has_its_sizes():
-    """Ids that the input tells apart, width, hidden width, and tokens of context at a seam."""
-    assert lm_score.CLASSES >= 192 and attention.WIDTH >= 16 and attention.HIDDEN >= 32
-    pos, ok, _ = next(attention.batches(np.array([200]), 100))
-    assert pos.shape[1] >= 32 and all(np.flatnonzero(x)[0] >= 8 for x in ok[1:])
+    """Width, hidden width, and tokens of context at a seam."""
+    assert attention.WIDTH >= 16 and attention.HIDDEN >= 32 and attention.WINDOW >= 32
+    w = attention.windows(np.zeros(200, int), np.array([200]), 0, attention.STRIDE)
+    assert all(np.flatnonzero(x)[0] >= 8 for x in w.counts[1:])
+
+
+def test_every_id_of_all_rows_is_told_apart(spark):
+    rows = spark.createDataFrame([(b"x", np.array([1, 1, 2] if k < 9_000 else [7, 8, 9] * 9, "<u2").tobytes()) for k in range(9_100)], "raw binary, ids binary")
+    vocab = lm_score.vocabulary(lm_score.corpus_counts(rows), 100)
+    assert len(set(vocab.number[[1, 2, 7, 8, 9, lm_score.END, 50]].tolist())) == 7 and vocab.number[50] == vocab.number[51] == vocab.other
+    told = [np.exp(attention.score(attention.fresh(7, len(vocab.base.edges) - 1), vocab.base, vocab.number[[1, k]], np.array([2]), vocab.begin))[1] for k in (1, 2, 7, 8, 9, lm_score.END, 50)]
+    assert abs(sum(told) - 1) < 1e-4 and abs(told[0] - 0.5) < 0.01 and abs(told[1] - 0.5) < 0.01  # a 1 is followed by 1 and 2 alike
+    assert abs(math.exp(vocab.share) * (101 - 6) - 1) < 1e-9
 
 
-def test_training_covers_all_rows(spark, monkeypatch):
-    rows = spark.createDataFrame([(k, np.array([1, 1, 2] if k < 9_000 else [7, 8, 9] * 9, "<u2").tobytes()) for k in range(9_100)], "h long, ids binary")
-    top = np.bincount(lm_score._classes(rows, lm_score.WORD_BPE))
-    assert top[:6].tolist() == [1] * 6  # the end and five ids, rare ones too
+def test_shards_learn_from_all_windows(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(attention, "slopes", lambda p, base, c, target, ok: (seen.append(c[:, 0]), (0.0, {k: np.zeros_like(v) for k, v in p.items()}))[1])
-    c = np.arange(20_000)
-    for r in range(2):
-        attention.train(attention.fresh(3), np.zeros((3, 3), np.float32), c, c, np.ones(20_000, int), 150, part=r, parts=2)
-    assert len(np.unique(np.concatenate(seen))) == 20_000
+    monkeypatch.setattr(attention, "slopes", lambda p, base, w: (seen.append(w.position[w.counts]), (0.0, {k: np.zeros_like(v) for k, v in p.items()}))[1])
+    w = attention.windows(np.arange(20_000) % 7, np.full(100, 200), 0, attention.WINDOW)
+    for r in range(lm_score.ROUNDS):
+        trainer = attention.Trainer(attention.fresh(9, 2), _base()[0], 10)
+        trainer.learn(attention.pick(w, slice(r, None, lm_score.ROUNDS)), 16)
+    assert sorted(np.concatenate(seen).tolist()) == list(range(20_000))
+
+
+def test_held_out_score_beats_the_base(spark):
+    """On the test documents: in sum, and on most documents."""
+    rows = lm_score.scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+    assert sum(r["score"] > r["base_score"] for r in rows) > 0.6 * len(rows)
+
+
+def test_frequent_rows_are_the_most_frequent(spark):
+    df = spark.createDataFrame([(k, n) for k, n in enumerate([1] * 500 + [2] * 50 + [900, 1000, 5000, 7])], "k long, n long")
+    assert sorted(r["n"] for r in frequent(df, 60).collect()) == [2] * 50 + [7, 900, 1000, 5000]
+    assert sorted(r["n"] for r in frequent(df, 53).collect()) == [7, 900, 1000, 5000]
+    assert frequent(df, 1000).count() == 554 and frequent(df, 0).count() == 0 and frequent(df.limit(0), 9).count() == 0
