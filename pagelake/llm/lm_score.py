@@ -34,6 +34,8 @@ FEATURES = 256
 ROUNDS = 2
 #: Shards at most (a shard is what a task reads of the written ids), and ids that a shard lays out at once.
 SHARDS, PORTION = 4_096, 1_000_000
+#: Sets of weights that reach the driver at most; a task adds up four times as many.
+FAN = 8
 #: Frequent words in the bounded table; distinct keys that a task gathers before it passes them on.
 FREQUENT, GATHER = 100_000, 300_000
 HELD_OUT = 10
@@ -181,8 +183,8 @@ def fit(train: DataFrame, tokens: int, vocab: Vocabulary) -> attention.Params:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = None, 0
         for batch in batches:
-            for x, k in zip(batch["weights"].to_pylist(), batch["n"].to_pylist(), strict=True):
-                got = pickle.loads(x)
+            for x, k in zip(batch["weights"], batch["n"].to_pylist(), strict=True):
+                got = pickle.loads(x.as_py())
                 total = got if total is None else {name: total[name] + got[name] for name in got}
                 n += k
         if n:
@@ -211,11 +213,13 @@ def fit(train: DataFrame, tokens: int, vocab: Vocabulary) -> attention.Params:
             if held:
                 learn()
             if trainer.places:
-                yield packed({k: v.astype(np.float64) * trainer.places for k, v in trainer.p.items()}, trainer.places)
+                yield packed({k: v * np.float32(trainer.places) for k, v in trainer.p.items()}, trainer.places)
 
-        trained = train.mapInArrow(shard, "weights binary, n long")
-        sums = trained.repartition(math.isqrt(shards)).mapInArrow(add, "weights binary, n long") if shards > 512 else trained
-        got = [(pickle.loads(x["weights"]), x["n"]) for x in sums.collect()]  # bounded: the weights of 512 shards at most
+        sums, parts = train.mapInArrow(shard, "weights binary, n long"), shards
+        while parts > FAN:  # sums of sums, so that neither a task nor the driver holds the weights of many shards
+            parts = -(-parts // (4 * FAN))
+            sums = sums.repartition(parts).mapInArrow(add, "weights binary, n long")
+        got = [(pickle.loads(x["weights"]), x["n"]) for x in sums.collect()]  # FAN at most
         if got:
             n = sum(k for _, k in got)
             weights = {k: (sum(t[k] for t, _ in got) / n).astype(np.float32) for k in weights}
