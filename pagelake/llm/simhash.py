@@ -252,135 +252,191 @@ def _named(fps: DataFrame, radius: int) -> DataFrame:
 
 #: Minima in a band and bands: texts of Jaccard similarity 0.8 share a band with probability 0.9998.
 BAND, N_BANDS = 4, 16
+#: Shingles of a bucket that one task compares; larger buckets are compared block by block.
+BLOCK = 1 << 20
 
 
-def minima(h: np.ndarray) -> tuple[list[int], bytes]:
-    """Of a set of shingle hashes: a key for each band, and one byte of each minimum.
-
-    A minimum is the smallest of the hashes under its multiplier; those of a band are hashed together.
-    """
+def minima(h: np.ndarray) -> list[int]:
+    """Of a set of shingle hashes: a key for each band, made of the smallest hashes under the band's multipliers."""
     if not len(h):
-        return [0] * N_BANDS, bytes(BAND * N_BANDS)
+        return [0] * N_BANDS
     factors = np.array([xxhash.xxh64_intdigest(b"%d" % k, seed=1) | 1 for k in range(BAND * N_BANDS)], np.uint64)
     least = np.array([(h * f).min() for f in factors], np.uint64).reshape(N_BANDS, BAND)
-    keys = [xxhash.xxh64_intdigest(b"%d:" % k + least[k].tobytes()) - (1 << 63) for k in range(N_BANDS)]
-    return keys, bytes(xxhash.xxh64_intdigest(x.tobytes()) & 255 for x in least.ravel())
+    return [xxhash.xxh64_intdigest(b"%d:" % k + least[k].tobytes()) - (1 << 63) for k in range(N_BANDS)]
 
 
 def shingle_set(raw: bytes, width: int) -> np.ndarray:
     return np.unique(np.concatenate([*shingle_hashes(raw, width), np.zeros(0, np.uint64)]))
 
 
-def jaccard(x: np.ndarray, y: np.ndarray) -> float:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+def joined(label: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges between labels that join all sets alike by `similarity` or more, as far as the labels don't yet.
+
+    Every set is compared with all those of other labels, by counts of what they share; a set just reached is next,
+    so that copies of one original are found from it at once. When one label is left, nothing more is compared.
+    """
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    label, size = label[order].copy(), np.array([len(sets[k]) for k in order])
+    groups = len(np.unique(label))
+    _, ids, many = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True, return_counts=True)
+    shared = many[ids] > 1  # what one set alone has is in no intersection
+    ids, cuts = ids[shared], np.concatenate([[0], np.cumsum(shared)])[np.concatenate([[0], np.cumsum(size)])]
+    flag, done, edges = np.zeros(len(many), bool), np.zeros(len(size), bool), []
+    turn = list(range(len(size)))
+    while turn and groups > 1:
+        r = turn.pop()
+        if done[r]:
+            continue
+        done[r] = True
+        lo, hi = np.searchsorted(size, similarity * size[r] - 1e-9), np.searchsorted(size, size[r] / similarity + 1e-9, "right")
+        other = lo + np.flatnonzero(label[lo:hi] != label[r])
+        if not len(other):
+            continue
+        flag[ids[cuts[r] : cuts[r + 1]]] = True
+        held = np.concatenate([[0], np.cumsum(flag[ids[cuts[lo] : cuts[hi]]])])
+        flag[ids[cuts[r] : cuts[r + 1]]] = False
+        both = held[cuts[other + 1] - cuts[lo]] - held[cuts[other] - cuts[lo]]
+        near = other[both >= similarity * (size[r] + size[other] - both) - 1e-9]
+        for x in np.unique(label[near]).tolist():
+            edges.append((int(label[r]), x))
+            label[label == x] = label[r]
+            groups -= 1
+        turn += near.tolist()
+    return edges
+
+
+def _split(live: DataFrame) -> DataFrame:
+    """bucket, node, root, cell: rows of live (bucket, node, root, n), dealt out so that a cell holds two blocks at most.
+
+    A bucket's largest group isn't compared with itself. The others, in blocks, meet each other and each of its blocks.
+    """
+    sums = live.groupBy("bucket", "root").agg(F.sum("n").alias("n"))
+    most = sums.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK).cast("int"))
+    most = most.select(F.col("bucket"), F.col("m.root").alias("main"), (F.col("all") <= BLOCK).alias("whole"), blocks(F.col("m.n")).alias("nm"), blocks(F.col("all") - F.col("m.n")).alias("nu"))
+    at = live.join(most, "bucket").withColumn("h", F.xxhash64("node"))
+    mine = F.pmod("h", F.when(F.col("root") == F.col("main"), F.col("nm")).otherwise(F.col("nu"))).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    first = F.col("nu") * F.col("nu")
+    with_main = F.transform(upto(F.col("nm")), lambda j: first + F.col("b") * F.col("nm") + j)
+    others = F.transform(upto(F.col("nu")), lambda j: F.least("b", j) * F.col("nu") + F.greatest("b", j))
+    from_main = F.transform(upto(F.col("nu")), lambda i: first + i * F.col("nm") + F.col("b"))
+    cells = F.when(F.col("whole"), F.array(F.lit(0))).when(F.col("root") == F.col("main"), from_main).otherwise(F.concat(others, with_main))
+    return at.withColumn("b", mine).select("bucket", "node", "root", F.explode(cells).alias("cell"))
+
+
+def _search(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) between roots of live (bucket, node, root, n) whose sets (node, hashes) are alike within a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, label, held = None, [], []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            edges = joined(np.array(label, np.int64), held, similarity) if len(held) > 1 else []
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
+            label.clear()
+            held.clear()
+
+        for batch in batches:
+            for bucket, cell, root, hashes in zip(*(batch[c].to_pylist() for c in ("bucket", "cell", "root", "hashes")), strict=True):
+                if now != (bucket, cell):
+                    yield from out()
+                    now = bucket, cell
+                label.append(root)
+                held.append(np.frombuffer(hashes, np.uint64))
+        yield from out()
+
+    dealt = _split(live).join(sets, "node").select("bucket", "cell", "root", "hashes").repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _hubs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) of nodes alike to one of four hubs of their bucket, for buckets of more than a block.
 
+    A hub is the node of its quarter with most company in all its buckets: an original rather than one of its copies.
+    """
+    large = live.groupBy("bucket").agg(F.sum("n").alias("all"), F.count("*").alias("crowd")).filter(F.col("all") > BLOCK).select("bucket", "crowd")
+    crowded = live.join(small(large), "bucket")
+    company = crowded.groupBy("node").agg(F.sum("crowd").alias("company"))
+    ranked = crowded.join(company, "node").groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(4)).alias("quarter")).agg(F.max(F.struct("company", "node")).alias("h"))
+    pairs = crowded.join(small(ranked.select("bucket", F.col("h.node").alias("hub"))), "bucket").filter("node <> hub").select("node", "hub").distinct()
+    both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch["hashes"].to_pylist(), batch["hub_hashes"].to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["hub"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-def fewest_equal(similarity: float) -> int:
-    """Equal minima from which a pair is compared: alike texts have fewer in under one pair of 10 ** 9."""
-    n, below = BAND * N_BANDS, 0.0
-    for k in range(n + 1):
-        below += math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)
-        if below > 1e-9:
-            return k
-    return n
+    return both.select("node", "hub", "hashes", "hub_hashes").mapInArrow(verify, "a long, b long")
 
 
-def similar(keys: DataFrame, rows: DataFrame, named: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(node, root) of the groups of `named` (fp, root) that texts alike by `similarity` or more join.
+def similar(keys: DataFrame, rows: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
+    """(node, root) of the shingle sets that similarity joins, as far as there are any; roots are nodes too.
 
-    64 bits cannot tell such pairs from others: at similarity 0.8 about ten of them differ. So candidates are texts
-    that share a band of minima of the same shingle hashes. Within a band's bucket hubs are compared with all texts
-    of other groups and then leave it, twice as many in each round, until the bucket holds one group only. So every
-    pair of a bucket is either compared or already in one group, and a group around some original costs few hubs:
-    texts that share most buckets become hubs first. Pairs are verified on whole texts.
-    keys: doc_id, row_hash, node (of a shingle set and fp), fp, n, sketch, bands. rows: doc_id, row_hash, raw.
+    Candidates are sets whose fingerprints hang together within the radius, and, as 64 bits cannot tell a pair at
+    similarity 0.8 from others (about ten of them differ), sets that share a band of minima of the same hashes. Each
+    is a bucket, and within a bucket all pairs of different groups are compared exactly, on whole texts: small buckets
+    in one task, large ones block by block once hubs have joined what they can. Buckets of the same members are one.
+    keys: doc_id, row_hash, node (of a shingle set), fp, n, bands. rows: doc_id, row_hash, raw.
     """
     ship(keys.sparkSession)
-    fewest = fewest_equal(similarity)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "fp", "n", "sketch", "bands")
-    reps = save(keys.groupBy("node").agg(F.min(place).alias("p")).select("node", "p.*"), "near-texts")
-    bands = reps.join(named, "fp").select("node", "root", "n", "sketch", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("crowd"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "crowd")
-    live = save(bands.join(shared, "band"), "near-bands")
-    degree = live.groupBy("node").agg(F.sum("crowd").alias("degree"))
-    live = save(live.join(degree, "node").select("band", "node", F.col("root").alias("first_root"), "root", "n", "sketch", "degree"), "near-live")
-    asked = live.select("node").distinct()
-    texts_ = reps.select("node", "doc_id", "row_hash").join(asked, "node").withColumnRenamed("doc_id", "d").withColumnRenamed("row_hash", "r")
+    named = save(_named(keys.select("doc_id", "fp"), radius).select("fp", "root"), "named")
+    reps = save(keys.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash", "n", "bands")).alias("p")).select("node", "p.*"), "near-texts")
+    by_print = keys.select("node", "fp", "n").distinct().join(named, "fp").select("node", "n", F.xxhash64(F.lit("fp"), F.col("root")).alias("bucket")).distinct()
+    at = reps.select("node", "n", F.explode("bands").alias("bucket")).unionByName(by_print)
+    h = F.xxhash64("node")
+    same = at.groupBy("bucket").agg(F.count("*").alias("crowd"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1 << 31))).alias("s")).filter("crowd > 1")
+    live = save(at.join(same.groupBy("crowd", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket").withColumn("root", F.col("node")), "near-live")
+    if live.isEmpty():
+        return live.select("node", "root")
+    texts_ = reps.select("node", F.col("doc_id").alias("d"), F.col("row_hash").alias("r")).join(live.select("node").distinct(), "node")
     got = rows.join(small(texts_, 100_000), F.col("row_hash").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "raw")
-    got = save(got.groupBy("node").agg(F.min("raw").alias("raw")), "near-raw")
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BAND * N_BANDS) for c in ("sketch_a", "sketch_b"))
-                ok = pa.array((x == y).sum(axis=1) >= fewest)
-                yield pa.RecordBatch.from_arrays([batch[c] for c in ("a", "b", "root_a", "root_b")], names=["a", "b", "root_a", "root_b"]).filter(ok)
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([shingle_set(x.as_py(), width).tobytes() for x in batch["raw"]], pa.binary())], names=["node", "hashes"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, known = b"", shingle_set(b"", width)
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch["raw_a"].to_pylist(), batch["raw_b"].to_pylist(), strict=True):
-                if y != hub:
-                    hub, known = y, shingle_set(y, width)
-                ok.append(jaccard(shingle_set(x, width), known) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch["root_a"], batch["root_b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    merges, groups, tried, n_hubs = None, None, None, 2
-    while True:
-        active = live.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band")
-        live = save(live.join(active, "band", "left_semi"), "near-live")
-        if live.isEmpty():
-            break
-        order = F.struct("degree", F.xxhash64("node"), "node", "first_root", "root", "n", "sketch")
-        hubs = live.groupBy("band", F.pmod(F.xxhash64("node", F.lit(n_hubs)), F.lit(n_hubs)).alias("slot")).agg(F.max(order).alias("h"))
-        hubs = save(hubs.select("band", F.col("h.node").alias("b"), F.col("h.first_root").alias("root_b"), F.col("h.root").alias("now_b"), F.col("h.n").alias("n_b"), F.col("h.sketch").alias("sketch_b")), "near-hubs")
-        near = (F.col("root") != F.col("now_b")) & (F.least("n", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n", "n_b"))
-        pairs = live.join(hubs, "band").filter(near).select(F.col("node").alias("a"), "b", F.col("first_root").alias("root_a"), "root_b", F.col("sketch").alias("sketch_a"), "sketch_b")
-        pairs = pairs.mapInArrow(likely, "a long, b long, root_a long, root_b long").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = save(pairs, "near-pairs")
-        both = pairs.join(got.select(F.col("node").alias("a"), F.col("raw").alias("raw_a")), "a").join(got.select(F.col("node").alias("b"), F.col("raw").alias("raw_b")), "b")
-        new = save(both.select("root_a", "root_b", "raw_a", "raw_b").mapInArrow(verify, "a long, b long").distinct(), "near-merges")
-        both_ways = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tried = both_ways if tried is None else tried.union(both_ways)
-        live = live.join(hubs.select("band", F.col("b").alias("node")), ["band", "node"], "left_anti")
-        if not new.isEmpty():
-            merges = new if merges is None else merges.union(new)
-            groups = _roots(merges)
-            live = live.drop("root").join(groups.select(F.col("node").alias("first_root"), "root"), "first_root", "left").withColumn("root", F.coalesce("root", "first_root"))
-        n_hubs *= 2
-    return groups if groups is not None else named.select(F.col("fp").alias("node"), "root").limit(0)
+    sets = save(got.mapInArrow(hashes, "node long, hashes binary").dropDuplicates(["node"]), "near-sets")
+    merges = None
+    if not live.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > BLOCK).isEmpty():
+        merges = save(_hubs(live, sets, similarity), "near-hubs")
+        roots = _roots(merges).withColumnRenamed("root", "to")
+        live = live.join(roots, "node", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
+        several = live.groupBy("bucket").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("bucket")
+        live = save(live.join(several, "bucket"), "near-live")
+    found = save(_search(live, sets, similarity), "near-merges")
+    return _roots(found if merges is None else found.union(merges))
 
 
 def one_of_each(docs: DataFrame, width: int, radius: int, similarity: float) -> DataFrame:
     """The rows of docs, columns as they are, with one row of each component: that of the smallest doc_id.
 
-    Texts are linked by fingerprints within the radius and by shingle similarity. Ties are broken by a hash of the
-    whole row; of rows that are alike in every column one stays. A null doc_id comes last. No group is paired out.
+    Texts are linked by shingle similarity; candidates come from fingerprints within the radius and from bands of
+    minima. Null, empty and blank texts have no shingle and are alike. Ties are broken by a hash of the whole row; of
+    rows that are alike in every column one stays. A null doc_id comes last. No group is paired out.
     """
     ship(docs.sparkSession)
 
-    @F.pandas_udf("struct<node:long,fp:long,n:long,sketch:binary,bands:array<long>>")
+    @F.pandas_udf("struct<node:long,fp:long,n:long,bands:array<long>>")
     def keys_of(raws: pd.Series) -> pd.DataFrame:
         out = []
         for raw in raws:
             parts = list(shingle_hashes(raw, width))
-            fp, h = majority(parts), np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]))
-            bands, sketch = minima(h)
-            out.append((xxhash.xxh64_intdigest(h.tobytes() + fp.to_bytes(8, "little")) - (1 << 63), int(np.uint64(fp).astype(np.int64)), len(h), sketch, bands))
-        return pd.DataFrame(out, columns=["node", "fp", "n", "sketch", "bands"])
+            h = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+            out.append((xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), int(np.uint64(majority(parts)).astype(np.int64)), len(h), minima(h)))
+        return pd.DataFrame(out, columns=["node", "fp", "n", "bands"])
 
     hashed = F.xxhash64(*[docs[c] for c in docs.columns])
     rows = docs.select(column(docs, "doc_id", "bigint"), hashed.alias("row_hash"), F.coalesce(column(docs, "text", "string"), F.lit("")).cast("binary").alias("raw"))
     keys = save(rows.withColumn("k", keys_of("raw")).select("doc_id", "row_hash", "k.*"), "row-keys")
-    named = save(_named(keys.select("doc_id", "fp"), radius).select("fp", "root"), "named")
-    groups = similar(keys, rows, named, width, similarity).select(F.col("node").alias("root"), F.col("root").alias("joined"))
-    named = named.join(groups, "root", "left").select("fp", F.coalesce("joined", "root").alias("root"))
+    groups = similar(keys, rows, width, radius, similarity)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
-    first = keys.select("doc_id", "row_hash", "fp").join(named, "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
+    first = keys.select("doc_id", "row_hash", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("first")).select("first.doc_id", "first.row_hash")
     copies = keys.groupBy("doc_id", "row_hash").agg(F.count("*").alias("copies"))
     stays = first.alias("f").join(copies.alias("a"), F.col("f.row_hash").eqNullSafe(F.col("a.row_hash")) & F.col("f.doc_id").eqNullSafe(F.col("a.doc_id")))
     stays = save(stays.select(F.col("f.doc_id").alias("keep_id"), F.col("f.row_hash").alias("keep_hash"), "copies"), "stays")
