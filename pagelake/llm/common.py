@@ -131,5 +131,10 @@ def arrow_types(schema: str) -> list[pa.DataType]:
     return [kinds[x.split()[1]] for x in schema.split(",")]
 
 
+def lists(cuts: list[int], **columns: pa.Array) -> pa.ListArray:
+    """A list of structs for each row, from the columns of all and the places where rows end."""
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm import attention
-from pagelake.llm.common import frequent, save, ship, texts
+from pagelake.llm.common import frequent, lists, save, ship, texts
 from pagelake.llm.tokens import WORD_BPE, library, word_ids
 
 #: The end of a text among 16-bit ids.
@@ -256,7 +256,7 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
         worth = {w: log(n + ALPHA) for w, n in known.items()}
         for batch in batches:
             raws, packed = batch["raw"].to_pylist(), batch["ids"].to_pylist()
-            lm, n_tokens, n_known, first, rare = [], [], [], [], []
+            lm, n_tokens, n_known, first, keys, times, cuts = [], [], [], [], [], [], [0]
             at = 0
             while at < len(raws):  # so many bytes at a time
                 end, held = at, 0
@@ -269,19 +269,21 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
                 at = end
             for raw in raws:
                 bag = Counter(raw.lower().split())
-                total_log, sure, others = log(ends + ALPHA), int(ends > 0), []
+                total_log, sure = log(ends + ALPHA), int(ends > 0)
                 for w, n in bag.items():
                     if (x := worth.get(w)) is not None:
                         total_log += n * x
                         sure += n
                     else:
-                        others.append({"key": w, "n": n})
+                        keys.append(w)
+                        times.append(n)
                 n_tokens.append(bag.total() + 1)
                 n_known.append(sure)
                 first.append(total_log)
-                rare.append(others)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("key", pa.binary()), ("n", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], *(pa.array(c, t) for c, t in zip((n_tokens, n_known, first, lm, rare), kinds, strict=True))], names=["doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"])
+                cuts.append(len(keys))
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            rare = lists(cuts, key=pa.array(keys, pa.binary()), n=pa.array(times, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], *(pa.array(c, t) for c, t in zip((n_tokens, n_known, first, lm), kinds, strict=True)), rare], names=["doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"])
 
     got = rows.drop("h").mapInArrow(measure, "doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, rare array<struct<key:binary,n:long>>")
     got = save(got.withColumn("row", F.monotonically_increasing_id()), "lm-rows")  # written, so a row keeps its number

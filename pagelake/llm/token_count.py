@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import frequent, save, ship, texts
+from pagelake.llm.common import frequent, lists, save, ship, texts
 from pagelake.llm.tokens import BYTE_BPE, pre_tokens
 
 #: Pre-tokens in the bounded table of frequent ones (about 3 MB), whatever the input.
@@ -73,7 +73,7 @@ def count_tokens(docs: DataFrame, name: str = BYTE_BPE, limit: int = LIMIT) -> D
         cutter, known = pre_tokens(name), sent.value
         split: dict[str, tuple[int, list[str]]] = {}  # chunk -> tokens of its frequent pre-tokens, the others
         for batch in batches:
-            sums, sizes, rare = [], [], []
+            sums, sizes, keys, times, cuts = [], [], [], [], [0]
             for raw in batch["raw"]:
                 raw = raw.as_py()
                 total, others = 0, Counter()
@@ -88,9 +88,11 @@ def count_tokens(docs: DataFrame, name: str = BYTE_BPE, limit: int = LIMIT) -> D
                         others[x] += n
                 sums.append(total)
                 sizes.append(len(raw))
-                rare.append([{"pre_token": k, "n": v} for k, v in others.items()])
-            kind = pa.list_(pa.struct([("pre_token", pa.string()), ("n", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(rare, kind)], names=["doc_id", "n_bytes", "known", "rare"])
+                keys += others.keys()
+                times += others.values()
+                cuts.append(len(keys))
+            rare = lists(cuts, pre_token=pa.array(keys, pa.string()), n=pa.array(times, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), rare], names=["doc_id", "n_bytes", "known", "rare"])
 
     ship(spark)
     freq = texts(docs).mapInArrow(frequencies, "doc_id long, n_bytes long, known long, rare array<struct<pre_token:string,n:long>>")
