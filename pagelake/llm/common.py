@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 #: Largest table, in rows, that a join may broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 20_000
 
-#: Rows that go to a Python worker at once, at most.
-BATCH_ROWS = 2_000
+#: Rows and bytes that go to a Python worker at once, at most.
+BATCH_ROWS, BATCH_BYTES = 2_000, "16m"
 
 _shipped: set[str] = set()
 _own_dir: list[str] = []
@@ -29,6 +29,7 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that workers import it from anywhere."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)  # texts may be very long
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

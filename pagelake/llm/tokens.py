@@ -15,7 +15,7 @@ import numpy as np
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 #: Entries that a worker's caches of chunks and of their parts hold; what comes after is worked out each time.
-CACHE, PARTS = 400_000, 800_000
+CACHE, PARTS = 200_000, 300_000
 
 
 @functools.lru_cache
