@@ -24,6 +24,11 @@ GATHER = 300_000
 LIMIT = 1_024
 
 
+def one(chunk: str) -> bool:
+    """Letters alone, or a space and letters: such a chunk is one pre-token."""
+    return chunk.isalpha() or (chunk[:1] == " " and chunk[1:].isalpha())
+
+
 def vocabulary(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
     """Every distinct pre-token of docs with its number of occurrences and of pieces; pieces are counted once each."""
 
@@ -38,6 +43,9 @@ def vocabulary(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
             for raw in batch["raw"]:
                 chunks.update(cutter.chunks(raw.as_py().decode(errors="replace")))
             for chunk, n in chunks.items():
+                if one(chunk):
+                    seen[chunk] += n
+                    continue
                 for x in cutter[chunk]:
                     if x is not None:
                         seen[x] += n
@@ -78,6 +86,12 @@ def count_tokens(docs: DataFrame, name: str = BYTE_BPE, limit: int = LIMIT) -> D
                 raw = raw.as_py()
                 total, others = 0, Counter()
                 for chunk, n in Counter(cutter.chunks(raw.decode(errors="replace"))).items():
+                    if (sure := known.get(chunk)) is not None:  # a pre-token by itself
+                        total += n * sure
+                        continue
+                    if one(chunk):
+                        others[chunk] += n
+                        continue
                     if (got := split.get(chunk)) is None:
                         cut = cutter[chunk]
                         got = sum(1 if x is None else known.get(x, 0) for x in cut), [x for x in cut if x is not None and x not in known]
