@@ -5,31 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What is printed for "nothing".
+# What the reports print for "nothing", for money, and how they print a number.
 DASHES = ["", "-", "–", "—", "‐", "‑", "−", "_", ".", "n.d.", "N.D.", "nd", "ND", "n/a", "N/A", "/", "null", "NULL"]
-MONEY = r"(?i)(?:€|EUR|euro)"
-NUMBER = r"^\s*([-−–—])?\s*(\()?\s*(\d{1,3}(?:[.\x{00a0} ]\d{3})*|\d+)([.,]\d{1,4})?\s*(\))?(?:\s*%)?\s*$"
+MONEY = r"(?:€|EUR|euro)"
+NUMBER = r"\s*([-−–—])?\s*(\()?\s*(\d{1,3}(?:[.\x{00a0} ]\d{3})*|\d+)([.,]\d{1,4})?\s*(\))?(?:\s*%)?(?:\s*(?:€|EUR|euro))?\s*"
+TOTAL_WORDS = r"(?i)\b(?:totale|totali|complessivo|grand\s*total)\b"
+DATE = r"(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})"
 DECIMAL = "decimal(38,4)"
 #: Cents within which a printed and a computed amount count as rounded.
 TOLERANCE = "0.02"
 
 
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def _sign_after(text: Column) -> Column:
+    """A sign before the currency, moved behind it."""
+    return F.regexp_replace(stripped(text), rf"(?i)^([-−–])\s*({MONEY})\s*", "$2 $1")
+
+
+def _bare(text: Column) -> Column:
+    """Without the currency on either side."""
+    return stripped(F.regexp_replace(F.regexp_replace(_sign_after(text), rf"(?i)\s*{MONEY}$", ""), rf"(?i)^{MONEY}\s*", ""))
+
+
 def parse_number(text: Column) -> Column:
-    """The amount that an Italian printed number stands for, or null."""
-    raw = F.regexp_replace(F.trim(text), r"^\s*([-−–])\s*" + MONEY + r"\s*", "$1")
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(raw), "^" + MONEY + r"\s*", ""), r"\s*" + MONEY + "$", ""))
-    part = lambda k: F.regexp_extract(bare, NUMBER, k)
-    whole, frac = part(3), part(4)
-    digits = F.regexp_replace(whole, r"[.\x{00a0} ]", "")
-    as_code = (~frac.startswith(",")) & ~whole.contains(".") & F.length(digits).between(2, 3) & digits.startswith("0")
-    value = F.concat(digits, F.lit("."), F.coalesce(F.nullif(F.substring(frac, 2, 4), F.lit("")), F.lit("0"))).try_cast(DECIMAL)
-    negative = (part(1) != "") | ((part(2) != "") & (part(5) != ""))
-    return F.when(F.trim(text).isin(DASHES) | ~bare.rlike(NUMBER) | as_code, F.lit(None).cast(DECIMAL)).otherwise(F.when(negative, -value).otherwise(value))
+    """The amount that an Italian printed number stands for, or null. A chain of replacements, so each step is made once.
+
+    What is no number becomes empty; the parts of a number are set apart by semicolons; whole numbers of two or three
+    digits that begin with 0 are codes and become empty; points between thousands go; the sign, or both parentheses,
+    come before; then the text is a decimal.
+    """
+    t = F.regexp_replace(_bare(text), rf"(?s)^(?!{NUMBER}$).*$", "")
+    t = F.regexp_replace(t, f"^{NUMBER}$", "$1;$2;$3;$4;$5")
+    t = F.regexp_replace(t, r"^[^;]*;[^;]*;0\d{1,2};(?:\.\d+)?;[^;]*$", "")
+    t = F.regexp_replace(t, r"[.\x{00a0} ](?=[^;]*;[^;]*;[^;]*$)", "")
+    t = F.regexp_replace(t, r"^(?:[-−–—];\(?;|;\(;(?=.*;\)$))(\d+);[.,]?(\d*);\)?$", "-$1.$2")
+    t = F.regexp_replace(t, r"^;\(?;(\d+);[.,]?(\d*);\)?$", "$1.$2")
+    return t.try_cast(DECIMAL)
 
 
 def parse_date(text: Column) -> Column:
     """ISO text of day, month, year; two-digit years from 70 on are of the last century. Days are not checked by month."""
-    rule = r"^\s*(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})\s*$"
+    rule = rf"^\s*{DATE}\s*$"
     d, m, y = (F.regexp_extract(text, rule, k).try_cast("int") for k in (1, 2, 3))
     year = F.when(y >= 100, y).when(y >= 70, y + 1900).otherwise(y + 2000)
     return F.when(d.between(1, 31) & m.between(1, 12), F.format_string("%04d-%02d-%02d", year, m, d))
@@ -41,18 +60,21 @@ def real_date(text: Column) -> Column:
 
 
 def value_shape(text: Column) -> Column:
-    """What kind of value a cell prints; the first that fits, in this order."""
-    t = F.trim(text)
+    """What kind of value a cell prints; the first that fits, in this order.
+
+    Money is money only where the currency leads; a currency that follows leaves a number.
+    """
+    raw, number = stripped(text), rf"^{NUMBER}$"
+    signed = _sign_after(text)
     return (
-        F.when(text.isNull() | (t == ""), "empty")
-        .when(t.isin(DASHES), "dash")
-        .when(t.rlike(r"(?i)\b(totale|totali|complessivo|grand\s*total)\b"), "total_label")
-        .when(t.rlike(MONEY) & parse_number(t).isNotNull(), "currency")
-        .when(t.rlike(r"^\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}$"), "date")
-        .when(t.rlike(r"^(19|20)\d{2}$"), "year")
-        .when(t.rlike(r"^\d{1,6}$"), "code")
-        .when(parse_number(t).isNotNull() & t.endswith("%"), "percent")
-        .when(parse_number(t).isNotNull(), "number")
+        F.when(text.isNull() | (raw == ""), "empty")
+        .when(raw.isin(DASHES), "dash")
+        .when(signed.rlike(TOTAL_WORDS), "total_label")
+        .when(signed.rlike(rf"(?i)^{MONEY}") & _bare(text).rlike(number), "currency")
+        .when(signed.rlike(f"^{DATE}$"), "date")
+        .when(signed.rlike(r"^(?:19|20)\d{2}$"), "year")
+        .when(signed.rlike(r"^\d{1,6}$"), "code")
+        .when(signed.rlike(number), F.when(signed.endswith("%"), "percent").otherwise("number"))
         .otherwise("text")
     )
 

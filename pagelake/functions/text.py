@@ -31,18 +31,24 @@ def share(text: Column, pattern: str, of: str) -> Column:
 
 
 def is_garbled(text: Column) -> Column:
-    """Empty, or more than 15 % private-use characters among letters and digits."""
-    return F.coalesce(F.length(F.trim(text)) == 0, F.lit(True)) | (share(text, r"[\x{e000}-\x{f8ff}]", r"[\p{L}\p{N}]") > 0.15)
+    """No text, or more than 15 % private-use characters among letters and digits."""
+    return F.coalesce(F.length(text) == 0, F.lit(True)) | (share(text, r"[\x{e000}-\x{f8ff}]", r"[\p{L}\p{N}]") > 0.15)
 
 
 def vowel_share(text: Column) -> Column:
-    return share(text, r"(?i)[aeiouàèéìòù]", r"\p{L}")
+    """Plain vowels by letter; accented ones don't count, as a shifted alphabet has none of either."""
+    return share(text, r"[aeiouAEIOU]", r"\p{L}")
 
 
 def is_ciphered(text: Column) -> Column:
     """Forty letters or more, and control characters or a lack of vowels that no language has."""
     enough = F.regexp_count(text, F.lit(r"\p{L}")) >= 40
-    return enough & ((share(text, r"[\x01-\x08\x0e-\x1f]", r"\p{L}") > 0.05) | (vowel_share(text) < 0.08))
+    return F.coalesce(enough & ((share(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", r"\p{L}") > 0.05) | (vowel_share(text) < 0.08)), F.lit(False))
+
+
+def is_ciphered_line(line: Column) -> Column:
+    """Any control character but the tab, or eight letters and more with hardly a vowel among them."""
+    return line.rlike(r"[\x00-\x08\x0a-\x1f]") | ((F.regexp_count(line, F.lit(r"\p{L}")) >= 8) & (vowel_share(line) < 0.08))
 
 
 #: Characters 3 to 93, but for the space, stand for those 29 further on.
@@ -51,12 +57,19 @@ _CIPHER = "".join(chr(c) for c in range(3, 94) if c != 32)
 _PLAIN = "".join(chr(c + SHIFT) for c in range(3, 94) if c != 32)
 
 
-def decipher(text: Column) -> Column:
-    return F.translate(text, _CIPHER, _PLAIN)
+def unshift(line: Column) -> Column:
+    return F.translate(line, _CIPHER, _PLAIN)
+
 
+def shift(line: Column) -> Column:
+    """What a shifted font makes of a line. For tests and made pages."""
+    return F.translate(line, _PLAIN, _CIPHER)
 
-def encipher(text: Column) -> Column:
-    return F.translate(text, _PLAIN, _CIPHER)
+
+def decipher(text: Column) -> Column:
+    """The shifted lines of a ciphered page, read back; other lines and other pages as they are."""
+    read = F.array_join(F.transform(F.split(text, "\n", -1), lambda x: F.when(is_ciphered_line(x), unshift(x)).otherwise(x)), "\n")
+    return F.when(is_ciphered(text), read).otherwise(text)
 
 
 def printed_numbers(text: Column) -> Column:
@@ -78,26 +91,31 @@ def windows_of_lines(text: Column, size: int) -> Column:
     return F.transform(ls, lambda _, i: F.array_join(F.slice(ls, i + 1, F.lit(size)), " "))
 
 
-def stems(text: Column, length: int = 6) -> Column:
-    """Distinct first letters of words that have so many."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= length)
+def stems(text: Column, letters: str = "a-zà-ÿ0-9", length: int = 6) -> Column:
+    """Distinct words of three letters or digits and more, cut to their first six."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(f"[{letters}]{{3,}}"), F.lit(0))
     return F.array_distinct(F.transform(words, lambda w: F.substring(w, 1, length)))
 
 
 def deaccent(text: Column) -> Column:
-    t = F.translate(F.lower(text), "àáâãäèéêëìíîïòóôõöùúûüçñ", "aaaaaeeeeiiiiooooouuuucn")
+    """Lower case, without accents, ligatures and apostrophes."""
+    t = F.translate(F.lower(text), "àáâãäèéêëìíîïòóôõöùúûüçñ'’`", "aaaaaeeeeiiiiooooouuuucn")
     return F.replace(F.replace(t, F.lit("ﬁ"), F.lit("fi")), F.lit("ﬂ"), F.lit("fl"))
 
 
 def sql_name(key: Column) -> Column:
-    return F.regexp_replace(F.lower(key), "[^a-z0-9]+", "_")
+    """A table key as an identifier: runs of anything else become one underscore, none at either end."""
+    return F.regexp_replace(F.regexp_replace(F.lower(key), "[^a-z0-9]+", "_"), "^_|_$", "")
+
+
+# How the annexes cite an article of the law, before or after its number.
+CITED = r"(?i)art[\s._]*(\d+)(?:[\s._]*(?:comma|co|c)[\s._]*(\d+))?[^\n]{0,25}?185|185\s*/\s*90[^\n]{0,15}?art[\s._]*(\d+)(?:[\s._]*(?:comma|co|c)[\s._]*(\d+))?"
 
 
 def cited_article(text: Column) -> Column:
-    """A5 or A2C6 from the first citation of an article and its paragraph."""
-    a = F.regexp_extract(text, r"(?i)\bart(?:icolo|\.)?\s*(\d+)", 1)
-    c = F.regexp_extract(text, r"(?i)\bart(?:icolo|\.)?\s*\d+\s*,?\s*comma\s*(\d+)", 1)
-    return F.when(a != "", F.concat(F.lit("A"), a, F.when(c != "", F.concat(F.lit("C"), c)).otherwise("")))
+    """A5 or A2C6 from the first citation of an article of law 185; other articles do not count."""
+    part = lambda *ks: F.concat(*[F.regexp_extract(text, CITED, k) for k in ks])
+    return F.when(text.rlike(CITED), F.concat(F.lit("A"), part(1, 3), F.when(part(2, 4) != "", F.concat(F.lit("C"), part(2, 4))).otherwise("")))
 
 
 def undecoded(text: Column) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.functions.text import deaccent
 from pagelake.operators.sets import first_in_group, shape_diff
 
 
@@ -22,25 +25,46 @@ def signatures(columns: DataFrame) -> DataFrame:
     return first_in_group(n, ["key"], [F.desc("n"), "first_page"]).join(kinds, "key").withColumn("stable", F.col("kinds") == 1)
 
 
-def column_role(label: Column, shape: Column) -> Column:
-    """key, measure, dimension or meta, from a column's label and the shape of its values."""
-    l = F.lower(label)
-    return F.when(l.rlike(r"\b(nr|numero|codice|n\.)"), "key").when(shape.isin("currency", "number", "percent") | l.rlike(r"\b(valore|importo|totale|quantit|euro)"), "measure").when(shape.isin("date", "year") | l.rlike(r"\b(data|anno)\b"), "meta").otherwise("dimension")
+# Words of a column's label that tell its role, tried in this order.
+KEY_WORDS = ["numero", "n.", "codice", "cod.", "autorizzazione"]
+MEASURE_WORDS = ["valore", "importi", "euro", "€", "quantita", "spedizioni", "movimentazioni", "prezzo", "amount", "totale"]
+
+
+def column_role(label: Column, shapes: Column) -> Column:
+    """key, measure, dimension, or meta for a column without a label; shapes: the kinds of values that occur in it."""
+    t = deaccent(F.coalesce(label, F.lit("")))
+    has = lambda words: reduce(lambda a, b: a | b, [t.contains(w) for w in words])
+    codes = (F.size(shapes) > 0) & F.forall(shapes, lambda x: x.isin("code", "empty"))
+    return F.when(t == "", "meta").when(has(KEY_WORDS), "key").when(has(MEASURE_WORDS), "measure").when(codes, "key").otherwise("dimension")
+
 
+def extraction_status(pages: Column, legible: Column, grammar: Column, n_columns: Column, charted: Column) -> Column:
+    """struct(extractable, reason) of a table, from its catalogue row."""
+    out = lambda e, r: F.struct(F.lit(e).alias("extractable"), (r if isinstance(r, Column) else F.lit(r)).alias("reason"))
+    none = (grammar == "unknown") & (n_columns == 0)
+    part = F.concat(F.lit("partial: "), (pages - legible).cast("string"), F.lit("/"), pages.cast("string"), F.lit(" pages illegible"))
+    return F.when(none & charted, out(False, "a chart")).when(legible == 0, out(False, "illegible")).when(none, out(False, "no header")).when(legible < pages, out(True, part)).otherwise(out(True, ""))
 
-def grammar(bands: DataFrame) -> DataFrame:
-    """bands: key, kind (heading, data, subtotal, total, continuation). One label a table."""
-    has = lambda k: F.count_if(F.col("kind") == k) > 0
-    g = bands.groupBy("key").agg(has("heading").alias("h"), has("subtotal").alias("s"), has("continuation").alias("c"), has("total").alias("t"), has("data").alias("d"))
-    label = F.when(~F.col("d"), "unknown").when(F.col("h") & F.col("s"), "grouped-with-subtotals").when(F.col("h"), "grouped").when(F.col("s"), "subtotals").when(F.col("c"), "wrapped").when(F.col("t"), "flat-with-total").otherwise("flat")
-    return g.select("key", label.alias("grammar"))
+
+def census(tables: DataFrame) -> dict[str, DataFrame]:
+    """Five reports on the catalogue: coverage by body, grammars, orientations, signatures, and what can't be read.
+
+    tables: year, authority, key, pages, legible, grammar, orientation, widths, extractable, reason.
+    """
+    return {
+        "coverage": tables.groupBy("year", "authority").agg(F.count("*").alias("tables"), F.sum("pages").alias("pages"), F.sum("legible").alias("legible"), F.count_if("extractable").alias("extractable")),
+        "grammars": tables.groupBy("grammar").agg(F.count("*").alias("n")),
+        "orientations": tables.groupBy("orientation").agg(F.count("*").alias("n"), F.sum("pages").alias("pages")),
+        "signatures": tables.groupBy("widths").agg(F.count("*").alias("n"), F.min("key").alias("first_key")),
+        "unreadable": tables.filter("NOT extractable").select("year", "key", "reason"),
+    }
 
 
 def relative_label(label: Column, year: int) -> Column:
     """A column's label with years written relative to the edition's, so that editions compare."""
-    out = F.lower(label)
-    for back in range(12):
-        out = F.regexp_replace(out, str(year - back), "y" if back == 0 else f"y-{back}")
+    out = F.replace(F.lower(label), F.lit("’"), F.lit("'"))
+    for back in range(-10, 60):
+        out = F.regexp_replace(out, rf"\b{year - back}\b", "y" if back == 0 else f"y{-back:+d}")
     return out
 
 

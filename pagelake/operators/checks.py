@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelake.functions.numbers import status
@@ -37,9 +38,76 @@ def summary_against_detail(summary: DataFrame, detail: DataFrame, key: str, prin
     return both.withColumn("status", state)
 
 
-def escalation(failed: Column, n_distinct_failures: Column, last: Column) -> Column:
-    """What to do with a table after its verdicts: done, recheck, or a person, once code has failed in over two ways."""
-    return F.when(last == "PASS", "done").when(n_distinct_failures > 2, "human").when(failed > 0, "recheck").otherwise("wait")
+#: Code verdicts that may fail on different contents before a person looks.
+FIXES = 2
+
+
+def escalation(first: Column, second: Column, checked: Column, current: Column, failed_contents: Column) -> Column:
+    """What to do with a table next: struct(action, reason).
+
+    first, second: the two checkers' verdicts, struct(verdict, kind) or null; kind is code, convention or checker. checked,
+    current: hashes of the content that was checked and of what there is now. failed_contents: contents on which a verdict
+    on code has failed so far.
+    """
+    out = lambda a, r="": F.struct(F.lit(a).alias("action"), F.lit(r).alias("reason"))
+    passed = lambda v: F.coalesce(v["verdict"] == "PASS", F.lit(False))
+    word = F.when(second.isNotNull(), passed(second)).otherwise(passed(first))
+    kind = F.coalesce(second["kind"], first["kind"], F.lit("code"))
+    return (
+        F.when(first.isNull(), out("check", "no verdict yet"))
+        .when(~checked.eqNullSafe(current), out("recheck", "content changed"))
+        .when(second.isNotNull() & (passed(first) != passed(second)), out("human", "checkers disagree"))
+        .when(second.isNotNull() & (kind == "checker"), out("human", "both unsure"))
+        .when(word, out("done"))
+        .when(kind == "convention", out("human", "convention"))
+        .when(kind == "checker", out("second-check", "checker unsure"))
+        .when(failed_contents > FIXES, out("human", "still failing"))
+        .otherwise(out("fix"))
+    )
+
+
+def next_action(agreed: Column, proposed: Column, drafted_code: Column, extracted: Column, decided: Column) -> Column:
+    """The queue's action: columns must be agreed and rows extracted before verdicts count."""
+    return F.when(~agreed & drafted_code, "fix").when(~agreed & proposed, "human").when(~agreed, "columns").when(~extracted, "extract").otherwise(decided)
+
+
+def failed_on(history: DataFrame, by: list[str]) -> DataFrame:
+    """by, n: contents on which a verdict on code has failed. history: by, content, verdict, kind (null: code)."""
+    bad = (F.col("verdict") != "PASS") & (F.coalesce("kind", F.lit("code")) == "code")
+    return history.groupBy(*by).agg(F.count_distinct(F.when(bad, F.col("content"))).alias("n"))
+
+
+AMOUNT = r"\d{1,3}(?:\.\d{3})*,\d{2}"
+#: Share of the annex's amounts that a copy repeats.
+COPY_SHARE = 0.5
+
+
+def amounts(text: Column) -> Column:
+    """Distinct amounts that a text prints, zeros left out."""
+    return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0)), lambda a: a != "0,00"))
+
+
+def compare_exhibit(exhibit: Column, annex: Column, exhibit_total: Column, annex_total: Column) -> Column:
+    """What an exhibit of a relation is to the annex of the same code: copy, summary or differs. Texts, and grand totals
+    as arrays of printed amounts.
+    """
+    a, b = amounts(exhibit), amounts(annex)
+    within = lambda x, y: F.size(F.array_except(x, y)) == 0
+    apart = (F.size(exhibit_total) > 0) & (F.size(annex_total) > 0) & ~within(exhibit_total, annex_total) & ~within(annex_total, exhibit_total)
+    inside = (F.size(a) > 0) & within(a, b)
+    return F.when(apart, "differs").when(inside & (F.size(a) >= COPY_SHARE * F.size(b)), "copy").when(inside, "summary").otherwise("differs")
+
+
+def compare_rows(rows: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
+    """by, code, same: whether the amounts that a summary prints for a code are those of the annex's grand total, as often.
+
+    rows, totals: by, code, amount (printed, one row each).
+    """
+    side = lambda df, n: df.groupBy(*by, "code").agg(F.sort_array(F.collect_list("amount")).alias(n))
+    return side(rows, "a").join(side(totals, "b"), [*by, "code"]).select(*by, "code", (F.col("a") == F.col("b")).alias("same"))
+
+
+# ---------------------------------------------------------------- mutations that checks must see
 
 
 def drop_row(df: DataFrame, which: Column) -> DataFrame:
@@ -56,3 +124,56 @@ def swap(df: DataFrame, which: Column, a: str, b: str) -> DataFrame:
 
 def twice(df: DataFrame, which: Column) -> DataFrame:
     return df.unionByName(df.filter(which))
+
+
+def misread(text: Column) -> Column:
+    """The first digit three higher; a text without digits ends in another country."""
+    at = F.regexp_instr(text, F.lit("[0-9]"))
+    digit = ((F.substring(text, at, F.lit(1)).try_cast("int") + 3) % 10).cast("string")
+    other = F.when(text.rlike(r"(?:^|\s)GERMANIA$"), "FRANCIA").otherwise("GERMANIA")
+    return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), digit, F.substring(text, at + 1, F.length(text)))).otherwise(F.regexp_replace(text, r"\S+$", other))
+
+
+def misread_value(df: DataFrame, which: Column, raw: str, value: str, parse) -> DataFrame:  # noqa: ANN001
+    """The printed text misread, and its value with it."""
+    seen = F.when(which, misread(F.col(raw))).otherwise(F.col(raw))
+    return df.withColumns({raw: seen, value: F.when(which, parse(misread(F.col(raw)))).otherwise(F.col(value))})
+
+
+def split_row(df: DataFrame, which: Column, order: str, moved: list[str], kept: list[str]) -> DataFrame:
+    """One row's cell on a row of its own below, which keeps its place and group alone."""
+    below = df.filter(which).select(*[F.col(order) + F.lit(0.5) if c == order else F.col(c) if c in moved or c in kept else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns]).toDF(*df.columns)
+    above = df.select(*[F.when(which, F.lit(None)).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in df.columns])
+    return above.unionByName(below)
+
+
+def merge_rows(df: DataFrame, which: Column, by: list[str], order: str, texts: list[str]) -> DataFrame:
+    """A row takes the texts of the next one, which goes."""
+    w = W.partitionBy(*by).orderBy(order)
+    d = df.withColumns({"_w": which, "_gone": F.coalesce(F.lag(which).over(w), F.lit(False)), **{f"_n_{c}": F.lead(c).over(w) for c in texts}})
+    both = lambda c: F.when(F.col("_w") & F.col(c).isNotNull() & F.col(f"_n_{c}").isNotNull(), F.concat_ws(" ", c, f"_n_{c}")).otherwise(F.col(c))
+    return d.filter(~F.col("_gone")).select(*[both(c).alias(c) if c in texts else F.col(c) for c in df.columns])
+
+
+def as_figure(df: DataFrame, which: Column, columns: list[str], kind: str, by: list[str], order: str) -> tuple[DataFrame, DataFrame]:
+    """A data row read as a subtotal or total: (rows without it, its cells as printed figures)."""
+    cells = F.filter(F.array(*[F.struct(F.lit(k).alias("ordinal"), F.col(c).cast("string").alias("value_raw")) for k, c in enumerate(columns)]), lambda x: F.coalesce(x["value_raw"], F.lit("")) != "")
+    return df.filter(~which), df.filter(which).select(*by, order, F.lit(kind).alias("kind"), F.explode(cells).alias("x")).select(*by, order, "kind", "x.*")
+
+
+def relabel(columns: DataFrame, which: Column, text: str) -> DataFrame:
+    """Another printed label of a column."""
+    return columns.withColumn("label", F.when(which, text).otherwise(F.col("label")))
+
+
+def recut(spans: DataFrame, mutation: Column, amount: Column) -> DataFrame:
+    """Spans (authority, article, code, start, end, printed_from, printed_to) as a wrong cut or a wrong key would have them:
+    drop-last, add-next, add-prev, printed (numbers shifted by amount), code, article, authority (amount as text); none.
+    """
+    m, n = mutation, amount.try_cast("int")
+    step = F.when(m == "drop-last", -1).when(m == "add-next", 1).otherwise(0)
+    back = F.when(m == "add-prev", 1).otherwise(0)
+    shift = F.when(m == "printed", n).otherwise(0)
+    put = lambda c: F.when(m == c, amount).otherwise(F.col(c))
+    out = spans.withColumns({"start": F.col("start") - back, "end": F.col("end") + step, "printed_from": F.col("printed_from") - back + shift, "printed_to": F.col("printed_to") + step + shift, "authority": put("authority"), "article": put("article"), "code": put("code")})
+    return out.withColumns({"pages": F.col("end") - F.col("start") + 1, "key": F.concat_ws("/", "authority", F.nullif("article", F.lit("")), "code")})

@@ -11,27 +11,66 @@ from pyspark.sql import functions as F
 from pagelake.functions.numbers import parse_date, parse_number
 
 
-def link_items(rows: DataFrame, by: list[str], order: str, amount: Column, item: Column) -> DataFrame:
-    """Each item's amount row inside a unit (by): by, item_row, amount_row, how.
+def _filled(c: str) -> Column:
+    return F.coalesce(F.col(c) != "", F.lit(False))
 
-    No amount: implied (null). As many amounts as items: the k-th with the k-th. Fewer: the last at or above, where
-    an item above all amounts has none (issue). More: every amount counts for the first item, as copies.
+
+def link_items(rows: DataFrame, by: list[str], order: str, group: str, opener: str, amount: str, item: str, text: list[str], described: list[str]) -> DataFrame:
+    """Data rows of tables (by) with the amount of each item: unit, link, implied, copied_from, issues, cells set right.
+
+    A unit (the order of its first row) begins at a filled opener or where the group changes. Text on an amount line
+    without an item goes up to the item above it in the unit. Then, by unit:
+
+    no item: issue no_item on the unit's first row. No amount: an item links to itself, its amount implied (zero).
+    More amounts than items: a bare amount takes the described cells it lacks from the item above it (copied_from) and
+    counts as an item from then on; if there are still more amounts, issue too_many_amounts on the first row. As many:
+    the k-th item with the k-th amount. Fewer: an item with the last amount at or above it, else issue above_first; an
+    amount that no item took, issue covers_none. Text without an item above: issue text_without_item.
     """
-    r = rows.select(*by, F.col(order).alias("_o"), amount.alias("_a"), item.alias("_i"))
-    w = W.partitionBy(*by)
-    upto = w.orderBy("_o").rowsBetween(W.unboundedPreceding, 0)
-    r = r.withColumns({"_na": F.count_if("_a").over(w), "_ni": F.count_if("_i").over(w), "_ka": F.count_if("_a").over(upto), "_ki": F.count_if("_i").over(upto)})
-    r = r.withColumn("_above", F.last(F.when(F.col("_a"), F.col("_o")), True).over(upto))
-    out = lambda df, amount_row, how: df.select(*by, F.col("_o").alias("item_row"), amount_row.alias("amount_row"), F.lit(how).alias("how"))
-    items = r.filter("_i")
-    none = out(items.filter("_na = 0"), F.lit(None).cast(r.schema["_o"].dataType), "implied")
-    amounts = r.filter("_a").select(*by, F.col("_ka").alias("_k"), F.col("_o").alias("_at"))
-    paired = items.filter("_na = _ni").withColumn("_k", F.col("_ki")).join(amounts, [*by, "_k"])
-    paired = out(paired, F.col("_at"), "paired")
-    fewer = items.filter("_na > 0 AND _na < _ni")
-    above = out(fewer, F.col("_above"), "above").withColumn("how", F.when(F.col("amount_row").isNull(), "issue").otherwise(F.col("how")))
-    copied = items.filter("_na > _ni AND _ki = 1").join(amounts, by)
-    return reduce(DataFrame.unionByName, [none, paired, above, out(copied, F.col("_at"), "copied")])
+    o, w = F.col(order), W.partitionBy(*by).orderBy(order)
+    opens = _filled(opener) | ~F.lag(group).over(w).eqNullSafe(F.col(group)) | (F.row_number().over(w) == 1)
+    r = rows.withColumn("unit", F.last(F.when(opens, o), True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    r = r.withColumns({"_a": _filled(amount), "_i": _filled(item)})
+    u = W.partitionBy(*by, "unit")
+    upto, above = u.orderBy(order).rowsBetween(W.unboundedPreceding, 0), u.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    r = r.withColumn("_item_above", F.last(F.when(F.col("_i"), o), True).over(above))
+    # text on bare amount lines goes up
+    moves = F.col("_a") & ~F.col("_i") & F.col("_item_above").isNotNull()
+    owner = F.when(moves, F.col("_item_above")).otherwise(o)
+    loose = F.col("_a") & ~F.col("_i") & F.col("_item_above").isNull() & reduce(lambda x, y: x | y, [_filled(c) for c in text], F.lit(False))
+    r = r.withColumns({"_owner": owner, "_moves": moves, "_loose": loose})
+    at = W.partitionBy(*by, "unit", "_owner").orderBy(order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    for c in text:
+        whole = F.array_join(F.filter(F.collect_list(F.when(_filled(c), F.col(c)).otherwise("")).over(at), lambda x: x != ""), " ")
+        r = r.withColumn(f"_{c}", whole)
+    r = r.withColumns({c: F.when(F.col("_moves"), "").otherwise(F.when(F.col("_i"), F.col(f"_{c}")).otherwise(F.col(c))) for c in text})
+    # more amounts than items: bare amounts take from the item above
+    r = r.withColumns({"_na": F.count_if("_a").over(u), "_ni": F.count_if("_i").over(u)})
+    source = F.last(F.when(F.col("_i"), F.struct(o.alias("at"), *described)), True).over(above)
+    r = r.withColumn("_src", source)
+    takes = lambda c: ~_filled(c) & F.coalesce(F.col(f"_src.{c}") != "", F.lit(False))
+    bare = (F.col("_na") > F.col("_ni")) & (F.col("_ni") > 0) & F.col("_a") & ~F.col("_i") & F.col("_src").isNotNull()
+    r = r.withColumn("_copies", bare & reduce(lambda x, y: x | y, [takes(c) for c in described], F.lit(False)))
+    r = r.withColumns({c: F.when(F.col("_copies") & takes(c), F.col(f"_src.{c}")).otherwise(F.col(c)) for c in described})
+    r = r.withColumn("_item", F.col("_i") | F.col("_copies"))
+    r = r.withColumns({"_nx": F.count_if("_item").over(u), "_k": F.when(F.col("_item"), F.count_if("_item").over(upto)), "_last": F.last(F.when(F.col("_a"), o), True).over(upto)})
+    amounts = r.filter("_a").select(*by, "unit", F.count_if("_a").over(upto).alias("_k"), o.alias("_kth"))
+    r = r.join(amounts, [*by, "unit", "_k"], "left")
+    link = F.when((F.col("_ni") == 0) | ~F.col("_item") | (F.col("_na") > F.col("_nx")), F.lit(None)).when(F.col("_na") == 0, o).when(F.col("_na") == F.col("_nx"), F.col("_kth")).otherwise(F.col("_last"))
+    r = r.withColumn("link", link)
+    fewer = (F.col("_na") > 0) & (F.col("_na") < F.col("_nx"))
+    covered = F.array_contains(F.collect_set("link").over(u), o)  # a unit is one authorisation
+    first = o == F.col("unit")
+    issues = {
+        "no_item": first & (F.col("_ni") == 0),
+        "too_many_amounts": first & (F.col("_ni") > 0) & (F.col("_na") > F.col("_nx")),
+        "text_without_item": F.col("_loose"),
+        "above_first": fewer & F.col("_item") & F.col("_last").isNull(),
+        "covers_none": fewer & F.col("_a") & ~covered,
+    }
+    issue = F.array_join(F.array_compact(F.array(*[F.when(c, k) for k, c in issues.items()])), ",")
+    out = r.withColumns({"implied": F.col("_item") & (F.col("_na") == 0), "copied_from": F.when(F.col("_copies"), F.col("_src.at")), "issues": issue})
+    return out.select(*rows.columns, "unit", "link", "implied", "copied_from", "issues")
 
 
 TYPES = {"amount": parse_number, "number": parse_number, "date": parse_date}

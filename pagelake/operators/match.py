@@ -11,27 +11,27 @@ def compact(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
 
 
-def match_names(left: DataFrame, right: DataFrame, name: str, prefix: int = 8) -> DataFrame:
+def begins(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs (a, b) where b's name is a beginning of a's, or equal to it: an equality join on the whole shorter name.
+
+    A name is cut only at lengths that occur on the other side, of which there are few; no two long names with the same
+    opening meet unless one is the other's beginning.
+    """
+    lengths = [r["n"] for r in b.select(F.length("b").alias("n")).distinct().collect() if r["n"]]  # no more than the longest name has letters
+    occur = F.array(*map(F.lit, sorted(lengths))) if lengths else F.array().cast("array<int>")
+    cut = a.select("a", F.explode(F.filter(occur, lambda n: n <= F.length("a"))).alias("_n"))
+    return cut.select("a", F.expr("left(a, _n)").alias("b")).join(b, "b").select("a", "b")
+
+
+def match_names(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
     """Three levels: the exact name; a unique prefix either way, among names that no exact match took; a unique equal
     name without blanks and signs, among all. Gives name, match (null if none) and level.
-
-    Names in a prefix relation share their first `prefix` characters, or the shorter one is a beginning of the other
-    of less than that; both are one equality join, and no pair outside a block is formed.
     """
     a, b = left.select(F.col(name).alias("a")).distinct(), right.select(F.col(name).alias("b")).distinct()
     exact = a.join(b, F.col("a") == F.col("b")).select("a", "b", F.lit("exact").alias("level"))
     rest, free = a.join(exact.select("a"), "a", "left_anti"), b.join(exact.select("b"), "b", "left_anti")
-    heads = lambda c: F.transform(F.sequence(F.lit(1), F.least(F.length(c), F.lit(prefix - 1))), lambda n: F.substring(c, F.lit(1), n))
-    tagged = lambda t, keys: F.transform(keys, lambda k: F.concat(F.lit(t), k))
-
-    def keys(c: str, whole: str, begun: str) -> Column:
-        """A long name's block, a short name itself, and the beginnings that a short name of the other side may equal."""
-        short = F.length(c) < prefix
-        own = F.when(short, F.array(F.concat(F.lit(whole), F.col(c)))).otherwise(F.array(F.concat(F.lit("="), F.substring(c, 1, prefix))))
-        return F.explode(F.concat(own, F.when(F.length(c) > 0, tagged(begun, heads(F.col(c)))).otherwise(F.array().cast("array<string>"))))
-
-    pairs = rest.select("a", keys("a", "a", "b").alias("k")).join(free.select("b", keys("b", "b", "a").alias("k")), "k").select("a", "b")
-    pairs = pairs.filter(F.col("a").startswith(F.col("b")) | F.col("b").startswith(F.col("a"))).distinct()
+    other = begins(free.withColumnRenamed("b", "a"), rest.withColumnRenamed("a", "b")).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    pairs = begins(rest, free).union(other).distinct()
     begun = pairs.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).filter("n = 1").select("a", "b", F.lit("prefix").alias("level"))
     rest = rest.join(begun.select("a"), "a", "left_anti")
     keyed = b.withColumn("k", compact(F.col("b"))).groupBy("k").agg(F.count("*").alias("n"), F.min("b").alias("b")).filter("n = 1")

@@ -1,9 +1,8 @@
-"""The query surface: one read-only SELECT, named questions, where rows come from, and the dictionary."""
+"""The query surface: one read-only SELECT, where rows come from, and the dictionary."""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,46 +15,70 @@ class NotAllowed(ValueError):
     """More than one statement, or one that is not a query."""
 
 
-def guarded(spark: SparkSession, sql: str, limit: int = SHOWN, **args) -> DataFrame:
-    """One SELECT over the registered views, as parsed by Spark; commands and several statements are refused."""
+def guarded(spark: SparkSession, sql: str, limit: int | None = None, **args) -> DataFrame:
+    """One SELECT over registered views, as parsed by Spark; commands, several statements and other relations are refused.
+
+    A limit cuts the rows; `shown` tells whether there were more. Without one all rows come.
+    """
     text = sql.strip().rstrip(";").strip()
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)  # refuses two statements by itself
-    kinds = _nodes(plan)
-    if any(re.search(r"Command|Insert|Create|Drop|Delete|Update|Merge|Truncate|Alter|Set|Cache|Analyze|Script", k) for k in kinds):
-        raise NotAllowed(f"not a query: {kinds[0]}")
-    return spark.sql(text, args=args or None).limit(limit + 1)
+    nodes = _nodes(plan)
+    if any(re.search(r"Command|Insert|Create|Drop|Delete|Update|Merge|Truncate|Alter|Set|Cache|Analyze|Script", k) for k, _ in nodes):
+        raise NotAllowed(f"not a query: {nodes[0][0]}")
+    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    known = views | {n for _, n in nodes if n.startswith("CTE:")}
+    for kind, name in nodes:
+        if kind == "UnresolvedRelation" and name not in views and f"CTE:{name}" not in known:
+            raise NotAllowed(f"no registered view: {name}")
+        if kind == "UnresolvedTableValuedFunction":
+            raise NotAllowed(f"not a view: {name}")
+    out = spark.sql(text, args=args or None)
+    return out if limit is None else out.limit(limit)
 
 
-def _nodes(plan) -> list[str]:  # noqa: ANN001
-    out, todo = [], [plan]
-    while todo:
-        p = todo.pop()
-        out.append(p.getClass().getSimpleName())
-        it = p.children().iterator()
-        while it.hasNext():
-            todo.append(it.next())
-    return out
+def shown(spark: SparkSession, sql: str, limit: int = SHOWN, **args) -> tuple[DataFrame, bool]:
+    """The first rows of a guarded query, and whether it has more than these."""
+    some = guarded(spark, sql, limit + 1, **args)
+    return some.limit(limit), some.count() > limit
+
 
+def page(df: DataFrame, order: list, number: int, size: int = 500) -> DataFrame:
+    """The n-th page of rows in a total order, counted from 0."""
+    return df.orderBy(*order).offset(number * size).limit(size)
 
-@dataclass(frozen=True)
-class Question:
-    """A named query with what it draws."""
 
-    id: str
-    title: str
-    sql: str
-    label: str | None = None
-    value: str | None = None
+def sorted_rows(df: DataFrame, column: str, key: list[str], descending: bool = False) -> DataFrame:
+    """Rows by a column, rows without a value last either way; numbers by value, ties by key."""
+    c = F.col(column)
+    return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), *key)
 
 
-def check_question(spark: SparkSession, q: Question, **args) -> list[str]:
-    """What is wrong with a question: it fails, gives no row, or lacks the columns it draws."""
-    try:
-        df = guarded(spark, q.sql, **args)
-        wrong = [f"no column {c}" for c in (q.label, q.value) if c and c not in df.columns]
-        return wrong or ([] if df.limit(1).count() else ["no rows"])
-    except Exception as e:  # the report names it
-        return [str(e).split("\n")[0]]
+def bars(df: DataFrame, label: str, value: str, n: int = 15) -> DataFrame:
+    """The first n rows with a value of zero or more, as they stand in the query's order."""
+    return df.filter(F.col(value) >= 0).select(label, value).limit(n)
+
+
+def _nodes(plan) -> list[tuple[str, str]]:  # noqa: ANN001
+    """(kind, name) of every node of a parsed plan, subqueries and common table expressions included."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        name = node.name() if kind in ("UnresolvedRelation", "UnresolvedTableValuedFunction") else ""
+        out.append((kind, str(name).strip("`").replace("`.`", ".")))
+        if kind == "UnresolvedWith":
+            rel = node.cteRelations().iterator()
+            while rel.hasNext():
+                r = rel.next()
+                out.append(("CTE", f"CTE:{r._1()}"))
+                todo.append(r._2())
+        for parts in (node.children(), node.innerChildren(), node.subqueries()):
+            it = parts.iterator()
+            while it.hasNext():
+                x = it.next()
+                if hasattr(x, "children"):
+                    todo.append(x)
+    return out
 
 
 def source_link(url: Column, page: Column) -> Column:

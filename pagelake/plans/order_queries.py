@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelake.functions.numbers import money
-from pagelake.operators import detect, extract, geometry
+from pagelake.operators import detect, geometry
 from pagelake.operators import ordered as o
 from pagelake.sources.tables import table
 
@@ -130,12 +130,6 @@ def cumulative_share(spark: SparkSession, d: str) -> DataFrame:
     return s.select("s_suppkey", "s_nationkey", rank.alias("place"), run.cast("double").alias("running"), F.sum("v").over(w).cast("double").alias("total"))
 
 
-def link_items(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d, "event_type")
-    e = e.withColumn("unit", o.running_unit(F.col("event_type") == "signup", BY, ORDER))
-    return extract.link_items(e, ["user_id", "unit"], "event_id", F.col("event_type") == "purchase", F.col("event_type") == "click")
-
-
 def span_pipeline(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("volume"), F.concat("l_returnflag", "l_linestatus").alias("code"), F.col("l_partkey").alias("page"), F.when(F.col("l_linenumber") == 1, "title").when(F.col("l_linenumber") <= 3, "header").otherwise("inline").alias("evidence"))
     held = detect.drop_weak(x, ["volume"])
@@ -196,14 +190,6 @@ c AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY l_suppkey ORDER BY p) >
 k AS (SELECT *, CAST(sum(cut) OVER (PARTITION BY l_suppkey ORDER BY p) AS BIGINT) AS cluster FROM c)
 SELECT l_suppkey, cluster, count(*) AS n, min(p) AS lo, max(p) AS hi FROM k GROUP BY l_suppkey, cluster"""),
     "band_fold": (band_fold, None),
-    "link_items": (link_items, f"""WITH {U},
-n AS (SELECT *, event_type = 'purchase' AS a, event_type = 'click' AS i, count(CASE WHEN event_type = 'purchase' THEN 1 END) OVER w AS na, count(CASE WHEN event_type = 'click' THEN 1 END) OVER w AS ni,
-  count(CASE WHEN event_type = 'purchase' THEN 1 END) OVER v AS ka, count(CASE WHEN event_type = 'click' THEN 1 END) OVER v AS ki, max(CASE WHEN event_type = 'purchase' THEN event_id END) OVER v AS above
-  FROM u WINDOW w AS (PARTITION BY user_id, unit), v AS (PARTITION BY user_id, unit ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT user_id, unit, event_id AS item_row, NULL::BIGINT AS amount_row, 'implied' AS how FROM n WHERE i AND na = 0
-UNION ALL SELECT x.user_id, x.unit, x.event_id, y.event_id, 'paired' FROM n x JOIN n y ON x.user_id = y.user_id AND x.unit = y.unit AND x.ki = y.ka AND y.a WHERE x.i AND x.na = x.ni
-UNION ALL SELECT user_id, unit, event_id, above, CASE WHEN above IS NULL THEN 'issue' ELSE 'above' END FROM n WHERE i AND na > 0 AND na < ni
-UNION ALL SELECT x.user_id, x.unit, x.event_id, y.event_id, 'copied' FROM n x JOIN n y ON x.user_id = y.user_id AND x.unit = y.unit AND y.a WHERE x.i AND x.na > x.ni AND x.ki = 1"""),
     "span_pipeline": (span_pipeline, """WITH x AS (SELECT l_suppkey AS volume, l_returnflag || l_linestatus AS code, l_partkey AS page, CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber <= 3 THEN 2 ELSE 3 END AS r FROM lineitem),
 i AS (SELECT *, page - dense_rank() OVER (PARTITION BY volume, code ORDER BY page) AS g FROM x WHERE r = 3),
 k AS (SELECT volume, code, page, r FROM (SELECT *, max(page) OVER w - min(page) OVER w + 1 AS n FROM i WINDOW w AS (PARTITION BY volume, code, g)) WHERE n >= 2),

@@ -31,7 +31,7 @@ def italian_number_parse(spark: SparkSession, d: str) -> DataFrame:
 
 def value_shape_census(spark: SparkSession, d: str) -> DataFrame:
     p = _printed(table(spark, d, "orders"))
-    cells = p.select(F.explode(F.array("raw", F.date_format("o_orderdate", "dd/MM/yyyy"), F.year("o_orderdate").cast("string"), F.concat(F.lit("Totale "), F.col("kind")), F.lit(""))).alias("cell"))
+    cells = p.select(F.explode(F.array("raw", F.concat(F.lit("€ "), F.lpad((F.col("o_orderkey") % 100).cast("string"), 3, "0")), F.concat(F.col("raw"), F.lit(" %")), F.date_format("o_orderdate", "dd/MM/yyyy"), F.year("o_orderdate").cast("string"), F.concat(F.lit("Totale "), F.col("kind")), F.lit(""))).alias("cell"))
     return cells.groupBy(numbers.value_shape(F.col("cell")).alias("shape")).agg(F.count("*").alias("n"))
 
 
@@ -55,15 +55,18 @@ def vowel_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shift_decipher(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "benchmark").select("item_id", "text", text.encipher(F.col("text")).alias("hidden"))
-    return t.select("item_id", F.md5(text.decipher(F.col("hidden"))).alias("content"), (F.col("hidden") != F.col("text")).alias("changed"))
+    """Texts shifted line by line and read back; those too short to be judged stay as they are."""
+    t = table(spark, d, "benchmark").select("item_id", "text", text.shift(F.col("text")).alias("hidden"))
+    return t.select("item_id", F.length("text").cast("bigint").alias("n"), (text.decipher(F.col("hidden")) == F.col("text")).alias("read"), (text.decipher(F.col("text")) == F.col("text")).alias("clear_stays"))
 
 
 def title_overlap(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "benchmark").select("item_id", text.stems(F.col("text")).alias("a"))
-    docs = table(spark, d, "documents").select((F.col("doc_id") % 97).alias("item_id"), "doc_id", text.stems(F.coalesce("text", F.lit(""))).alias("b"))
-    both = docs.join(b, "item_id")
-    return both.select("doc_id", "item_id", (F.size(F.array_intersect("a", "b")) / F.greatest(F.lit(1), F.size("a"))).alias("overlap"))
+    """Every document against one benchmark passage as its title: the share of the title's stems that it has."""
+    b = table(spark, d, "benchmark")
+    n = b.count()
+    titles = b.select((F.col("item_id") % n).alias("k"), "item_id", text.stems(F.col("text"), "a-zÀ-ÿ0-9").alias("a"))
+    docs = table(spark, d, "documents").select((F.col("doc_id") % n).alias("k"), "doc_id", text.stems(F.coalesce("text", F.lit(""))).alias("b"))
+    return docs.join(titles, "k").select("doc_id", "item_id", (F.size(F.array_intersect("a", "b")) / F.greatest(F.lit(1), F.size("a"))).alias("overlap"))
 
 
 def lines_array_probe(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +78,7 @@ def lines_array_probe(spark: SparkSession, d: str) -> DataFrame:
 
 def html_table_rows(spark: SparkSession, d: str) -> DataFrame:
     cells = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"<li>([^\n]*?)</li>"), F.lit(1))
-    return table(spark, d, "pages").select("page_id", F.size(cells).cast("bigint").alias("n_items"), F.coalesce(F.array_join(F.transform(F.slice(cells, 1, 2), lambda c: F.regexp_replace(c, "<[^>]*>", "")), "|"), F.lit("")).alias("first_items"))
+    return table(spark, d, "pages").select("page_id", F.size(cells).cast("bigint").alias("n_items"), F.coalesce(F.array_join(F.transform(cells, lambda c: F.regexp_replace(c, "<[^>]*>", "")), "|"), F.lit("")).alias("items"))
 
 
 def keyword_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -103,25 +106,26 @@ p AS (SELECT *, CASE kind WHEN 0 THEN {AMOUNT} WHEN 1 THEN '€ ' || {AMOUNT} WH
 QUERIES = {
     "italian_number_parse": (italian_number_parse, f"WITH {PRINTED} SELECT o_orderkey, raw, CASE WHEN kind IN (0, 1, 6) THEN CAST(CAST(c AS DECIMAL(18,2)) / 100 AS DOUBLE) WHEN kind IN (2, 3) THEN CAST(-CAST(c AS DECIMAL(18,2)) / 100 AS DOUBLE) END AS value FROM p"),
     "value_shape_census": (value_shape_census, """WITH k AS (SELECT o_orderkey % 7 AS kind FROM orders),
-c AS (SELECT CASE WHEN kind IN (0, 2) THEN 'number' WHEN kind IN (1, 3, 6) THEN 'currency' WHEN kind = 4 THEN 'dash' ELSE 'code' END AS shape FROM k
-  UNION ALL SELECT unnest(['date', 'year', 'total_label', 'empty']) FROM k)
+c AS (SELECT CASE WHEN kind IN (0, 2, 6) THEN 'number' WHEN kind IN (1, 3) THEN 'currency' WHEN kind = 4 THEN 'dash' ELSE 'code' END AS shape FROM k
+  UNION ALL SELECT CASE kind WHEN 0 THEN 'percent' WHEN 1 THEN 'currency' WHEN 2 THEN 'percent' WHEN 3 THEN 'currency' WHEN 5 THEN 'percent' ELSE 'text' END FROM k
+  UNION ALL SELECT unnest(['date', 'year', 'total_label', 'empty', 'currency']) FROM k)
 SELECT shape, count(*) AS n FROM c GROUP BY shape"""),
     "date_parse": (date_parse, "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '2025-02-31' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso, o_orderkey % 3 <> 2 AS is_real FROM orders"),
     "header_fingerprint": (header_fingerprint, r"""WITH l AS (SELECT doc_id, coalesce(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')[1], '') AS f FROM documents)
 SELECT substr(trim(regexp_replace(regexp_replace(f, '\d+', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g')), 1, 80) AS header, count(*) AS n, min(doc_id) AS first_doc FROM l GROUP BY 1"""),
     "garbled_ratio": (garbled_ratio, r"""SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[\p{L}\p{N}\s]', '', 'g')) / CAST(greatest(1, length(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]', '', 'g'))) AS DOUBLE) AS odd_share,
-  length(trim(coalesce(text, ''))) = 0 OR length(regexp_replace(coalesce(text, ''), '[^\x{e000}-\x{f8ff}]', '', 'g')) > 0.15 * greatest(1, length(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]', '', 'g'))) AS garbled FROM documents"""),
-    "vowel_ratio": (vowel_ratio, r"""WITH n AS (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^aeiouàèéìòùAEIOU]', '', 'g')) AS v, length(regexp_replace(coalesce(text, ''), '[^\p{L}]', '', 'g')) AS l, length(regexp_replace(coalesce(text, ''), '[^\x01-\x08\x0e-\x1f]', '', 'g')) AS k FROM documents)
+  length(coalesce(text, '')) = 0 OR length(regexp_replace(coalesce(text, ''), '[^\x{e000}-\x{f8ff}]', '', 'g')) > 0.15 * greatest(1, length(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]', '', 'g'))) AS garbled FROM documents"""),
+    "vowel_ratio": (vowel_ratio, r"""WITH n AS (SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^aeiouAEIOU]', '', 'g')) AS v, length(regexp_replace(coalesce(text, ''), '[^\p{L}]', '', 'g')) AS l, length(regexp_replace(coalesce(text, ''), '[^\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')) AS k FROM documents)
 SELECT doc_id, v / CAST(greatest(1, l) AS DOUBLE) AS vowels, l >= 40 AND (k / CAST(greatest(1, l) AS DOUBLE) > 0.05 OR v / CAST(greatest(1, l) AS DOUBLE) < 0.08) AS ciphered FROM n"""),
-    "shift_decipher": (shift_decipher, None),
-    "title_overlap": (title_overlap, r"""WITH s AS (SELECT item_id, list_distinct(list_transform(list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: length(w) >= 6), lambda w: substr(w, 1, 6))) AS a FROM benchmark),
-d AS (SELECT doc_id, doc_id % 97 AS item_id, list_distinct(list_transform(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}]+'), lambda w: length(w) >= 6), lambda w: substr(w, 1, 6))) AS b FROM documents)
-SELECT doc_id, item_id, len(list_intersect(a, b)) / CAST(greatest(1, len(a)) AS DOUBLE) AS overlap FROM d JOIN s USING (item_id)"""),
+    "shift_decipher": (shift_decipher, r"""SELECT item_id, length(text) AS n, length(regexp_replace(text, '[^\p{L}]', '', 'g')) >= 40 AS read, true AS clear_stays FROM benchmark"""),
+    "title_overlap": (title_overlap, r"""WITH c AS (SELECT count(*) AS n FROM benchmark), s AS (SELECT item_id, item_id % n AS k, list_distinct(list_transform(regexp_extract_all(lower(text), '[a-zÀ-ÿ0-9]{3,}'), lambda w: substr(w, 1, 6))) AS a FROM benchmark, c),
+d AS (SELECT doc_id, doc_id % n AS k, list_distinct(list_transform(regexp_extract_all(lower(coalesce(text, '')), '[a-zà-ÿ0-9]{3,}'), lambda w: substr(w, 1, 6))) AS b FROM documents, c)
+SELECT doc_id, item_id, len(list_intersect(a, b)) / CAST(greatest(1, len(a)) AS DOUBLE) AS overlap FROM d JOIN s USING (k)"""),
     "lines_array_probe": (lines_array_probe, r"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l FROM documents)
 SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(list_filter(range(1, len(l) + 1), lambda i: length(array_to_string(l[i:i + 1], ' ')) > 400)) AS BIGINT) AS n_long_pairs FROM l"""),
     "html_table_rows": (html_table_rows, r"""WITH c AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '<li>([^\n]*?)</li>', 1) AS c FROM pages)
-SELECT page_id, CAST(len(c) AS BIGINT) AS n_items, array_to_string(list_transform(c[1:2], lambda x: regexp_replace(x, '<[^>]*>', '', 'g')), '|') AS first_items FROM c"""),
+SELECT page_id, CAST(len(c) AS BIGINT) AS n_items, array_to_string(list_transform(c, lambda x: regexp_replace(x, '<[^>]*>', '', 'g')), '|') AS items FROM c"""),
     "keyword_hits": (keyword_hits, "SELECT source, count(*) AS n, min(doc_id) AS first_doc, min_by(lang, doc_id) AS first_lang FROM documents WHERE text ILIKE '%license%' GROUP BY source"),
     "volume_names": (volume_names, "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN n_nationkey % 5 + 1 WHEN 1 THEN n_nationkey % 5 + 1 WHEN 2 THEN 1 END::BIGINT AS volume, CAST(2000 + n_nationkey AS BIGINT) AS year FROM nation"),
-    "sql_names": (sql_names, "SELECT p_partkey, regexp_replace(lower(p_brand || '/' || p_name), '[^a-z0-9]+', '_', 'g') AS sql_name FROM part"),
+    "sql_names": (sql_names, "SELECT p_partkey, trim(regexp_replace(lower(p_brand || '/' || p_name), '[^a-z0-9]+', '_', 'g'), '_') AS sql_name FROM part"),
 }

@@ -53,12 +53,32 @@ def test_evidence_and_best_volume(spark):
     assert rows(detect.keep_best(f, ["code"]), "code", "volume", "kept") == [("A", 1, True), ("A", 2, True), ("B", 1, False), ("B", 2, True)]
 
 
-def test_link_in_four_ways(spark):
-    kinds = {"u1": "i i", "u2": "a i a i", "u3": "i a i i", "u4": "a a i"}
-    data = [(u, k, c == "a", c == "i") for u, s in kinds.items() for k, c in enumerate(s.split())]
-    df = spark.createDataFrame(data, "unit string, k int, a boolean, i boolean")
-    got = sorted(((r["unit"], r["item_row"], r["amount_row"], r["how"]) for r in extract.link_items(df, ["unit"], "k", F.col("a"), F.col("i")).collect()), key=str)
-    assert got == [("u1", 0, None, "implied"), ("u1", 1, None, "implied"), ("u2", 1, 0, "paired"), ("u2", 3, 2, "paired"), ("u3", 0, None, "issue"), ("u3", 2, 1, "above"), ("u3", 3, 1, "above"), ("u4", 2, 0, "copied"), ("u4", 2, 1, "copied")]
+def linked(spark, rows):
+    schema = "t int, k int, g string, opener string, amount string, item string, text string"
+    df = spark.createDataFrame([(1, k, *r) for k, r in enumerate(rows)], schema)
+    out = extract.link_items(df, ["t"], "k", "g", "opener", "amount", "item", ["text"], ["item", "text"])
+    return [(r["unit"], r["link"], r["implied"], r["copied_from"], r["item"], r["text"], r["issues"]) for r in out.orderBy("k").collect()]
+
+
+def test_links_of_a_unit(spark):
+    # more amounts than items: each bare amount takes the item above, none is lost
+    got = linked(spark, [("g", "d", "", "q0", "a"), ("g", "", "1", "", ""), ("g", "", "2", "", ""), ("g", "", "3", "", "b")])
+    assert [(x[1], x[3], x[4]) for x in got] == [(None, None, "q0"), (1, 0, "q0"), (2, 0, "q0"), (3, 0, "q0")] and got[0][6] == "above_first"
+    got = linked(spark, [("g", "d", "1", "q0", "a"), ("g", "", "2", "", "")])
+    assert got == [(0, 0, False, None, "q0", "a", ""), (0, 1, False, 0, "q0", "a", "")]
+    # no amount: implied, linked to itself; a new group opens a unit
+    assert linked(spark, [("g", "d", "", "q0", ""), ("h", "", "", "q1", "")]) == [(0, 0, True, None, "q0", "", ""), (1, 1, True, None, "q1", "", "")]
+    # as many: k-th with k-th
+    assert [x[1] for x in linked(spark, [("g", "d", "1", "", ""), ("g", "", "", "q1", ""), ("g", "", "2", "q2", "")])] == [None, 0, 2]
+    # fewer: the last at or above, else an issue; an amount that no item took is one too
+    got = linked(spark, [("g", "d", "", "q0", ""), ("g", "", "1", "", ""), ("g", "", "2", "q2", ""), ("g", "", "", "q3", "")])
+    assert [(x[1], x[6]) for x in got] == [(None, "above_first"), (None, "covers_none"), (2, ""), (2, "")]
+    # wrapped text on an amount line goes up to the item above it; without one it is an issue
+    got = linked(spark, [("g", "d", "1", "q0", "a"), ("g", "", "2", "q1", ""), ("g", "", "3", "", "more")])
+    assert [(x[4], x[5], x[3]) for x in got] == [("q0", "a", None), ("q1", "more", None), ("q1", "more", 1)]
+    assert linked(spark, [("g", "d", "1", "", "x"), ("g", "", "", "q1", "")])[0][6] == "text_without_item"
+    assert [x[6] for x in linked(spark, [("g", "d", "1", "", "")])] == ["no_item"]
+    assert linked(spark, [("g", "d", "1", "", ""), ("g", "", "2", "", ""), ("g", "", "", "q2", "")])[0][6] == "too_many_amounts"
 
 
 def test_values_keep_their_text(spark):
@@ -81,6 +101,7 @@ def test_streams_agree_with_batches(spark, tmp_path):
     assert {tuple(r) for r in got.collect()} <= batch
     assert incremental.run_once(incremental.new_contents(s, "event_type"), str(tmp_path)).count() >= 3
     last = {}
-    for r in incremental.run_once(incremental.escalate(s.select("user_id", "event_id", "event_type")), str(tmp_path)).collect():
-        last[r["event_id"]] = r["action"]
+    verdicts = s.select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), (F.col("event_type") == "purchase").alias("passed"), (F.col("event_type") == "error").alias("failed"), (F.col("event_id") % 3).cast("string").alias("way"))
+    for r in incremental.run_once(incremental.escalate(verdicts), str(tmp_path)).collect():
+        last[r["seq"]] = r["action"]
     assert len(last) == 48 and set(last.values()) <= {"done", "human", "recheck", "wait"}

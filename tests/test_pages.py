@@ -1,30 +1,25 @@
+import pytest
 from pyspark.sql import functions as F
 
-from pagelake.functions import pages
+from pagelake.functions import pages, text
 
 
-def test_whose_page(spark):
-    df = spark.createDataFrame([("MINISTERO DELLA DIFESA\nrelazione\nAnnesso b",), ("x\nTAB. D1 esportazioni",), ("Dipartimento  del Tesoro",), ("DIPARTIMENTO DEL TESORO",), ("MAECI -UAMA - CENTRO INFORMATICO Pagina 1 di 2 TAB M2",), ("altro",)], "t string")
-    got = [r["c"] and tuple(r["c"]) for r in df.select(pages.classify(F.col("t")).alias("c")).collect()]
-    assert got == [("DIFESA", "A2C6", "B"), ("DOG", "A1C2", None), None, ("MEF", None, None), ("MAE", None, None), None]
+def one(spark, t, column):
+    return spark.createDataFrame([(t,)], "t string").select(column(F.col("t")).alias("c")).first()["c"]
 
 
-def test_named_code(spark):
-    texts = ["Tabella A1\nTAB. D2", "TAB. D2 x\nriga", "riga\nMAECI - CENTRO INFORMATICO Pagina 11 di 11 TAB M1", "si veda la tabella EE sotto", "RELAZIONE\nTabella .\nF2", "niente"]
-    got = [r["c"] and tuple(r["c"]) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(pages.named_code(F.col("t"), F.array(F.lit("EE"))).alias("c")).collect()]
-    assert got == [("A1", "title"), ("D2", "header"), ("M1", "stamp"), ("EE", "inline"), ("F2", "cover"), None]
-    stamps = spark.createDataFrame([("Pagina 3 di 9",), ("x",)], "t string").select(pages.stamp(F.col("t")).alias("s")).collect()
-    assert tuple(stamps[0]["s"]) == (3, 9) and stamps[1]["s"] is None
+def test_whose_page(spark):
+    mae = "MAECI - UAMA - CENTRO INFORMATICO Pagina 1 di 2 TAB M2"
+    got = [one(spark, t, pages.classify) for t in ("MINISTERO DELLA DIFESA Annesso 4B", "x\nTAB. D1 esportazioni", "Programmi Intergovernativi\nTAB. M", "Dipartimento del Tesoro Direzione V", mae, "altro")]
+    assert [c and tuple(c) for c in got] == [("DIFESA", "A2C6", "4B"), ("DOG", "A1C2", None), ("DOG", "A1C89", None), ("MEF", None, None), ("MAE", None, None), None]
 
 
-def test_lists_and_covers(spark):
-    listing = "ELENCO TABELLE\n" + "\n".join(f"Tabella\nA{k}\ndescrizione" for k in range(1, 8))
-    df = spark.createDataFrame([(listing,), ("PAGINA BIANCA",), (None,), ("a\nb",), ("a\nb\nc d e",), ("\nx\ny",)], "t string")
-    rows = df.select(pages.page_class(F.col("t")).alias("k"), pages.listing_codes(F.col("t")).alias("c")).collect()
-    assert [r["k"] for r in rows] == ["index", "blank", "blank", "header_only", "content", "unreadable"]
-    assert rows[0]["c"] == [f"A{k}" for k in range(1, 8)]
-    cover = spark.createDataFrame([("RELAZIONE 2025\nTab ella  A1",), ("molto testo " * 40 + "Tabella A1",)], "t string")
-    assert [r["c"] for r in cover.select(pages.is_cover(F.col("t"), F.lit("Tabella A1")).alias("c")).collect()] == [True, False]
+def test_codes_by_precedence(spark):
+    code = lambda t, family=1, vocabulary=("AA",): one(spark, t, lambda c: pages.page_code(c, F.array(*map(F.lit, vocabulary)), F.lit(family)))
+    assert tuple(code("Tabella AA\nTAB. M - APPENDICE")) == ("MAPPENDICE", "appendix")
+    assert tuple(code("Tabella AA\nsi veda la tabella BB")) == ("AA", "title")
+    assert code("Tabella AA\nprosa", family=2) is None
+    assert tuple(code("TAB. B1 x", family=2)) == ("B1", "inline")
 
 
 def test_exhibits_stay_open(spark):
@@ -32,3 +27,18 @@ def test_exhibits_stay_open(spark):
     got = [r["exhibit"] for r in pages.open_exhibits(df, ["vol"], "page", "opens", "closes").orderBy("page").collect()]
     assert got == ["II", "II", "II", None, "EE", None]
     assert pages.vocabulary(df.filter("opens IS NOT NULL"), ["vol"], "opens").first()["codes"] == ["EE", "II"]
+
+
+def test_only_ciphered_lines_of_ciphered_pages_are_read(spark):
+    hidden = one(spark, "Licenza di un operatore per sistemi elettronici militari", text.shift)
+    assert one(spark, "Running header\n" + hidden, text.decipher) == "Running header\nLicenza di un operatore per sistemi elettronici militari"
+    assert one(spark, "xyz", text.decipher) == "xyz"  # too short to be judged
+    clear = "una pagina scritta in chiaro, con tutte le sue vocali al posto giusto"
+    assert one(spark, clear, text.decipher) == clear
+
+
+@pytest.mark.parametrize(("t", "shape"), [("12,00 EUR", "number"), ("€ 016", "currency"), ("-€ 142.942,72", "currency"), ("016", "code"), ("3,43 %", "percent"), ("Totale 5", "total_label"), ("2025", "year"), ("0,00", "number"), ("n.d.", "dash"), ("123456 7", "text")])
+def test_shapes(spark, t, shape):
+    from pagelake.functions.numbers import value_shape
+
+    assert one(spark, t, value_shape) == shape
