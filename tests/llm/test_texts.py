@@ -55,6 +55,20 @@ def test_compression_bands():
     near = " ".join(f"{w} {k}" for k, w in enumerate(["the same few words come again and again"] * 90))
     assert not quality.measure(near.encode())[-1]  # no five words repeat, yet it is one sentence
     assert not quality.measure(" ".join("".join(chr(rng.randrange(33, 127)) for _ in range(20)) for _ in range(300)).encode())[-1]
+    long = prose(3, 3_000, 5000).encode()
+    noise = bytes(rng.randrange(33, 127) for _ in range(2_000 * 9)).replace(b"!", b" ")
+    assert quality.compression(long)[1] == 0 and quality.compression(noise)[1] == 1
+    assert quality.compression(long[: 2 * quality.CHUNK] + noise[:1_000])[1] == 1 / 3  # the last chunk is judged, too
+
+
+def test_limits_tell_bad_from_good(spark):
+    """On the labelled test documents that pass the base rules: most of the bad ones go, nearly all good ones stay."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.quality(docs).filter("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("kept"), F.count("*").alias("n"))
+    share = {r["quality"]: r["kept"] for r in got.collect()}
+    assert share[0] < 0.2 and share[1] > 0.985
+    assert quality.fit_limits(docs, labels) == quality.LIMITS
 
 
 def test_many_words_count_alike(monkeypatch):
