@@ -362,6 +362,40 @@ def test_every_kind_of_license_line(spark):
     assert got - {(i, "gpl-2.0") for i in range(4)} == want  # version 3's line holds four of five shingles of version 2's
 
 
+def test_edited_notices_are_found_as_by_brute_force(spark):
+    """Notices with words changed, at all similarities around the bound, at odd places: all that contain enough are found."""
+    rng = random.Random(8)
+    long = [(n, w) for _, n, w in license_scan.templates() if len(w) >= 20]
+    texts = []
+    for k in range(120):
+        _, w = long[k % len(long)]
+        w = list(w)
+        for p in rng.sample(range(len(w)), rng.randrange(0, 1 + len(w) // 15)):
+            w[p] = f"edit{p}"
+        texts.append(prose(k, rng.randrange(0, 60)) + " " + " ".join(w) + ".\n" + prose(k + 1, rng.randrange(0, 60)))
+    want = set()
+    for i, t in enumerate(texts):
+        have = license_scan.words_of(t)
+        for _, name, tw in license_scan.all_templates():
+            n = min(license_scan.SHINGLE, len(tw))
+            sh, got = ({tuple(x[k : k + n]) for k in range(len(x) - n + 1)} for x in (tw, have))
+            if len(sh & got) >= 0.8 * len(sh):
+                want.add((i, name))
+    got = {(r["doc_id"], r["license"]) for r in license_scan.scan(frame(spark, list(enumerate(texts)))).collect()}
+    assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 60
+
+
+def test_very_many_cue_words_and_notices(spark):
+    """Time grows with the text's length: a hundred thousand cue words, and a notice three thousand times over."""
+    import time
+
+    line = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.\n"
+    docs = frame(spark, [(1, "software " * 100_000), (2, line * 3_000), (None, "x " * 1000 + line)])
+    t = time.time()
+    got = {(r["doc_id"], r["license"], r["containment"]) for r in license_scan.scan(docs).collect()}
+    assert got == {(2, "mit", 1.0), (None, "mit", 1.0)} and time.time() - t < 60
+
+
 def test_every_notice_has_cues():
     for _, name, w in license_scan.templates():
         sh = [w[k : k + 5] for k in range(len(w) - 4)]
