@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm import flac
-from pagelake.llm.common import column, ship, texts
+from pagelake.llm.common import column, save, ship, texts
 
 #: Bytes that are encoded or decoded together, at most (at least one row).
 TOGETHER = 2_000_000
@@ -48,34 +48,66 @@ def store(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = flac.BLOCK) -> DataFrame:
-    """PCM blocks of a column `media`: key, block, sample_offset, n_samples, channels, bits, pcm (little-endian).
+def _decoded(media: list[bytes | None]) -> Iterator[tuple[object, object]]:
+    """(stream, samples) of each stream, or (None, what is wrong with it). Streams are decoded together, damaged ones alone."""
+    for s in _groups([m or b"" for m in media]):
+        part = [m or b"" for m in media[s]]
+        try:
+            yield from flac.decode(part)
+        except (flac.Damaged, IndexError, ValueError):
+            for data in part:
+                try:
+                    yield flac.decode([data])[0]
+                except (flac.Damaged, IndexError, ValueError) as e:
+                    yield None, str(e) or type(e).__name__
+
+
+def _pcm(x: np.ndarray, bits: int) -> bytes:
+    if bits <= 8:
+        return x.astype(np.int8).tobytes()
+    return np.ascontiguousarray(x.astype("<i4")).reshape(-1, 1).view(np.uint8)[:, : (bits + 7) // 8].tobytes()
+
+
+BLOCKS = "block long, sample_offset long, n_samples long, channels int, bits int, pcm binary, error string"
+
+
+def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = flac.BLOCK, also: tuple[str, ...] = ()) -> DataFrame:
+    """PCM blocks of a column `media`: key, the columns `also`, block, sample_offset, n_samples, channels, bits, pcm
+    (little-endian), error; those of one stream follow each other in order.
 
     Blocks have `block` samples, the last fewer, so sample s lies in block s // block: see `seek`. Damaged or null
     media give one row whose `error` says why and whose pcm is null; no row is dropped.
     """
+    names = [x.split()[0] for x in BLOCKS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["media_key", "block", "sample_offset", "n_samples", "channels", "bits", "pcm", "error"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
+        def out(batch: pa.RecordBatch, of: list[int], rows: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            kept = [batch[c].take(pa.array(of, pa.int64())) for c in batch.schema.names if c != "media"]
+            return pa.RecordBatch.from_arrays([*kept, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=[*(c for c in batch.schema.names if c != "media"), *names])
+
         for batch in batches:
-            rows = []
-            for k, data in zip(batch["media_key"].to_pylist(), batch["media"].to_pylist(), strict=True):
-                try:
-                    ((info, x),) = flac.decode([data or b""])
-                except (flac.Damaged, IndexError, ValueError) as e:
-                    rows.append((k, None, None, None, None, None, None, str(e) or type(e).__name__))
+            of, rows, held = [], [], 0
+            for i, (info, x) in enumerate(_decoded(batch["media"].to_pylist())):
+                if info is None:
+                    of.append(i)
+                    rows.append((None, None, None, None, None, None, x))
                     continue
-                width = (info.bits + 7) // 8
                 for j, at in enumerate(range(0, max(1, len(x)), block)):
-                    part = np.ascontiguousarray(x[at : at + block].astype("<i4")).reshape(-1, 1).view(np.uint8)[:, :width]
-                    rows.append((k, j, at, len(x[at : at + block]), info.channels, info.bits, part.tobytes(), None))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+                    part = x[at : at + block]
+                    of.append(i)
+                    rows.append((j, at, len(part), info.channels, info.bits, _pcm(part, info.bits), None))
+                held += len(x)
+                if held > TOGETHER:
+                    yield out(batch, of, rows)
+                    of, rows, held = [], [], 0
+            yield out(batch, of, rows)
 
     ship(media.sparkSession)
-    rows = media.select(column(media, key, "bigint").alias("media_key"), column(media, "media", "binary"))
-    return rows.mapInArrow(run, "media_key long, block long, sample_offset long, n_samples long, channels int, bits int, pcm binary, error string").withColumnRenamed("media_key", key)
+    rows = media.select(column(media, key, "bigint").alias("media_key"), *also, column(media, "media", "binary"))
+    extra = "".join(f"{c} {media.schema[c].dataType.simpleString()}, " for c in also)
+    return rows.mapInArrow(run, f"media_key long, {extra}{BLOCKS}").withColumnRenamed("media_key", key)
 
 
 def seek(blocks: DataFrame, start: int, count: int, block: int = flac.BLOCK) -> DataFrame:
@@ -83,34 +115,72 @@ def seek(blocks: DataFrame, start: int, count: int, block: int = flac.BLOCK) ->
     return blocks.filter(F.col("block").between(start // block, (start + max(1, count) - 1) // block))
 
 
-def features(x: np.ndarray) -> str:
-    """Samples, mean, root mean square and zero crossings."""
-    v = x[:, 0].astype(np.int64)
-    return f"n={len(v)};mean={v.sum() / len(v):.4f};rms={np.sqrt((v * v).sum() / len(v)):.4f};crossings={int(((v[1:] < 0) != (v[:-1] < 0)).sum())}"
+class Description:
+    """Hash, tail and features of a payload whose blocks come one after the other."""
+
+    def __init__(self) -> None:
+        self.sha, self.tail, self.n, self.sum, self.squares, self.crossings, self.last = hashlib.sha256(), b"", 0, 0, 0, 0, None
+
+    def add(self, pcm: bytes) -> None:
+        x = np.frombuffer(pcm, np.int8)
+        payload = (x.astype(np.int16) + 128).astype(np.uint8).tobytes()
+        self.sha.update(payload)
+        self.tail = (self.tail + payload)[-PAD:]
+        v, below = x.astype(np.int64), x < 0
+        self.n, self.sum, self.squares = self.n + len(x), self.sum + int(v.sum()), self.squares + int((v * v).sum())
+        self.crossings += int((below[1:] != below[:-1]).sum()) + (self.last is not None and bool(below[0]) != self.last)
+        self.last = bool(below[-1])
+
+    def row(self) -> tuple:
+        """payload_bytes, payload_sha256, tail_crc32, feature: samples, mean, root mean square and zero crossings."""
+        feature = f"n={self.n};mean={self.sum / self.n:.4f};rms={np.sqrt(self.squares / self.n):.4f};crossings={self.crossings}"
+        return self.n, self.sha.hexdigest(), zlib.crc32(self.tail), feature
+
+
+KEPT = ("row", "n_bytes", "media_bytes", "media_sha256")
+DIGESTS = "doc_id long, n_bytes long, media_bytes long, media_sha256 string, payload_bytes long, payload_sha256 string, tail_crc32 long, feature string"
 
 
 def digests(stored: DataFrame) -> DataFrame:
-    """What reading the stored bytes back gives: hashes of payload and media, sizes and a feature string."""
+    """What reading the stored streams back as PCM blocks gives: hashes of payload and media, sizes and a feature string.
+
+    stored: doc_id, n_bytes, row (one number a stream), media. Blocks of a stream lie together, so a pass over them is enough.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, head, one = None, (), None
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        names = [x.split()[0] for x in DIGESTS.split(", ")]
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+
         for batch in batches:
-            media = batch["media"].to_pylist()
             rows = []
-            for s in _groups(media):
-                for data, (_, x) in zip(media[s], flac.decode(media[s]), strict=True):
-                    payload = (x[:, 0] + 128).astype(np.uint8).tobytes()
-                    rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), len(data), hashlib.sha256(data).hexdigest(), features(x)))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_bytes"], *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            lists = [batch[c].to_pylist() for c in ("row", "doc_id", "n_bytes", "media_bytes", "media_sha256", "pcm")]
+            for row, *key, pcm in zip(*lists, strict=True):
+                if row != now:
+                    if one is not None:
+                        rows.append((*head, *one.row()))
+                    now, head, one = row, tuple(key), Description()
+                one.add(pcm)
+            yield out(rows)
+        if one is not None:
+            yield out([(*head, *one.row())])
 
     ship(stored.sparkSession)
-    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    whole = stored.withColumns({"media_bytes": F.octet_length("media").cast("bigint"), "media_sha256": F.sha2("media", 256)})
+    return pcm_blocks(whole, also=KEPT).mapInArrow(run, DIGESTS)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: its text stored as FLAC, read back and described. Null or empty text: 64 zero bytes.
+    """One row per row of docs: its text stored as FLAC, the stored stream read back as PCM blocks and described.
 
-    Equal texts give equal values; repeated rows each get a row. A map over the scan, no shuffle.
+    Null or empty text: 64 zero bytes. Equal texts give equal values; repeated rows each get a row, a null doc_id stays null,
+    and only doc_id and text are read, whatever other columns are called. The streams are written once to the shared
+    folder; there is no shuffle.
     """
-    return digests(store(docs))
+    stored = save(store(docs).withColumn("row", F.monotonically_increasing_id()), "media", "none")
+    cols = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    return digests(stored).select(cols)
