@@ -285,12 +285,16 @@ def field_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
             stretches.append([m.start(), m.end()])
     out: list[Span] = []
     edges = np.array([(a, b) for a, b, _ in base], np.int64).reshape(-1, 2)
+    done = 0
     for a, b in stretches:
+        if b <= done:  # the stretch before grew over it
+            continue
         a, b = max(0, a - AROUND), min(len(text), b + AROUND)
-        while a and not text[a - 1].isspace() and a > 0 and b - a < 4 * AROUND:
+        while a and not text[a - 1].isspace():  # never inside a word, however long it is
             a -= 1
-        while b < len(text) and not text[b].isspace() and b - a < 8 * AROUND:
+        while b < len(text) and not text[b].isspace():
             b += 1
+        done = b
         part = text[a:b]
         tokens = [m.span() for m in TOKEN.finditer(part)]
         if not tokens:
@@ -334,7 +338,8 @@ SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per row of docs: counts of the base kinds, hash of the base spans, all spans, how many were added.
 
-    Null or empty text: zeros, the hash of nothing and no spans. Repeated rows each get a row. A map over the scan.
+    Null or empty text: zeros, the hash of nothing and no spans. Repeated rows each get a row, a null doc_id stays null,
+    texts are read whole, and only doc_id and text are read, whatever other columns are called. A map over the scan.
     """
     weights = trained()
 
@@ -347,7 +352,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """docs with personal data in `text` replaced by its kind in angle brackets; null texts stay null.
+    """docs with personal data in `text` replaced by its kind in angle brackets; null texts stay null, no row is added or lost.
 
     A column n_chars, where docs has one, is set to the new length.
     """
