@@ -121,7 +121,7 @@ def pack(docs: DataFrame, name: str = WORD_BPE, capacity: int = CAPACITY) -> Dat
     found = spark.sparkContext.broadcast(places(plan))
     before = F.sum("n").over(W.partitionBy("length").orderBy("block")) - F.col("n")
     ranks = F.row_number().over(W.partitionBy("length", "block").orderBy("row")) - 1
-    ranked = cut.withColumn("rank", ranks).join(by_block.select("length", "block", before.alias("before")), ["length", "block"])
+    ranked = cut.withColumn("rank", ranks).join(by_block.select("length", "block", before.alias("before")).hint("merge"), ["length", "block"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).cast("bigint").alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
