@@ -46,10 +46,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or our own where it is unset and all run on one machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: there is no folder that all machines share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="pagelake-"))
     return "file://" + _own_dir[0]

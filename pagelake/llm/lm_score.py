@@ -230,7 +230,8 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Null or empty text is its end token alone. A null doc_id counts as the empty string, so it is held out.
-    Repeated rows each count and each get a row. An empty table gives an empty result; with no training row,
+    Repeated rows each count and each get a row; equally frequent words are all in the table of frequent ones or all out
+    of it, which changes no result; only doc_id and text are read, whatever other columns are called. An empty table gives an empty result; with no training row,
     counts are 0 and the smoothed base is 0 (one outcome). Words that are not among the frequent ones are joined
     to their counts by a shuffle on the word, with one row per document and word.
     """

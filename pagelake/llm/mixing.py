@@ -46,7 +46,10 @@ def row_hash(doc_id: Column) -> Column:
 
 
 def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
-    """budgets: source, rest. Gives source, threshold: rows of smaller hash hold nearest to `rest` tokens."""
+    """budgets: source, rest. Gives source, threshold: rows of smaller hash hold nearest to `rest` tokens.
+
+    The running sum of a source goes over 4,096 buckets at most, whatever its rows.
+    """
     state = budgets.filter("rest > 0").select("source", "rest", F.lit(0).cast("bigint").alias("prefix"), F.lit(0).cast("bigint").alias("below"))
     last = None
     for shift in range(BITS - STEP, -1, -STEP):
@@ -100,7 +103,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """docs, columns as they are, with every row as often as the mix takes it (possibly never)."""
+    """docs, columns as they are, whatever they are called, with every row as often as the mix takes it (possibly never).
+
+    Null texts have size 0 and are taken like others under the threshold; a null source is a source of its own; rows that
+    repeat a doc_id (or have none) are taken together; an empty table stays empty.
+    """
     sized = sizes(docs)
     planned = plan(save(sized.select("source", "size", "h"), "mix-sizes"), weights, share, most)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), column(docs, "source", "string"), row_hash(column(docs, "doc_id", "bigint")).alias("h"))

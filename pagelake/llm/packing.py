@@ -108,7 +108,8 @@ def places(plan: list[tuple[int, int, list[tuple[int, int]]]]) -> dict[int, np.n
 def pack(docs: DataFrame, name: str = WORD_BPE, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is one piece of id 0. Repeated rows are packed each. The histogram of lengths (at most
+    A null or empty text is one piece of id 0. Repeated rows are packed each, a null doc_id stays null, texts are read whole;
+    only doc_id and text are read, whatever other columns are called; an empty table gives no piece. The histogram of lengths (at most
     `capacity` rows) is all that reaches the driver; ranks are taken inside blocks of rows, so that a length that
     very many rows share is not counted in one task.
     """
