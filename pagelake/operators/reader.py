@@ -258,6 +258,55 @@ def summary(words: list[dict]) -> list[tuple[str, str]]:
     return [(label(t[0]) + (" (%)" if pct else ""), raw) for t, values in entries for raw, pct in values]
 
 
+# Blank between words, in letters; how near a repeated word lies, and among how many it is looked for.
+WORD_GAP, NEAR, RECENT = 0.18, 1.0, 8
+
+
+def glyphs_to_words(glyphs: list[tuple[float, float, str, float, float, float]]) -> list[tuple[str, float, float, float, float, float]]:
+    """Words of one baseline, from glyphs (u0, u1, char, v0, v1, size): a letter printed again within half its width is dropped,
+    and a gap wider than WORD_GAP letters opens another word.
+    """
+    out, now = [], []
+
+    def close() -> None:
+        if now:
+            out.append(("".join(g[2] for g in now), min(g[0] for g in now), max(g[1] for g in now), min(g[3] for g in now), max(g[4] for g in now), max(g[5] for g in now)))
+            now.clear()
+
+    for g in sorted(glyphs):
+        if now and g[2] == now[-1][2] and not g[2].isspace() and g[0] - now[-1][0] < 0.5 * (now[-1][1] - now[-1][0]):
+            continue
+        if now and (em := now[-1][5] or g[5]) and g[0] - now[-1][1] > WORD_GAP * em:
+            close()
+        now.append(g)
+    close()
+    return out
+
+
+def words_of(glyphs: DataFrame, by: list[str]) -> DataFrame:
+    """by, text, u0, u1, v0, v1, size of the words of every page; a word that one of the last RECENT repeats within a point goes.
+
+    glyphs: by, char, u0, u1, v0, v1, size, span (what the letters were set with). Baselines are tenths of a point.
+    """
+    one = F.struct("u0", "u1", "char", "v0", "v1", "size")
+    lines = glyphs.groupBy(*by, F.round("v0", 1).alias("_b"), "span").agg(F.collect_list(one).alias("_g"))
+    pages = lines.groupBy(*by).agg(F.collect_list("_g").alias("_lines"))  # a page has some thousand glyphs
+
+    @F.pandas_udf("array<struct<text:string,u0:double,u1:double,v0:double,v1:double,size:double>>")
+    def words(pages: pd.Series) -> pd.Series:
+        out = []
+        for page in pages:
+            found = sorted((w for line in page for w in glyphs_to_words([tuple(g[c] for c in ("u0", "u1", "char", "v0", "v1", "size")) for g in _rows(line)])), key=lambda w: (w[3], w[1], w))
+            kept: list[tuple] = []
+            for w in found:
+                if not any(w[0] == x[0] and abs(w[1] - x[1]) < NEAR and abs(w[3] - x[3]) < NEAR for x in kept[-RECENT:]):
+                    kept.append(w)
+            out.append([dict(zip(("text", "u0", "u1", "v0", "v1", "size"), w, strict=True)) for w in kept])
+        return pd.Series(out)
+
+    return pages.select(*by, F.explode(words("_lines")).alias("w")).select(*by, "w.*")
+
+
 # ---------------------------------------------------------------- pages of tables
 
 
