@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm import flac
-from pagelake.llm.common import column, save, ship, texts
+from pagelake.llm.common import column, ship, texts
 
 #: Bytes that are encoded or decoded together, at most (at least one row).
 TOGETHER = 2_000_000
@@ -71,43 +71,43 @@ def _pcm(x: np.ndarray, bits: int) -> bytes:
 BLOCKS = "block long, sample_offset long, n_samples long, channels int, bits int, pcm binary, error string"
 
 
-def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = flac.BLOCK, also: tuple[str, ...] = ()) -> DataFrame:
-    """PCM blocks of a column `media`: key, the columns `also`, block, sample_offset, n_samples, channels, bits, pcm
-    (little-endian), error; those of one stream follow each other in order.
-
-    Blocks have `block` samples, the last fewer, so sample s lies in block s // block: see `seek`. Damaged or null
-    media give one row whose `error` says why and whose pcm is null; no row is dropped.
-    """
+def blocks_of(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """The PCM blocks of a column `media`, in order, with the batch's other columns beside them."""
     names = [x.split()[0] for x in BLOCKS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(batch: pa.RecordBatch, of: list[int], rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            kept = [batch[c].take(pa.array(of, pa.int64())) for c in batch.schema.names if c != "media"]
-            return pa.RecordBatch.from_arrays([*kept, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=[*(c for c in batch.schema.names if c != "media"), *names])
-
-        for batch in batches:
-            of, rows, held = [], [], 0
-            for i, (info, x) in enumerate(_decoded(batch["media"].to_pylist())):
-                if info is None:
-                    of.append(i)
-                    rows.append((None, None, None, None, None, None, x))
-                    continue
-                for j, at in enumerate(range(0, max(1, len(x)), block)):
-                    part = x[at : at + block]
-                    of.append(i)
-                    rows.append((j, at, len(part), info.channels, info.bits, _pcm(part, info.bits), None))
-                held += len(x)
-                if held > TOGETHER:
-                    yield out(batch, of, rows)
-                    of, rows, held = [], [], 0
-            yield out(batch, of, rows)
+    def out(batch: pa.RecordBatch, of: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+        others = [c for c in batch.schema.names if c != "media"]
+        return pa.RecordBatch.from_arrays([*(batch[c].take(pa.array(of, pa.int64())) for c in others), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=[*others, *names])
+
+    for batch in batches:
+        of, rows, held = [], [], 0
+        for i, (info, x) in enumerate(_decoded(batch["media"].to_pylist())):
+            if info is None:
+                of.append(i)
+                rows.append((None, None, None, None, None, None, x))
+                continue
+            for j, at in enumerate(range(0, max(1, len(x)), block)):
+                part = x[at : at + block]
+                of.append(i)
+                rows.append((j, at, len(part), info.channels, info.bits, _pcm(part, info.bits), None))
+            held += len(x)
+            if held > TOGETHER:
+                yield out(batch, of, rows)
+                of, rows, held = [], [], 0
+        yield out(batch, of, rows)
+
+
+def pcm_blocks(media: DataFrame, key: str = "doc_id", block: int = flac.BLOCK) -> DataFrame:
+    """PCM blocks of a column `media`: key, block, sample_offset, n_samples, channels, bits, pcm (little-endian), error.
 
+    Blocks have `block` samples, the last fewer, so sample s lies in block s // block: see `seek`. Damaged or null
+    media give one row whose `error` says why and whose pcm is null; no row is dropped.
+    """
     ship(media.sparkSession)
-    rows = media.select(column(media, key, "bigint").alias("media_key"), *also, column(media, "media", "binary"))
-    extra = "".join(f"{c} {media.schema[c].dataType.simpleString()}, " for c in also)
-    return rows.mapInArrow(run, f"media_key long, {extra}{BLOCKS}").withColumnRenamed("media_key", key)
+    rows = media.select(column(media, key, "bigint").alias("media_key"), column(media, "media", "binary"))
+    return rows.mapInArrow(lambda batches: blocks_of(batches, block), f"media_key long, {BLOCKS}").withColumnRenamed("media_key", key)
 
 
 def seek(blocks: DataFrame, start: int, count: int, block: int = flac.BLOCK) -> DataFrame:
@@ -137,50 +137,40 @@ class Description:
         return self.n, self.sha.hexdigest(), zlib.crc32(self.tail), feature
 
 
-KEPT = ("row", "n_bytes", "media_bytes", "media_sha256")
-DIGESTS = "doc_id long, n_bytes long, media_bytes long, media_sha256 string, payload_bytes long, payload_sha256 string, tail_crc32 long, feature string"
+DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def digests(stored: DataFrame) -> DataFrame:
+def digests(stored: DataFrame, block: int = flac.BLOCK) -> DataFrame:
     """What reading the stored streams back as PCM blocks gives: hashes of payload and media, sizes and a feature string.
 
-    stored: doc_id, n_bytes, row (one number a stream), media. Blocks of a stream lie together, so a pass over them is enough.
+    A stream's blocks come one after the other, so one pass over them is enough, however long it is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, head, one = None, (), None
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         names = [x.split()[0] for x in DIGESTS.split(", ")]
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
-
         for batch in batches:
+            media = batch["media"].to_pylist()
+            found = [Description() for _ in media]
+            numbered = pa.RecordBatch.from_arrays([pa.array(range(len(media)), pa.int64()), batch["media"]], names=["row", "media"])
+            for part in blocks_of(iter([numbered]), block):
+                for row, pcm in zip(part["row"].to_pylist(), part["pcm"].to_pylist(), strict=True):
+                    found[row].add(pcm)
             rows = []
-            lists = [batch[c].to_pylist() for c in ("row", "doc_id", "n_bytes", "media_bytes", "media_sha256", "pcm")]
-            for row, *key, pcm in zip(*lists, strict=True):
-                if row != now:
-                    if one is not None:
-                        rows.append((*head, *one.row()))
-                    now, head, one = row, tuple(key), Description()
-                one.add(pcm)
-            yield out(rows)
-        if one is not None:
-            yield out([(*head, *one.row())])
+            for data, one in zip(media, found, strict=True):
+                n, sha, crc, feature = one.row()
+                rows.append((n, sha, crc, len(data), hashlib.sha256(data).hexdigest(), feature))
+            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_bytes"], *(pa.array(c, t) for c, t in zip(cols, kinds[2:], strict=True))], names=names)
 
     ship(stored.sparkSession)
-    whole = stored.withColumns({"media_bytes": F.octet_length("media").cast("bigint"), "media_sha256": F.sha2("media", 256)})
-    return pcm_blocks(whole, also=KEPT).mapInArrow(run, DIGESTS)
+    return stored.mapInArrow(run, DIGESTS)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """One row per row of docs: its text stored as FLAC, the stored stream read back as PCM blocks and described.
 
     Null or empty text: 64 zero bytes. Equal texts give equal values; repeated rows each get a row, a null doc_id stays null,
-    and only doc_id and text are read, whatever other columns are called. The streams are written once to the shared
-    folder; there is no shuffle.
+    and only doc_id and text are read, whatever other columns are called. A map over the scan, no shuffle.
     """
-    stored = save(store(docs).withColumn("row", F.monotonically_increasing_id()), "media", "none")
-    cols = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return digests(stored).select(cols)
+    return digests(store(docs))
