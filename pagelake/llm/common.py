@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import functools
-import gc
 import os
 import tempfile
-import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -57,11 +55,20 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir[0]
 
 
+#: Whether the shuffle files of a query go as soon as it is done; what is written needs them no more.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def save(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors, frees its shuffles."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at, compression=codec)
+    was = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(at, compression=codec)
+    finally:
+        spark.conf.set(CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(at)
     out._saved_at = at
     return out
@@ -75,14 +82,6 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let go of shuffle files that no table needs any more; else they stay until the driver happens to collect garbage."""
-    for _ in range(2):  # the first round frees what holds the plans, the second what the plans hold
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(1)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has no more than so many rows, else as it is (a shuffle join follows)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -1,11 +1,12 @@
 """Suffix-array dedup: bytes of strings that a document of smaller doc_id also has are removed.
 
-Whole copies are settled by hash. In the rest, each string of WIDTH bytes holds an anchor: the GRAM-byte piece of
+Whole copies are settled by SHA-256. In the rest, each string of WIDTH bytes holds an anchor: the GRAM-byte piece of
 smallest hash in it, so equal strings have equal anchors at equal places (no repeat is lost). Only anchors that
 occur twice matter; they travel, with the bytes around them, to a shard of the hash space. There a difference
-cover sorts the suffixes of these contexts: triples of the sampled columns (not divisible by 3) are sorted and
-named, names of names are sorted again until they span the string, the other columns follow from a byte and the
-name after it, and adjacent equal prefixes give the smallest document of every string.
+cover puts the suffixes of these contexts in order: triples at the sampled places (not divisible by 3) are sorted and
+named, the text of names is sorted again until names are unique, the other suffixes are merged in, and neighbours with
+equal prefixes give the smallest document of every string. Equal hashes are never trusted: contexts that share one are
+compared byte by byte, in their block and in their shard.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import save, ship, small, texts, tidy
+from pagelake.llm.common import save, ship, small, texts
 
 WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM  # an anchor lies up to so many bytes after its string's start
@@ -141,53 +142,94 @@ def short(h: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- the shards' work
 
 
-def names(*columns: np.ndarray) -> np.ndarray:
-    """Names, in the order of the sorted tuples."""
-    out = np.zeros(len(columns[0]), np.int64)
-    for c in columns:
-        _, rank = np.unique(c, return_inverse=True)
-        _, out = np.unique(out * (int(rank.max(initial=0)) + 1) + rank, return_inverse=True)
+def _names(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of keys by their order, from 1 on, and that order."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    new = np.ones(len(k), np.int64)
+    new[1:] = k[1:] != k[:-1]
+    out = np.empty(len(k), np.int64)
+    out[order] = np.cumsum(new)
+    return out, order
+
+
+def _dense(*columns: np.ndarray) -> np.ndarray:
+    """One number for every tuple, in the order of tuples; made dense where the product of their ranges is too large."""
+    out, room = columns[0], int(columns[0].max(initial=0)) + 1
+    for c in columns[1:]:
+        top = int(c.max(initial=0)) + 1
+        if room * top >= 1 << 62:
+            out = _names(out)[0]
+            room = int(out.max(initial=0)) + 1
+        out, room = out * top + c, room * top
     return out
 
 
-def smallest_by_string(group: np.ndarray, rows: np.ndarray, left: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def suffix_array(t: np.ndarray) -> np.ndarray:
+    """Places of all suffixes of t (whole numbers from 1 on) in order, by the difference cover of period 3.
+
+    Triples at the places not divisible by 3 are sorted and named; while names are not unique, the same is done with the
+    text of names, whose suffix order is theirs. The other suffixes follow from a letter and the rank after it, and both are
+    merged by two kinds of comparison.
+    """
+    n = len(t)
+    if n < 3:
+        return np.array(sorted(range(n), key=lambda i: t[i:].tolist()), np.int64)
+    s = np.concatenate([t, np.zeros(3, np.int64)])
+    i = np.arange(n + (n % 3 == 1))  # one sampled suffix beyond the end keeps the two kinds apart in the text of names
+    sampled = np.concatenate([i[i % 3 == 1], i[i % 3 == 2]])
+    name, order = _names(_dense(s[sampled], s[sampled + 1], s[sampled + 2]))
+    if name.max() < len(name):
+        order = suffix_array(name)
+        name = np.empty(len(order), np.int64)
+        name[order] = np.arange(1, len(order) + 1)
+    rank = np.zeros(n + 4, np.int64)
+    rank[sampled] = name
+    order = sampled[order]
+    order = order[order < n]
+    rest = i[(i % 3 == 0) & (i < n)]
+    rest = rest[np.argsort(_dense(s[rest], rank[rest + 1]), kind="stable")]
+    place = np.arange(len(rest))
+    for k, ahead in ((1, 1), (2, 2)):  # against suffixes at places 1 and 2 modulo 3, as many letters ahead of a rank
+        other = order[order % 3 == k]
+        both = np.concatenate([rest, other])
+        keys = _dense(*(s[both + j] for j in range(ahead)), rank[both + ahead])
+        place = place + np.searchsorted(keys[len(rest) :], keys[: len(rest)])
+    out, free = np.empty(n, np.int64), np.ones(n, bool)
+    out[place], free[place] = rest, False
+    out[free] = order
+    return out
+
+
+def smallest_by_string(rows: np.ndarray, left: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """For contexts (rows of REACH bytes, the anchor at column SPAN): bit c of the result says whether the string from
-    column c also starts, in a context of the same group, in a smaller document.
+    column c also starts, in another of these contexts, in a smaller document.
+
+    The suffixes of all contexts, one after the other, are put in order; strings whose first WIDTH bytes are equal are
+    neighbours then, so comparing each with the one before is enough.
     """
     m = len(rows)
-    wide = np.concatenate([rows, np.zeros((m, 3), np.uint8)], axis=1).astype(np.int32)
-    sampled = np.array([c for c in range(REACH - 2) if c % 3])
-    triple = np.zeros((m, REACH), np.int32)
-    triple[:, sampled] = wide[:, sampled] << 16 | wide[:, sampled + 1] << 8 | wide[:, sampled + 2]
-
-    def named(x: np.ndarray, step: int, spans: int) -> np.ndarray:
-        """Names of (x[c], x[c + step], x[c + 2 step]) at sampled columns with so many bytes to come."""
-        cols = np.array([c for c in range(REACH - spans + 1) if c % 3])
-        out = np.zeros((m, REACH), np.int32)
-        out[:, cols] = names(x[:, cols].ravel(), x[:, cols + step].ravel(), x[:, cols + 2 * step].ravel()).reshape(m, len(cols))
-        return out
-
-    nine = named(triple, 3, 9)
-    most = named(nine, 9, 27)
+    column, lo = np.arange(REACH + 1), SPAN - left
+    inside = (column >= lo[:, None]) & (column < (lo + size)[:, None])
+    text = np.ones((m, REACH + 1), np.int64)  # 1 stands between contexts
+    text[:, :REACH] = np.where(inside[:, :REACH], rows.astype(np.int64) + 2, 1)
+    order = suffix_array(text.ravel())
+    which, c = order // (REACH + 1), order % (REACH + 1)
+    whole = (c <= SPAN) & (c >= lo[which]) & (c + WIDTH <= (lo + size)[which])
+    which, c = which[whole], c[whole]
+    new = np.ones(len(which), bool)
+    step = np.arange(WIDTH)
+    for a in range(1, len(which), 100_000):
+        z = min(len(which), a + 100_000)
+        w = rows[which[a - 1 : z, None], c[a - 1 : z, None] + step]
+        new[a:z] = (w[1:] != w[:-1]).any(axis=1)
+    if not len(which):
+        return np.zeros(m, np.int64)
+    starts = np.flatnonzero(new)
+    least = np.minimum.reduceat(doc[which], starts)[np.cumsum(new) - 1]
     out = np.zeros(m, np.int64)
-    for c in range(SPAN + 1):
-        here = np.flatnonzero((SPAN - left <= c) & (c + WIDTH <= SPAN - left + size))
-        if len(here) < 2:
-            continue
-        w, n = wide[here], most[here]
-        if c % 3:  # 27 bytes, 27 bytes from the 21st on, and the last two
-            keys = (n[:, c], n[:, c + 21], w[:, c + 48] << 8 | w[:, c + 49])
-        else:  # a byte, then what is sampled after it
-            keys = (n[:, c + 1], n[:, c + 22], w[:, c] << 8 | w[:, c + 49])
-        order = np.lexsort((doc[here], *keys, group[here]))
-        g = group[here][order]
-        new = np.concatenate([[True], g[1:] != g[:-1]])
-        for k in keys:
-            k = k[order]
-            new[1:] |= k[1:] != k[:-1]
-        d = doc[here][order]
-        least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
-        out[here[order[d > least]]] |= 1 << c
+    later = doc[which] > least
+    np.bitwise_or.at(out, which[later], np.int64(1) << c[later])
     return out
 
 
@@ -334,18 +376,44 @@ class _Block:
         read = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
         row = np.repeat(np.arange(len(self.raws)), read("counts", np.int64))
         at, h, context = read("places", np.int32).astype(np.int64), read("hashes", np.uint64), read("contexts", np.uint64)
-        shard = shard_of(h, shards)
-        order = np.lexsort((self.ranks[row], context, h, shard))
-        self.row, h, context, self.shard = row[order], h[order], context[order], shard[order]
-        self.rank = self.ranks[self.row]
-        self.h, self.context = h, context
-        starts, ends = _stretches(h, context)
-        self.first, self.which = np.array(starts, np.int64), np.repeat(np.arange(len(starts)), np.subtract(ends, starts))
         self.size = np.array([len(x) for x in self.raws], np.int64)
-        at = at[order]
-        alone = at < 0  # a string by itself
-        self.place = np.where(alone, -1 - at, at)
-        self.lo, self.hi = np.where(alone, self.place, np.maximum(self.place - SPAN, 0)), np.minimum(self.place + WIDTH, self.size[self.row])
+        self.flat, self.begin = np.frombuffer(b"".join(self.raws), np.uint8), np.cumsum(self.size) - self.size
+        while True:
+            shard = shard_of(h, shards)
+            order = np.lexsort((self.ranks[row], context, h, shard))
+            row, h, context, at, self.shard = row[order], h[order], context[order], at[order], shard[order]
+            starts, ends = _stretches(h, context)
+            self.first, self.which = np.array(starts, np.int64), np.repeat(np.arange(len(starts)), np.subtract(ends, starts))
+            alone = at < 0  # a string by itself
+            self.row, self.place = row, np.where(alone, -1 - at, at)
+            self.lo, self.hi = np.where(alone, self.place, np.maximum(self.place - SPAN, 0)), np.minimum(self.place + WIDTH, self.size[row])
+            other = self._unlike()
+            if not len(other):
+                break
+            context = context.copy()
+            context[other] = _mix(context[other] + _B)  # equal hashes of unlike bytes: another context, which its shard compares
+        self.rank, self.h, self.context = self.ranks[row], h, context
+
+    def bytes_of(self, some: np.ndarray) -> np.ndarray:
+        """Contexts as rows of REACH bytes, the anchor at column SPAN, zeros outside."""
+        p, lo, hi = self.place[some], self.lo[some], self.hi[some]
+        col = (p - SPAN)[:, None] + np.arange(REACH)
+        inside = (col >= lo[:, None]) & (col < hi[:, None])
+        rows = self.flat[np.where(inside, self.begin[self.row[some]][:, None] + col, 0)]
+        rows[~inside] = 0
+        return rows
+
+    def _unlike(self) -> np.ndarray:
+        """Contexts that have another's hash and not its bytes."""
+        again = np.flatnonzero(np.arange(len(self.which)) != self.first[self.which]) if len(self.which) else np.zeros(0, np.int64)
+        out = [np.zeros(0, np.int64)]
+        for k in range(0, len(again), 50_000):
+            some = again[k : k + 50_000]
+            rep = self.first[self.which[some]]
+            apart = (self.hi[some] - self.place[some] != self.hi[rep] - self.place[rep]) | (self.place[some] - self.lo[some] != self.place[rep] - self.lo[rep])
+            differs = (self.bytes_of(some) != self.bytes_of(rep)).any(axis=1) | apart
+            out.append(some[differs])
+        return np.concatenate(out)
 
 
 SENT = "shard int, block int, first long, hashes binary, contexts binary, ranks binary, lefts binary, sizes binary, bytes binary"
@@ -361,15 +429,10 @@ def _send(shards: int):
 
     def block(table: pa.Table) -> pa.Table:
         b = _Block(table, shards)
-        flat, begin = np.frombuffer(b"".join(b.raws), np.uint8), np.cumsum(b.size) - b.size
-        step, out = np.arange(REACH), []
+        out = []
         for i, j in zip(*_stretches(b.shard[b.first]), strict=True):
             f = b.first[i:j]
-            p, lo, hi, at = b.place[f], b.lo[f], b.hi[f], begin[b.row[f]]
-            col = (p - SPAN)[:, None] + step
-            inside = (col >= lo[:, None]) & (col < hi[:, None])
-            rows = flat[np.where(inside, at[:, None] + col, 0)]
-            rows[~inside] = 0
+            p, lo, hi, rows = b.place[f], b.lo[f], b.hi[f], b.bytes_of(f)
             out.append((int(b.shard[f[0]]), table["block"][0].as_py(), i, _pack(b.h[f]), _pack(b.context[f]), _pack(b.rank[f]), _pack((p - lo).astype(np.uint8)), _pack((hi - lo).astype(np.uint8)), zstandard.ZstdCompressor(level=3).compress(_pack(rows))))
         return _table(out, SENT)
 
@@ -388,6 +451,14 @@ def _resolve(table: pa.Table) -> pa.Table:
     h, context, rank, left, size, block, number = (x[order] for x in (h, context, rank, left, size, block, number))
     new_h = np.concatenate([[True], h[1:] != h[:-1]])
     new = new_h | np.concatenate([[True], context[1:] != context[:-1]])
+    whole = np.concatenate([rows[order], left[:, None].astype(np.uint8), size[:, None].astype(np.uint8)], axis=1)
+    if ((whole[1:] != whole[:-1]).any(axis=1) & ~new[1:]).any():  # equal hashes of unlike bytes: the bytes decide
+        _, by_bytes = np.unique(whole, axis=0, return_inverse=True)
+        again = np.lexsort((rank, by_bytes.ravel(), h))
+        h, context, rank, left, size, block, number, order = (x[again] for x in (h, by_bytes.ravel().astype(np.uint64), rank, left, size, block, number, order))
+        new_h = np.concatenate([[True], h[1:] != h[:-1]])
+        new = new_h | np.concatenate([[True], context[1:] != context[:-1]])
+    del whole
     which = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     group = np.cumsum(new_h) - 1
@@ -402,7 +473,7 @@ def _resolve(table: pa.Table) -> pa.Table:
             j += 1
         c = slice(starts[i], ends[j - 1])
         f = some[c]
-        bits[at[c]] = smallest_by_string(group[f], rows[order[f]], left[f], size[f], rank[f])
+        bits[at[c]] = smallest_by_string(rows[order[f]], left[f], size[f], rank[f])
         i = j
     least, mask = rank[first][which], bits[which]
     tell = (least < rank) | (mask > 0)
@@ -457,7 +528,7 @@ def dedup(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = texts(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("rank"), "raw", F.octet_length("raw").alias("size"), F.md5("raw").alias("digest"))
+    rows = texts(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("rank"), "raw", F.octet_length("raw").alias("size"), F.sha2("raw", 256).alias("digest"))
     copies = save(rows.groupBy("digest", "size").agg(F.min("rank").alias("least"), F.count("*").alias("n"), F.sum(F.col("size").cast("bigint")).alias("bytes")).filter("n > 1").select("digest", "least"), "copies")
     total = rows.agg(F.sum(F.col("size").cast("bigint"))).first()[0] or 0
     shards = max(4, -(-total // BLOCK))
@@ -465,8 +536,6 @@ def dedup(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     alone = rows.filter(~F.col("copy")).withColumn("block", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)).cast("int")).select("block", "doc_id", "rank", "raw")
     found = _scan(alone, shards).groupBy("shard").applyInArrow(_repeated, FOUND)
     matched = save(_packed(alone).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_match(shards), TOUCHED), "matched")
-    del found
-    tidy(spark)
     touched = matched.filter("data IS NOT NULL").drop("doc_id", "n_bytes", "kept_sha256")
     told = touched.mapInArrow(_send(shards), SENT).groupBy("shard").applyInArrow(_resolve, TOLD)
     names_ = [x.split()[0] for x in RESULT.split(", ")]
