@@ -98,11 +98,11 @@ def join_floors(segments: DataFrame, by: list[str]) -> DataFrame:
 
     def fold(page: pd.DataFrame) -> pd.DataFrame:
         out: list[list[float]] = []
-        for _, s in page.sort_values(["pos", "lo"]).iterrows():
-            if out and s["pos"] - out[-1][0] <= FLOOR_TOLERANCE:
-                out[-1][1:] = [min(out[-1][1], s["lo"]), max(out[-1][2], s["hi"])]
+        for pos, lo, hi in page.sort_values(["pos", "lo"])[["pos", "lo", "hi"]].itertuples(index=False):
+            if out and pos - out[-1][0] <= FLOOR_TOLERANCE:
+                out[-1][1:] = [min(out[-1][1], lo), max(out[-1][2], hi)]
             else:
-                out.append([s["pos"], s["lo"], s["hi"]])
+                out.append([pos, lo, hi])
         key = {k: page[k].iloc[0] for k in by}
         return pd.DataFrame([{**key, "pos": a, "lo": b, "hi": c} for a, b, c in out])
 

@@ -189,7 +189,9 @@ SELECT *, CASE WHEN amounts = 0 AND items = 0 THEN 'empty' WHEN amounts = 0 THEN
 c AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY l_suppkey ORDER BY p) > 50.0 THEN 1 ELSE 0 END AS cut FROM d),
 k AS (SELECT *, CAST(sum(cut) OVER (PARTITION BY l_suppkey ORDER BY p) AS BIGINT) AS cluster FROM c)
 SELECT l_suppkey, cluster, count(*) AS n, min(p) AS lo, max(p) AS hi FROM k GROUP BY l_suppkey, cluster"""),
-    "band_fold": (band_fold, None),
+    "band_fold": (band_fold, """WITH RECURSIVE x AS (SELECT l_orderkey AS k, l_extendedprice AS v FROM lineitem), b(k, head) AS (SELECT k, min(v) FROM x GROUP BY k UNION ALL SELECT x.k, min(x.v) FROM b JOIN x ON x.k = b.k AND x.v - b.head > 5000.0 GROUP BY x.k, b.head),
+n AS (SELECT k, head, lead(head) OVER (PARTITION BY k ORDER BY head) AS nxt FROM b)
+SELECT n.k AS l_orderkey, head, count(*) AS n FROM n JOIN x ON x.k = n.k AND v >= head AND (nxt IS NULL OR v < nxt) GROUP BY 1, 2"""),
     "span_pipeline": (span_pipeline, """WITH x AS (SELECT l_suppkey AS volume, l_returnflag || l_linestatus AS code, l_partkey AS page, CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber <= 3 THEN 2 ELSE 3 END AS r FROM lineitem),
 i AS (SELECT *, page - dense_rank() OVER (PARTITION BY volume, code ORDER BY page) AS g FROM x WHERE r = 3),
 k AS (SELECT volume, code, page, r FROM (SELECT *, max(page) OVER w - min(page) OVER w + 1 AS n FROM i WINDOW w AS (PARTITION BY volume, code, g)) WHERE n >= 2),

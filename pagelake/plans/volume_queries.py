@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.numbers import money
 from pagelake.operators import match, publish, reader
 from pagelake.plans.made import dealt, told
-from pagelake.sources import volumes
+from pagelake.sources import sinks, volumes
 from pagelake.sources.tables import table
 
 C = F.col
@@ -307,7 +307,13 @@ def glyph_words(spark: SparkSession, d: str) -> DataFrame:
     return reader.words_of(g.unionByName(bold), ["c_custkey"]).groupBy("c_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("u0", "text"))), lambda w: w["text"]), " ").alias("words"))
 
 
+def csv_lines(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", F.when(C("c_custkey") % 3 == 0, F.concat(F.lit('say "'), "c_name", F.lit('"'))).when(C("c_custkey") % 3 == 1, F.concat("c_name", F.lit(", Roma"))).alias("name"))
+    return c.select("c_custkey", sinks.csv_line(c, F.concat(F.lit("https://x/a.pdf#page="), C("c_custkey").cast("string"))).alias("line"))
+
+
 QUERIES = {
+    "csv_lines": (csv_lines, "SELECT c_custkey, c_custkey || ',' || CASE c_custkey % 3 WHEN 0 THEN '\"say \"\"' || c_name || '\"\"\"' WHEN 1 THEN '\"' || c_name || ', Roma\"' ELSE '' END || ',https://x/a.pdf#page=' || c_custkey AS line FROM customer"),
     "report_files": (report_files, told({"year": [f[1] for f in FILES], "volume": [f[2] for f in FILES], "job": [f[1] is not None and f[1] >= 2016 for f in FILES]})),
     "volume_order": (volume_order, "SELECT c_name AS path, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_custkey % 4 > 0 THEN c_custkey * 7 % 5 ELSE 0 END, c_name) AS place FROM customer"),
     "borrowed_index": (borrowed_index, """WITH c AS (SELECT c_nationkey AS year, c_custkey % 4 + 1 AS volume, max(c_name) AS e FROM customer GROUP BY 1, 2), x AS (SELECT year, volume, CASE WHEN (year + volume) % 3 > 0 THEN e END AS e FROM c)

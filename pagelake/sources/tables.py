@@ -24,7 +24,7 @@ MANIFEST = "year INT, leg INT, num INT, vol STRING, file STRING, pages INT, url
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Volumes of the archive; the verifier's reading keeps rows with a web address only."""
+    """Volumes of the archive. The verifier reads the same file by `volumes.verifier_manifest`."""
     return spark.read.csv(path, sep="\t", comment="#", schema=MANIFEST)
 
 
