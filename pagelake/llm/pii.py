@@ -1,8 +1,8 @@
 """Personal data: plain patterns, and a semi-Markov conditional random field for what is written otherwise.
 
-The field scores whole spans, not single tokens: their shape, checksum, cue words before them and separators. Its
-dynamic programme takes the best cutting of a stretch of tokens into typed spans of bounded length and plain
-tokens. It is trained here, on sentences made by rule from fixed seeds, and looks only at stretches around digits,
+The field scores whole spans, not single tokens: their shape, checksum, cue words before them and separators, and each
+pair of neighbouring segments by their kinds. Its dynamic programme takes the best cutting of a stretch of tokens into
+typed spans of bounded length and plain tokens; every range of tokens up to that length is a candidate. It is trained here, on sentences made by rule from fixed seeds, and looks only at stretches around digits,
 at-signs and spelt-out separators; elsewhere every token is plain.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import random
 import re
 
@@ -130,74 +131,142 @@ def features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -> list[l
 
 @functools.lru_cache(maxsize=1 << 16)
 def _able(span: str) -> bool:
-    """Spans that could be personal data at all: some shape fits."""
+    """Some shape fits the span."""
     return any(shape.fullmatch(span) for shape in SHAPES)
 
 
-def candidates(text: str, tokens: list[tuple[int, int]], taken: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Token ranges that fit some shape, do not cut a word and do not touch what is taken."""
+def candidates(text: str, tokens: list[tuple[int, int]], taken: np.ndarray | None = None, reach: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Token ranges up to the longest span that hold a trigger, do not cut a word and do not touch what is taken.
+
+    With reach (of the field), ranges without a shape are left out where they could not be chosen whatever is around them.
+    """
     out = []
     longest = max(LONGEST.values())
     for i in range(len(tokens)):
         first = text[tokens[i][0]]
         if not (first.isalnum() or first == "("):
             continue
+        digits, cued = 0, None
         for j in range(i + 1, min(len(tokens), i + longest) + 1):
             if taken is not None and taken[j - 1]:
                 break
-            if text[tokens[j - 1][1] - 1].isalnum() and _able(text[tokens[i][0] : tokens[j - 1][1]]):
+            a, b = tokens[j - 1]
+            digits += sum("0" <= c <= "9" for c in text[a:b])
+            if not text[b - 1].isalnum():
+                continue
+            span = text[tokens[i][0] : b]
+            if reach is not None and not _able(span):
+                if cued is None:
+                    before = {text[a:b].lower() for a, b in tokens[max(0, i - 3) : i]}
+                    cued = [bool(before & CUES[kind]) for kind in KINDS]
+                bucket, sum_ = min(4, digits // 4), digits >= 13
+                if not any(j - i <= LONGEST[kind] and reach[y, bucket, int(sum_), int(cued[y])] for y, kind in enumerate(KINDS)):
+                    continue
+            if MARK.search(span):
                 out.append((i, j))
     return out
 
 
-def span_scores(text: str, tokens: list[tuple[int, int]], spans: list[tuple[int, int]], weights: np.ndarray) -> list[list[float]]:
-    out = []
-    for i, j in spans:
-        row = [float(weights[y, f].sum()) if j - i <= LONGEST[kind] else -1e9 for y, (kind, f) in enumerate(zip(KINDS, features(text, tokens, i, j), strict=True))]
-        out.append(row)
+#: What a span must hold to be personal data of some kind.
+MARK = re.compile(r"[0-9@]|\b(?:at|dot|AT|DOT)\b")
+
+
+class Field:
+    """weights: score of (kind, feature). pairs: score of neighbouring segments (label before, label); label 0 is a plain
+    token, kind y is label y + 1; two plain tokens score nothing.
+    """
+
+    def __init__(self) -> None:
+        self.weights = np.zeros((len(KINDS), N_FEATURES))
+        self.pairs = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
+
+    def reach(self) -> np.ndarray:
+        """Whether a span without a shape could be in a best cutting, by kind, digits (in fours), a checksum that may hold,
+        and a cue word before it: with all that it could gain besides, and with the neighbours that suit it best, against
+        plain tokens in its place.
+        """
+        k, w, t = len(SHAPES), self.weights, self.pairs
+        gain = np.maximum(w, 0)
+        sure = w[:, k] + w[:, k + 10] + gain[:, [k + 7, k + 8, k + 11]].sum(axis=1) + (t[:, 1:] - t[:, :1]).max(axis=0) + (t[1:] - t[:1]).max(axis=1)
+        most = sure[:, None, None, None] + w[:, k + 1 : k + 6, None, None] + np.stack([0 * w[:, k + 6], gain[:, k + 6]], axis=1)[:, None, :, None] + np.stack([0 * w[:, k + 9], w[:, k + 9]], axis=1)[:, None, None, :]
+        return most >= 0
+
+
+def span_scores(text: str, tokens: list[tuple[int, int]], spans: list[tuple[int, int]], weights: np.ndarray) -> np.ndarray:
+    out = np.empty((len(spans), len(KINDS)))
+    for k, (i, j) in enumerate(spans):
+        out[k] = [weights[y, f].sum() if j - i <= LONGEST[kind] else -1e9 for y, (kind, f) in enumerate(zip(KINDS, features(text, tokens, i, j), strict=True))]
     return out
 
 
-def best_cut(n: int, spans: list[tuple[int, int]], scores: list[list[float]]) -> list[tuple[int, int, int]]:
-    """The best cutting of n tokens into spans with a kind and plain tokens (score 0 each)."""
+def best_cut(n: int, spans: list[tuple[int, int]], scores: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best cutting of n tokens into spans with a kind and plain tokens, by spans' scores and those of neighbours."""
     ends: dict[int, list[int]] = {}
     for k, (_, j) in enumerate(spans):
         ends.setdefault(j, []).append(k)
-    value, back = [0.0] * (n + 1), [None] * (n + 1)
+    value = np.full((n + 1, len(pairs)), -np.inf)
+    value[0, 0] = 0.0
+    back: list[list[tuple | None]] = [[None] * len(pairs) for _ in range(n + 1)]
+    into: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for j in range(1, n + 1):
-        value[j] = value[j - 1]
+        before = value[j - 1] + pairs[:, 0]
+        p = int(before.argmax())
+        value[j, 0], back[j][0] = before[p], (j - 1, p)
         for k in ends.get(j, ()):
-            y = max(range(len(KINDS)), key=scores[k].__getitem__)
-            if (s := value[spans[k][0]] + scores[k][y]) > value[j]:
-                value[j], back[j] = s, (k, y)
-    out, j = [], n
+            i = spans[k][0]
+            if i not in into:
+                m = value[i][:, None] + pairs[:, 1:]
+                into[i] = m.max(axis=0), m.argmax(axis=0)
+            most, of = into[i]
+            total = most + scores[k]
+            for y in np.flatnonzero(total > value[j, 1:]):
+                value[j, y + 1], back[j][y + 1] = total[y], (i, int(of[y]))
+    out, j, y = [], n, int(value[n].argmax())
     while j:
-        if back[j]:
-            k, y = back[j]
-            out.append((*spans[k], y))
-            j = spans[k][0]
-        else:
-            j -= 1
+        i, p = back[j][y]
+        if y:
+            out.append((i, j, y - 1))
+        j, y = i, p
     return out[::-1]
 
 
-def _marginals(n: int, spans: list[tuple[int, int]], scores: np.ndarray) -> np.ndarray:
-    """The field's probability of every (span, kind), by the forward and backward sums over all cuttings."""
+def _sum(x: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """Logarithm of summed exponentials."""
+    top = np.maximum(x.max(axis=axis, keepdims=True), -1e300)
+    return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis=axis)
+
+
+def _marginals(n: int, spans: list[tuple[int, int]], scores: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The field's probability of every (span, kind), and how often it expects every pair of neighbouring labels: by the
+    forward and backward sums over all cuttings.
+    """
     begin: dict[int, list[int]] = {}
     end: dict[int, list[int]] = {}
     for k, (i, j) in enumerate(spans):
         begin.setdefault(i, []).append(k)
         end.setdefault(j, []).append(k)
-    total = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
-    ahead, behind = np.zeros(n + 1), np.zeros(n + 1)
-    for j in range(1, n + 1):
-        ahead[j] = np.logaddexp.reduce([ahead[j - 1], *(ahead[spans[k][0]] + total[k] for k in end.get(j, ()))])
-    for i in range(n - 1, -1, -1):
-        behind[i] = np.logaddexp.reduce([behind[i + 1], *(behind[spans[k][1]] + total[k] for k in begin.get(i, ()))])
-    p = np.zeros_like(scores)
-    for k, (i, j) in enumerate(spans):
-        p[k] = np.exp(ahead[i] + scores[k] + behind[j] - ahead[n])
-    return p
+    first, last = np.array([i for i, _ in spans], int), np.array([j for _, j in spans], int)
+    ahead, into, behind = (np.full((n + 1, len(pairs)), -np.inf) for _ in range(3))
+    ahead[0, 0], behind[n] = 0.0, 0.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for j in range(n + 1):
+            if j:
+                ahead[j, 0] = into[j - 1, 0]
+                if k := end.get(j):
+                    ahead[j, 1:] = _sum(into[first[k], 1:] + scores[k], 0)
+            into[j] = _sum(ahead[j][:, None] + pairs, 0)
+        for i in range(n - 1, -1, -1):
+            follow = [pairs[:, :1] + behind[i + 1, 0]]
+            if k := begin.get(i):
+                follow += [pairs[:, 1:] + x for x in scores[k] + behind[last[k], 1:]]
+            behind[i] = _sum(np.concatenate(follow, axis=1), 1)
+        total = _sum(ahead[n])
+        p = np.exp(into[first, 1:] + scores + behind[last, 1:] - total) if spans else np.zeros((0, len(pairs) - 1))
+        expected = np.zeros_like(pairs)
+        expected[:, 0] = np.exp(ahead[:-1] + pairs[:, 0] + behind[1:, :1] - total).sum(axis=0)
+        for k, i in enumerate(first):
+            expected[:, 1:] += np.exp(ahead[i][:, None] + pairs[:, 1:] + scores[k] + behind[last[k], 1:] - total)
+    return p, expected
 
 
 #: Training: sentences made by rule, passes over them, step and shrinkage. All bounds are fixed.
@@ -232,8 +301,8 @@ def _made(rng: random.Random) -> tuple[str, str, str]:
 
 
 @functools.lru_cache
-def trained() -> np.ndarray:
-    """Weights (kind, feature) that maximise the conditional likelihood of the made sentences."""
+def trained() -> Field:
+    """The field that maximises the conditional likelihood of the made sentences."""
     rng = random.Random(7)
     words = "the of und la de que les was mit on to a note see for this in by".split()
     sentences = []
@@ -250,24 +319,35 @@ def trained() -> np.ndarray:
         if not spans:
             continue
         place = {(tokens[i][0], tokens[j - 1][1]): k for k, (i, j) in enumerate(spans)}
-        truth = np.zeros((len(spans), len(KINDS)))
+        truth, label = np.zeros((len(spans), len(KINDS))), [0] * len(tokens)
         for a, b, y in gold:
             if (a, b) in place:
-                truth[place[a, b], y] = 1
+                k = place[a, b]
+                truth[k, y] = 1
+                i, j = spans[k]
+                label[i:j] = [y + 1] + [-1] * (j - i - 1)  # one segment
         x = np.zeros((len(spans), len(KINDS), N_FEATURES))
         for k, (i, j) in enumerate(spans):
             for y, f in enumerate(features(text, tokens, i, j)):
                 x[k, y, f] = 1
+        seen = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
+        for p, y in itertools.pairwise([0, *(y for y in label if y >= 0)]):
+            seen[p, y] += 1
         allowed = np.array([[0.0 if j - i <= LONGEST[kind] else -1e9 for kind in KINDS] for i, j in spans])
-        sentences.append((len(tokens), spans, x, truth, allowed))
-    weights, grown = np.zeros((len(KINDS), N_FEATURES)), np.full((len(KINDS), N_FEATURES), 1e-6)
+        sentences.append((len(tokens), spans, x, truth, seen, allowed))
+    field = Field()
+    grown, paired = np.full_like(field.weights, 1e-6), np.full_like(field.pairs, 1e-6)
     for _ in range(PASSES):
-        for n, spans, x, truth, allowed in sentences:
-            p = _marginals(n, spans, np.einsum("kyf,yf->ky", x, weights) + allowed)
-            slope = np.einsum("ky,kyf->yf", truth - p, x) - DECAY * weights
+        for n, spans, x, truth, seen, allowed in sentences:
+            p, expected = _marginals(n, spans, np.einsum("kyf,yf->ky", x, field.weights) + allowed, field.pairs)
+            slope = np.einsum("ky,kyf->yf", truth - p, x) - DECAY * field.weights
             grown += slope**2
-            weights += RATE * slope / np.sqrt(grown)
-    return weights
+            field.weights += RATE * slope / np.sqrt(grown)
+            slope = seen - expected - DECAY * field.pairs
+            slope[0, 0] = 0.0
+            paired += slope**2
+            field.pairs += RATE * slope / np.sqrt(paired)
+    return field
 
 
 #: Where a stretch may hold personal data; characters of a stretch on either side; gap that joins two.
@@ -275,7 +355,7 @@ TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]|\b(?:at|AT)\b(?= [\w-]+ (?:do
 AROUND, JOIN = 48, 48
 
 
-def field_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
+def field_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     """Spans that the field adds to the base ones, none touching them."""
     stretches: list[list[int]] = []
     for m in TRIGGER.finditer(text):
@@ -284,6 +364,7 @@ def field_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
         else:
             stretches.append([m.start(), m.end()])
     out: list[Span] = []
+    reach = field.reach()
     edges = np.array([(a, b) for a, b, _ in base], np.int64).reshape(-1, 2)
     done = 0
     for a, b in stretches:
@@ -304,10 +385,10 @@ def field_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
             t = np.array(tokens) + a
             k = np.searchsorted(np.maximum.accumulate(edges[:, 1]), t[:, 0], "right")
             taken = (k < len(edges)) & (edges[np.minimum(k, len(edges) - 1), 0] < t[:, 1])
-        spans = candidates(part, tokens, taken)
+        spans = candidates(part, tokens, taken, reach)
         if not spans:
             continue
-        for i, j, y in best_cut(len(tokens), spans, span_scores(part, tokens, spans, weights)):
+        for i, j, y in best_cut(len(tokens), spans, span_scores(part, tokens, spans, field.weights), field.pairs):
             out.append((a + tokens[i][0], a + tokens[j - 1][1], KINDS[y]))
     kept: list[Span] = []
     for s in sorted(set(out)):
@@ -316,10 +397,10 @@ def field_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
     return kept
 
 
-def find(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
+def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a text; offsets in code points, end exclusive."""
     base = base_spans(text)
-    return base, sorted([*base, *field_spans(text, base, weights)], key=lambda s: (s[0], KINDS.index(s[2])))
+    return base, sorted([*base, *field_spans(text, base, field)], key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -341,10 +422,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Null or empty text: zeros, the hash of nothing and no spans. Repeated rows each get a row, a null doc_id stays null,
     texts are read whole, and only doc_id and text are read, whatever other columns are called. A map over the scan.
     """
-    weights = trained()
+    field = trained()
 
     def measure(raw: bytes) -> tuple:
-        base, every = find(raw.decode(errors="replace"), weights)
+        base, every = find(raw.decode(errors="replace"), field)
         counts = [sum(k == kind for _, _, k in base) for kind in BASE_KINDS]
         return *counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every), len(every) - len(base)
 
@@ -356,12 +437,12 @@ def mask(docs: DataFrame) -> DataFrame:
 
     A column n_chars, where docs has one, is set to the new length.
     """
-    weights = trained()
+    field = trained()
     ship(docs.sparkSession)
 
     @F.pandas_udf("string")
     def hide(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda x: None if x is None else masked(x, find(x, weights)[1]))
+        return texts.map(lambda x: None if x is None else masked(x, find(x, field)[1]))
 
     out = docs.withColumn("text", hide(column(docs, "text", "string")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -153,18 +153,51 @@ def test_a_stretch_never_ends_inside_a_word():
             assert (a == 0 or not t[a - 1].isalnum() or not t[a].isalnum()) and (b == len(t) or not t[b - 1].isalnum() or not t[b].isalnum())
 
 
-def test_best_cut_is_the_best():
+def test_best_cut_is_the_best_and_probabilities_add_up():
     rng = random.Random(8)
-    for _ in range(60):
-        n = rng.randint(1, 6)
-        spans = sorted({tuple(sorted(rng.sample(range(n + 1), 2))) for _ in range(5)})
-        scores = [[rng.uniform(-1, 1) for _ in pii.KINDS] for _ in spans]
-
-        def most(i):
-            return 0.0 if i >= n else max([most(i + 1), *(max(s) + most(b) for (a, b), s in zip(spans, scores, strict=True) if a == i)])
-
-        got = sum(scores[spans.index((i, j))][y] for i, j, y in pii.best_cut(n, spans, scores))
-        assert abs(got - most(0)) < 1e-9
+    kinds = len(pii.KINDS)
+    for _ in range(25):
+        n = rng.randint(1, 5)
+        spans = sorted({tuple(sorted(rng.sample(range(n + 1), 2))) for _ in range(4)})
+        scores = np.array([[rng.uniform(-1, 1) for _ in pii.KINDS] for _ in spans])
+        pairs = np.array([[rng.uniform(-1, 1) for _ in range(kinds + 1)] for _ in range(kinds + 1)])
+        pairs[0, 0] = 0
+
+        def cuttings(i, label):
+            """(score, spans with kinds) of every cutting of the rest."""
+            if i == n:
+                yield 0.0, []
+                return
+            for s, rest in cuttings(i + 1, 0):
+                yield pairs[label, 0] + s, rest
+            for k, (a, b) in enumerate(spans):
+                if a == i:
+                    for y in range(kinds):
+                        for s, rest in cuttings(b, y + 1):
+                            yield pairs[label, y + 1] + scores[k, y] + s, [(a, b, y), *rest]
+
+        every = list(cuttings(0, 0))
+        got = pii.best_cut(n, spans, scores, pairs)
+        assert got == max(every, key=lambda x: x[0])[1]
+        p, expected = pii._marginals(n, spans, scores, pairs)
+        total = sum(math.exp(s) for s, _ in every)
+        for k, (a, b) in enumerate(spans):
+            for y in range(kinds):
+                assert abs(p[k, y] - sum(math.exp(s) for s, c in every if (a, b, y) in c) / total) < 1e-9
+        assert abs(expected[:, 1:].sum() - p.sum()) < 1e-9
+
+
+def test_spans_without_a_shape_cannot_be_chosen():
+    """Leaving them out is exact: with all ranges of tokens as candidates the best cutting is the same."""
+    f, rng = pii.trained(), random.Random(4)
+    reach = f.reach()
+    assert not reach.all()
+    for _ in range(150):
+        before, span, _ = pii._made(rng)
+        text = f"see {before}{span} or 12 at 3"
+        tokens = [m.span() for m in pii.TOKEN.finditer(text)]
+        cut = [pii.best_cut(len(tokens), c, pii.span_scores(text, tokens, c, f.weights), f.pairs) for c in (pii.candidates(text, tokens), pii.candidates(text, tokens, None, reach)) if c]
+        assert len(cut) < 2 or cut[0] == cut[1], text
 
 
 def test_personal_data(docs, empty):
