@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.plans import check_queries, order_queries, page_queries, place_queries, questions, row_queries, scan_queries, set_queries, text_queries, volume_queries
+from pagelake.plans import check_queries, layout_queries, order_queries, page_queries, place_queries, questions, row_queries, scan_queries, set_queries, text_queries, volume_queries
 from pagelake.streaming import incremental
 
-ALL = set_queries.QUERIES | order_queries.QUERIES | text_queries.QUERIES | page_queries.QUERIES | place_queries.QUERIES | row_queries.QUERIES | check_queries.QUERIES | questions.QUERIES | volume_queries.QUERIES | scan_queries.QUERIES | incremental.QUERIES
+ALL = set_queries.QUERIES | order_queries.QUERIES | text_queries.QUERIES | page_queries.QUERIES | place_queries.QUERIES | row_queries.QUERIES | check_queries.QUERIES | questions.QUERIES | volume_queries.QUERIES | scan_queries.QUERIES | layout_queries.QUERIES | incremental.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
