@@ -30,6 +30,10 @@ SAMPLE = 4_096
 PROBE = 64
 #: Buckets of more fingerprints are split again by the bits that their part leaves.
 CROWD = 4_096
+#: Buckets of more rows are split before they are dealt out, so that no task gets one whole.
+ROOM = 65_536
+#: What a bucket's rows share, once dealt out.
+KEY = ("part", "value", "cell", "sub")
 
 
 def shingle_hashes(raw: bytes, width: int) -> Iterator[np.ndarray]:
@@ -173,20 +177,24 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 for probe, values in itertools.chain([(False, value)], ((True, v) for v in variants(value, len(bits), t))):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), k, np.int32)), pa.array(values.view(np.int64)), pa.array(np.full(len(fps), probe)), batch["fp"]], names=["part", "value", "probe", "fp"])
 
+    def left(part: int, cell: int) -> tuple[int, ...]:
+        """Bits that neither the part nor the cell (-1: none) has matched."""
+        rest = tuple(b for b in range(BITS) if b not in parts[part][0])
+        return rest if cell < 0 else tuple(b for b in rest if b not in rest[cell :: radius + 1])
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bucket(part: int, fps: np.ndarray, probe: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        def bucket(part: int, cell: int, fps: np.ndarray, probe: np.ndarray) -> list[tuple[np.ndarray, int]]:
             if len(fps) < 2 or probe.all():
                 return []
-            bits, t = parts[part]
-            if t == 0:
-                return link(np.unique(fps), radius, tuple(b for b in range(BITS) if b not in bits))
+            if parts[part][1] == 0:
+                return link(np.unique(fps), radius, left(part, cell))
             out = []
             asked = np.unique(fps[probe])
             for x in np.unique(fps[~probe]):  # those within t meet as one's own value and the other's variant
                 near = asked[(np.bitwise_count(asked ^ x) <= radius) & (asked != x)]
                 if len(near):
                     out.append((near, x))
-            return out + link(np.unique(fps[~probe]), radius, tuple(b for b in range(BITS) if b not in bits))
+            return out + link(np.unique(fps[~probe]), radius, left(part, cell))
 
         def rows(found: list[tuple[np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
             if found:
@@ -196,22 +204,24 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
         held: list[pa.RecordBatch] = []
 
+        def breaks(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+            """Places whose row is of another bucket than the next one's."""
+            return np.flatnonzero(np.any([np.diff(table[c].to_numpy()) != 0 for c in KEY], axis=0))
+
         def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            part, value = table["part"].to_numpy(), table["value"].to_numpy()
+            part, cell = table["part"].to_numpy(), table["cell"].to_numpy()
             fps, probe = table["fp"].to_numpy().view(np.uint64), table["probe"].to_numpy(zero_copy_only=False)
-            at = [0, *(np.flatnonzero((np.diff(part) != 0) | (np.diff(value) != 0)) + 1).tolist(), len(part)]
             found = []
-            for i, j in itertools.pairwise(at):
+            for i, j in itertools.pairwise([0, *(breaks(table) + 1).tolist(), len(part)]):
                 if j - i > 1:
-                    found += bucket(int(part[i]), fps[i:j], probe[i:j])
+                    found += bucket(int(part[i]), int(cell[i]), fps[i:j], probe[i:j])
             yield from rows(found)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part, value = batch["part"].to_numpy(), batch["value"].to_numpy()
-            same = (part == part[-1]) & (value == value[-1])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # the last bucket may go on
+            ends = breaks(batch)
+            cut = int(ends[-1]) + 1 if len(ends) else 0  # the last bucket may go on
             if cut:
                 yield from settle(pa.Table.from_batches([*held, batch.slice(0, cut)]))
                 held = []
@@ -220,9 +230,22 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield from settle(pa.Table.from_batches(held))
 
     ship(spark)
-    looked = distinct.mapInArrow(spread, "part int, value long, probe boolean, fp long")
-    dealt = looked.repartition("part", "value").sortWithinPartitions("part", "value")
-    return dealt.mapInArrow(verify, "a long, b long").distinct()
+    looked = _roomy(distinct.mapInArrow(spread, "part int, value long, probe boolean, fp long"), n, [[left(k, -1)[j :: radius + 1] for j in range(radius + 1)] for k in range(len(parts))])
+    return looked.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(verify, "a long, b long").distinct()
+
+
+def _roomy(looked: DataFrame, n: int, cells: list[list[tuple[int, ...]]]) -> DataFrame:
+    """looked with cell and sub: rows of a bucket of over ROOM go, once for each of cells[part], by those bits' values.
+
+    What is within the radius and shares a bucket differs in `radius` of the bits left at most, so it meets in some cell.
+    """
+    if n <= ROOM:  # a fingerprint is in a bucket once, by its own value or as a probe
+        return looked.withColumn("cell", F.lit(-1)).withColumn("sub", F.lit(0).cast("long"))
+    full = save(looked.groupBy("part", "value").count().filter(F.col("count") > ROOM).select("part", "value", F.lit(True).alias("full")), "full")
+    masks = F.array(*[F.array(*[F.lit(np.array([sum(1 << b for b in bits)], np.uint64).view(np.int64).item()) for bits in part]) for part in cells])
+    split = F.transform(F.element_at(masks, F.col("part") + 1), lambda mask, j: F.struct(j.alias("cell"), F.col("fp").bitwiseAND(mask).alias("sub")))
+    whole = F.array(F.struct(F.lit(-1).alias("cell"), F.lit(0).cast("long").alias("sub")))
+    return looked.join(full, ["part", "value"], "left").withColumn("c", F.explode(F.when(F.col("full"), split).otherwise(whole))).select("part", "value", "probe", "fp", "c.*")
 
 
 def components(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -43,15 +43,33 @@ def test_cases_equal_brute_force(docs, empty):
     assert simhash.components(empty).count() == 0
 
 
-def test_links_lose_none(spark):
+@pytest.mark.parametrize("room", [simhash.ROOM, 0])
+def test_links_lose_none(spark, monkeypatch, room):
+    monkeypatch.setattr(simhash, "ROOM", room)
     rng = random.Random(2)
     fps = [rng.getrandbits(64) for _ in range(150)]
     fps += [f ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for f in fps for _ in range(3)]
     fps = sorted(set(fps))
-    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
     for radius in (1, 2, 3):
-        edges = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, radius).collect()]
-        assert _classes(fps, edges) == _classes(fps, [(a, b) for k, a in enumerate(fps) for b in fps[k + 1 :] if (a ^ b).bit_count() <= radius])
+        _links_equal_all_pairs(spark, fps, radius)
+
+
+def test_probed_and_split_buckets_lose_none(spark, monkeypatch):
+    """Thresholds over 0, and fingerprints that all share the values of many parts."""
+    monkeypatch.setattr(simhash, "ROOM", 20)
+    rng = random.Random(3)
+    fps = sorted({1 << rng.randrange(64) | 1 << rng.randrange(64) | rng.getrandbits(3) << 61 for _ in range(150)})
+    _links_equal_all_pairs(spark, fps, 2)
+    halves = [tuple(range(0, 64, 2)), tuple(range(1, 64, 2))]
+    for thresholds in ((0, 1), (1, 0)):
+        monkeypatch.setattr(simhash, "plan", lambda *_, t=thresholds: list(zip(halves, t, strict=True)))
+        _links_equal_all_pairs(spark, fps, 2)
+
+
+def _links_equal_all_pairs(spark, fps, radius):
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    edges = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, radius).collect()]
+    assert _classes(fps, edges) == _classes(fps, [(a, b) for k, a in enumerate(fps) for b in fps[k + 1 :] if (a ^ b).bit_count() <= radius])
 
 
 def _classes(nodes, edges):
