@@ -333,12 +333,28 @@ def vocabulary(pages: DataFrame, by: list[str], code: str) -> DataFrame:
     return pages.groupBy(*by).agg(F.sort_array(F.collect_set(code)).alias("codes"))  # a volume has a few hundred tables
 
 
-def family(codes: Column) -> Column:
-    """2 where four codes and more are of the second family alone, 3 where single letters abound, else 1."""
+def listed_family(codes: Column, by_doubles: Column | None = None) -> Column:
+    """2 where four codes and more are of the second family alone, 3 where single letters abound, null for unknown.
+
+    by_doubles: of editions whose lists mix bodies; there codes of two letters count too, and 1 is where they prevail.
+    """
+    count = lambda rule: F.size(F.filter(codes, lambda c: c.rlike(f"^{rule}$")))
     own = F.size(F.array_except(F.array_intersect(F.array_distinct(codes), F.array(*map(F.lit, FAMILY_2))), F.array(*map(F.lit, "DEILM"))))
-    shaped = F.size(F.filter(codes, lambda c: c.rlike(r"^[A-Z]\d?$")))
-    single = F.size(F.filter(codes, lambda c: c.rlike("^[A-Z]$")))
-    return F.when(own >= 4, 2).when((F.size(codes) >= 8) & (shaped >= 6) & (single >= 4), 3).otherwise(1)
+    mixed = F.lit(False) if by_doubles is None else F.coalesce(by_doubles, F.lit(False))
+    doubles, singles = count(r"[A-Z]{2}\d{0,2}"), count("[A-Z]")
+    shaped = F.when(mixed, count(r"[A-Z]{1,2}\d{0,2}")).otherwise(count(r"[A-Z]\d?"))
+    enough = (F.size(codes) >= 8) & (shaped >= 6)
+    return F.when(own >= 4, 2).when(enough & mixed & (doubles >= 3) & (doubles >= singles), 1).when(enough & (singles >= 4), 3)
+
+
+def family(codes: Column) -> Column:
+    """listed_family, 1 for unknown."""
+    return F.coalesce(listed_family(codes), F.lit(1))
+
+
+def inline_codes(text: Column) -> Column:
+    """All codes that a page names behind the word for table."""
+    return F.regexp_extract_all(text, F.lit(INLINE), F.lit(1))
 
 
 def safe_code(code: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelake.functions import pages as pg
@@ -28,6 +29,27 @@ def listings(facts: DataFrame) -> DataFrame:
     return facts.filter("NOT pasted").select("volume", "page", pg.listing_codes(F.col("text")).alias("codes")).filter(F.size("codes") > 0)
 
 
+#: About how many pages of a volume without a list are looked at.
+LOOKED_AT = 25
+
+
+def families(facts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """vocabulary (volume, codes, mixed: lists of several bodies, may be null) with family, of each volume of `facts`.
+
+    Where the list leaves it open, pages at even steps show it: 2 for a code of that family, 3 for single letters without
+    a digit behind any, else 1. Customs pages have codes of their own and don't count, but where lists are mixed.
+    """
+    v = facts.groupBy("volume").agg(F.count("*").alias("n")).join(vocabulary.select("volume", "codes", "mixed"), "volume", "left")
+    v = v.withColumns({"codes": F.coalesce("codes", F.array().cast("array<string>")), "mixed": F.coalesce("mixed", F.lit(False))})
+    v = v.withColumn("listed", pg.listed_family(F.col("codes"), F.col("mixed"))).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("n") / LOOKED_AT)))
+    at = facts.withColumn("at", F.row_number().over(W.partitionBy("volume").orderBy("page")) - 1)
+    p = at.join(v.filter("listed IS NULL"), "volume").filter((F.col("at") % F.col("step") == 0) & (F.col("mixed") | ~F.coalesce(pg.classify(F.col("text"))["authority"] == "DOG", F.lit(False))))
+    c = F.col("c")
+    seen = p.select("volume", F.explode(pg.inline_codes(F.col("text"))).alias("c")).groupBy("volume")
+    seen = seen.agg(F.when(F.bool_or(c.isin(pg.FAMILY_2)), 2).when(F.bool_or(c.rlike("^[A-Z]$")) & ~F.bool_or(c.rlike(r"^[A-Z]\d$")), 3).alias("shown"))
+    return v.join(seen, "volume", "left").select("volume", "codes", "mixed", F.coalesce("listed", "shown", F.lit(1)).alias("family"))
+
+
 def detections(facts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """volume, page, code, evidence: what pages name. Exhibits of the relation count before codes; charts are not tables.
 

@@ -63,6 +63,24 @@ def body_starts(spark: SparkSession, d: str) -> DataFrame:
     return scan.body_starts(scan.page_facts(p), v).select("volume", "code", C("page").cast("bigint").alias("page"))
 
 
+#: Codes of a volume's list, whether it mixes bodies, what its pages name, and its family.
+FAMILIES = [
+    (["A1", "A2", "B1", "C1"], None, "x", 2), (["A", "B", "F", "G", "H1", "N1", "Q", "R"], False, "x", 3), (["A", "B", "F", "G", "AA", "BB", "CC", "DD2", "EE", "FF"], True, "x", 1),
+    (["A", "B", "F", "G", "AA", "BB", "CC", "DD2"], False, "x", 1), ([], None, "Tabella Q e Tabella R", 3), (None, None, "Tabella Q e Tabella R1", 1), (None, None, "Tabella Q e Tabella A1", 2), (["AA"], None, "prosa", 1),
+    (None, None, "TAB. A1", 1), (None, True, "TAB. A1", 2)]
+
+
+def volume_families(spark: SparkSession, d: str) -> DataFrame:
+    """A volume a part, of 60 pages, one of which names codes; every second page is looked at, so its place counts."""
+    deal = lambda k, t: F.element_at(F.array(*[F.lit(f[k]).cast(t) if not isinstance(f[k], list) else F.array(*map(F.lit, f[k])).cast(t) for f in FAMILIES]), (C("p_partkey") % len(FAMILIES) + 1).cast("int"))
+    v = table(spark, d, "part").select(C("p_partkey").alias("volume"), deal(0, "array<string>").alias("codes"), deal(1, "boolean").alias("mixed"), deal(2, "string").alias("t"), (C("p_size") % 2).alias("odd"))
+    p = v.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(60)))).select("volume", "page", F.when(C("page") == 31 + C("odd"), C("t")).otherwise("prosa").alias("text"))
+    return scan.families(p, v.filter("codes IS NOT NULL OR mixed IS NOT NULL")).select("volume", C("family").cast("bigint").alias("family"))
+
+
+FAMILY_SQL = f"SELECT p_partkey AS volume, CASE WHEN named AND p_size % 2 = 1 THEN 1 ELSE family END AS family FROM part JOIN (VALUES {_values([(k, f[3], bool(f[2] not in ('x', 'prosa'))) for k, f in enumerate(FAMILIES)])}) v(k, family, named) ON k = p_partkey % {len(FAMILIES)}"
+
+
 #: Pages of a volume whose tables are located: three of AA, two of M1 with its stamps, one stray page, blank leaves.
 LOCATED = ["Tabella AA\nuna riga di testo", "Tabella AA\naltra riga", "Tabella AA\nultima riga", "TAB. M1 Pagina 1 di 2", "TAB. M1 Pagina 2 di 2", "Pagina 1 di 1 altro documento", "", "Pagina bianca"]
 
@@ -125,6 +143,7 @@ def orientations(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "scanned_pages": (scanned_pages, SCAN_SQL),
     "body_starts": (body_starts, "SELECT p_partkey AS volume, code, page FROM part, (VALUES ('C1', 1), ('AA', 2)) v(code, page)"),
+    "volume_families": (volume_families, FAMILY_SQL),
     "located_tables": (located_tables, LOCATED_SQL),
     "unruled_headers": (unruled_headers, told({"labels": [h[2] for h in HEADS], "paths": [h[3] for h in HEADS]})),
     "ruled_pages": (ruled_pages, RULED_SQL),
