@@ -80,11 +80,19 @@ def failed_on(history: DataFrame, by: list[str]) -> DataFrame:
 AMOUNT = r"\d{1,3}(?:\.\d{3})*,\d{2}"
 #: Share of the annex's amounts that a copy repeats.
 COPY_SHARE = 0.5
+GRAND = r"(?i)^\s*(?:Totale\s+Complessivo|Totali)\b"
+ROW_END = r"(?i)^\s*Total[ei]\b"
+ONE_ROW = 4.0
+
+
+def printed(text: Column) -> Column:
+    """Amounts that a text prints, in order, zeros left out."""
+    return F.filter(F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0)), lambda a: a != "0,00")
 
 
 def amounts(text: Column) -> Column:
-    """Distinct amounts that a text prints, zeros left out."""
-    return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0)), lambda a: a != "0,00"))
+    """The same, each once."""
+    return F.array_distinct(printed(text))
 
 
 def compare_exhibit(exhibit: Column, annex: Column, exhibit_total: Column, annex_total: Column) -> Column:
@@ -107,6 +115,61 @@ def compare_rows(rows: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame
     return side(rows, "a").join(side(totals, "b"), [*by, "code"]).select(*by, "code", (F.col("a") == F.col("b")).alias("same"))
 
 
+def grand_totals(lines: DataFrame, by: list[str]) -> DataFrame:
+    """by, amounts: what the last row named a grand total prints, in reading order, repeats kept; empty for none.
+
+    lines: by, page, line (its place on the page), text, x0, y0, x1, y1, dir_x, dir_y. A row is what lies level with its
+    label across the direction of writing: text streams give its cells in any order, and some tables are turned.
+    """
+    level = F.abs("dir_x") >= F.abs("dir_y")
+    at = lines.withColumn("across", F.when(level, F.col("y0")).otherwise(F.col("x0")))
+    at = at.withColumn("along", F.when(level, F.when(F.col("dir_x") > 0, F.col("x0")).otherwise(-F.col("x0"))).otherwise(F.when(F.col("dir_y") < 0, -F.col("y1")).otherwise(F.col("y0"))))
+    last = at.filter(F.trim("text").rlike(GRAND)).groupBy(*by).agg(F.max(F.struct("page", "line", "across")).alias("_l"))
+    row = at.join(last, by).filter((F.col("page") == F.col("_l.page")) & (F.abs(F.col("across") - F.col("_l.across")) <= ONE_ROW))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("along", "text"))), lambda x: x["text"]), " ")  # a printed row
+    return lines.select(*by).distinct().join(row.groupBy(*by).agg(text.alias("_t")), by, "left").select(*by, printed(F.coalesce("_t", F.lit(""))).alias("amounts"))
+
+
+def summary_rows(text: Column, codes: Column) -> Column:
+    """Array of struct(code, amounts) of a summary's text: a line that is one of `codes` opens a row, any total ends it."""
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("open"), F.array().cast("array<struct<code:string,amounts:array<string>>>").alias("rows"))
+
+    def step(acc: Column, line: Column) -> Column:
+        code = F.when(F.array_contains(codes, F.trim(line)), F.trim(line))
+        last = F.element_at(acc["rows"], -1)
+        grown = F.concat(F.slice(acc["rows"], F.lit(1), F.greatest(F.size(acc["rows"]) - 1, F.lit(0))), F.array(F.struct(last["code"].alias("code"), F.concat(last["amounts"], printed(line)).alias("amounts"))))
+        opened = F.concat(F.filter(acc["rows"], lambda r: r["code"] != code), F.array(F.struct(code.alias("code"), F.array().cast("array<string>").alias("amounts"))))
+        ends = line.rlike(ROW_END)
+        return F.when(code.isNotNull(), F.struct(code.alias("open"), opened.alias("rows"))).when(ends, F.struct(none.alias("open"), acc["rows"].alias("rows"))).when(acc["open"].isNotNull(), F.struct(acc["open"].alias("open"), grown.alias("rows"))).otherwise(acc)
+
+    return F.aggregate(F.split(text, "\\R"), start, step)["rows"]
+
+
+def exhibit_notes(tables: DataFrame) -> DataFrame:
+    """key, note: a relation's exhibits against the annex tables of their codes, told on both sides.
+
+    tables: key, authority, article ("REL" for the relation's, empty or null for the annex), code, text, total (what its
+    grand total prints). The uncoded exhibit SALDI goes row by row. Codes of an annex are unique within an authority.
+    """
+    euro = lambda v: F.when(F.size(v) > 0, F.array_join(F.transform(v, lambda x: F.concat(F.lit("€ "), x)), " / ")).otherwise("none printed")
+    annex = tables.filter(F.coalesce("article", F.lit("")) == "").select("authority", "code", F.col("key").alias("a_key"), F.col("text").alias("a_text"), F.col("total").alias("a_total"))
+    rel = tables.filter("article = 'REL'")
+    met = rel.filter("code <> 'SALDI'").join(annex, ["authority", "code"], "left")
+    name, n = F.concat_ws("/", "authority", "code"), F.size(printed(F.col("text"))).cast("string")
+    totals = F.concat(F.lit("relation total "), euro(F.when(F.size("total") > 0, F.col("total")).otherwise(printed(F.col("text")))), F.lit("; "), name, F.lit(" total "), euro(F.col("a_total")))
+    kind = compare_exhibit(F.col("text"), F.col("a_text"), F.col("total"), F.col("a_total"))
+    told = F.when(kind == "copy", F.concat(F.lit("copy of "), name, F.lit(": all "), n, F.lit(" amounts match"))).when(kind == "summary", F.concat(F.lit("summary of "), name, F.lit(", matches: its "), n, F.lit(" amount(s) all appear in "), name, F.lit("; "), totals)).otherwise(F.concat(F.lit("differs from "), name, F.lit(": "), totals))
+    met = met.select("key", "a_key", F.when(F.col("a_key").isNull(), F.concat(F.lit("no annex table "), name)).otherwise(told).alias("note"), F.lit("relation exhibit ").alias("side"))
+    listed = annex.groupBy("authority").agg(F.collect_set("code").alias("codes"))  # an annex has a few hundred tables
+    rows = rel.filter("code = 'SALDI'").join(listed, "authority").select("key", "authority", F.explode(summary_rows(F.col("text"), F.col("codes"))).alias("r")).select("key", "authority", "r.*").join(annex, ["authority", "code"])
+    same = F.sort_array("amounts") == F.sort_array("a_total")
+    row_note = F.when(same, F.concat("code", F.lit(" matches "), name, F.lit(" total "), euro(F.col("a_total")))).otherwise(F.concat("code", F.lit(" differs: relation "), euro(F.col("amounts")), F.lit("; "), name, F.lit(" total "), euro(F.col("a_total"))))
+    rows = rows.select("key", "a_key", row_note.alias("note"), F.lit("row of ").alias("side"))
+    both = met.unionByName(rows)
+    return both.select("key", "note").unionByName(both.filter("a_key IS NOT NULL").select(F.col("a_key").alias("key"), F.concat("side", "key", F.lit(": "), "note").alias("note")))
+
+
 # ---------------------------------------------------------------- mutations that checks must see
 
 

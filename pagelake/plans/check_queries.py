@@ -200,6 +200,46 @@ EXHIBITS = [  # text of the exhibit, of the annex, their totals, what it is
     ("nessun importo", "1,00", [], [], "differs"),
 ]
 
+NOTED = [  # article, code, text, what the grand total prints
+    ("", "LGP", "AEREA € 1.059,91\nASE € 312,23\nTotale Complessivo € 1.372,14", ["1.372,14"]), ("REL", "LGP", "AEREA € 1.059,91\nASE € 312,23\nTotale Complessivo € 1.372,14", ["1.372,14"]),
+    ("", "FG", "X € 1,00", ["4.315,69"]), ("REL", "FG", "X € 1,00", ["4.380,68"]),
+    ("", "KK1", "A € 1,00\nB € 2,00\nC € 3,00\nD € 4,00", ["44,06", "2.722,40"]), ("REL", "KK1", "A € 1,00", ["2.722,40"]),
+    ("REL", "T83", "A € 1,00", []), ("", "AA", "x", ["4.553,28"]), ("", "BB", "x", ["6,00", "5,00"]),
+    ("REL", "SALDI", "AA \nper Istituti € 4.553,94 € 377,39\nBB \nEsportazioni € 5,00 € 6,00\nTotale Esportazioni € 11,00\naltro 8,00\nTotali 9,00", []),
+]
+NOTES = [  # article, code, the note; # is the authority
+    ("REL", "LGP", "copy of #/LGP: all 3 amounts match"), ("", "LGP", "relation exhibit #/REL/LGP: copy of #/LGP: all 3 amounts match"),
+    ("REL", "FG", "differs from #/FG: relation total € 4.380,68; #/FG total € 4.315,69"), ("", "FG", "relation exhibit #/REL/FG: differs from #/FG: relation total € 4.380,68; #/FG total € 4.315,69"),
+    ("REL", "KK1", "summary of #/KK1, matches: its 1 amount(s) all appear in #/KK1; relation total € 2.722,40; #/KK1 total € 44,06 / € 2.722,40"),
+    ("", "KK1", "relation exhibit #/REL/KK1: summary of #/KK1, matches: its 1 amount(s) all appear in #/KK1; relation total € 2.722,40; #/KK1 total € 44,06 / € 2.722,40"),
+    ("REL", "T83", "no annex table #/T83"),
+    ("REL", "SALDI", "AA differs: relation € 4.553,94 / € 377,39; #/AA total € 4.553,28"), ("", "AA", "row of #/REL/SALDI: AA differs: relation € 4.553,94 / € 377,39; #/AA total € 4.553,28"),
+    ("REL", "SALDI", "BB matches #/BB total € 6,00 / € 5,00"), ("", "BB", "row of #/REL/SALDI: BB matches #/BB total € 6,00 / € 5,00"),
+]
+
+
+def exhibit_notes(spark: SparkSession, d: str) -> DataFrame:
+    """An authority a nation, each with the same tables."""
+    made = F.array(*[F.struct(F.lit(t[0]).alias("article"), F.lit(t[1]).alias("code"), F.lit(t[2]).alias("text"), F.array(*map(F.lit, t[3])).cast("array<string>").alias("total")) for t in NOTED])
+    t = table(spark, d, "nation").select(C("n_name").alias("authority"), F.explode(made).alias("t")).select("authority", "t.*")
+    return checks.exhibit_notes(t.withColumn("key", F.concat_ws("/", "authority", F.nullif("article", F.lit("")), "code")))
+
+
+NOTES_SQL = "SELECT n_name || CASE WHEN article = '' THEN '' ELSE '/REL' END || '/' || code AS key, replace(note, '#', n_name) AS note FROM nation, (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in NOTES) + ") v(article, code, note)"
+
+
+def grand_totals(spark: SparkSession, d: str) -> DataFrame:
+    """A page an order; a third of the orders have a total row, a third of them turned upwards."""
+    x = table(spark, d, "orders").select("o_orderkey", (C("o_orderkey") % 3 == 0).alias("total"), (F.floor(C("o_orderkey") / 3) % 3 == 0).alias("up"), F.concat((C("o_orderkey") % 900 + 100).cast("string"), F.lit(",50")).alias("a"))
+    cells = [(1, "Totale Esportazioni", 20, 100), (1, "7,00", 90, 100), (2, "9,00", 90, 30), (1, None, 90, 50.5), (2, "0,00", 60, 51), (1, "Totale Complessivo", 20, 50), (2, None, 120, 53.5), (1, "8,00", 95, 60)]
+    made = F.array(*[F.struct(F.lit(k).alias("line"), F.lit(c[1]).cast("string").alias("text"), F.lit(float(c[2])).alias("u"), F.lit(float(c[3])).alias("v")) for k, c in enumerate(cells)])
+    x = x.withColumn("c", F.explode(made)).select("o_orderkey", "total", "up", "a", "c.*").filter(C("total") | ~C("text").startswith("Totale C") | C("text").isNull())
+    u, v, up = C("u"), C("v"), C("up")
+    box = {"x0": F.when(up, v).otherwise(u), "y0": F.when(up, 800 - u - 30).otherwise(v), "x1": F.when(up, v + 9).otherwise(u + 30), "y1": F.when(up, 800 - u).otherwise(v + 9), "dir_x": F.when(up, 0.0).otherwise(1.0), "dir_y": F.when(up, -1.0).otherwise(0.0)}
+    t = x.withColumn("text", F.coalesce("text", F.concat(F.lit("€ "), "a"))).withColumns(box).withColumn("page", F.lit(1))
+    return checks.grand_totals(t, ["o_orderkey"]).select("o_orderkey", F.array_join("amounts", " ").alias("amounts"))
+
+
 STATES = [  # first, second, checked, current, failed contents, action, reason
     (None, None, None, "h", 0, "check", "no verdict yet"),
     (("PASS", None), None, "h", "h2", 0, "recheck", "content changed"),
@@ -347,6 +387,8 @@ QUERIES = {
     "failed_files": (failed_files, FAILED_SQL),
     "pages_to_look_at": (pages_to_look_at, LOOK_SQL),
     "exhibit_copies": (exhibit_copies, told({"note": [e[4] for e in EXHIBITS]})),
+    "exhibit_notes": (exhibit_notes, NOTES_SQL),
+    "grand_totals": (grand_totals, "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 900 + 100) || ',50 ' || (o_orderkey % 900 + 100) || ',50' ELSE '' END AS amounts FROM orders"),
     "escalation_state": (escalation_state, told({"action": [s[5] for s in STATES], "reason": [s[6] for s in STATES]})),
     "queue_action": (queue_action, told({"action": [q[4] for q in QUEUE]})),
     "failed_contents": (failed_contents, "SELECT user_id, count(DISTINCT CASE WHEN event_type NOT IN ('purchase', 'view') THEN event_id % 7 END) AS n FROM events GROUP BY user_id"),
