@@ -156,6 +156,21 @@ def site_catalogue(listed: DataFrame, extracted: DataFrame, sources: DataFrame)
     return listed.join(extracted.select("key", "sql_table"), "key", "left")
 
 
+def load_report(tables: DataFrame, rows: DataFrame, issues: DataFrame, results: DataFrame) -> DataFrame:
+    """key, refused, n_rows, issues, passed, rounding, failed, unchecked of every table of an edition, loaded or refused.
+
+    tables: key. rows: key. issues: key, kind, detail. results: key, status. A table whose issue is of the kind `refused`
+    has no rows; what says why is kept, and its checks count for nothing.
+    """
+    one = lambda v: F.count_if(F.col("status") == v)
+    n = rows.groupBy("key").agg(F.count("*").alias("n_rows"))
+    why = issues.groupBy("key").agg(F.max(F.when(F.col("kind") == "refused", F.col("detail"))).alias("refused"), F.count("*").alias("issues"))
+    checks = results.groupBy("key").agg(one("PASS").alias("passed"), one("ROUNDING").alias("rounding"), one("FAIL").alias("failed"), one("UNCHECKED").alias("unchecked"))
+    out = tables.select("key").join(n, "key", "left").join(why, "key", "left").join(checks, "key", "left")
+    loaded = lambda c: F.when(F.col("refused").isNull(), F.coalesce(c, F.lit(0))).otherwise(0).alias(c)
+    return out.select("key", "refused", F.coalesce("issues", F.lit(0)).alias("issues"), *[loaded(c) for c in ("n_rows", "passed", "rounding", "failed", "unchecked")])
+
+
 def content_sum(df: DataFrame, key: list[str]) -> tuple[int, int]:
     """Rows and an order-free checksum of a table: equal for equal contents, however they are written."""
     every = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in [*key, *[x for x in df.columns if x not in key]]])

@@ -312,7 +312,21 @@ def csv_lines(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", sinks.csv_line(c, F.concat(F.lit("https://x/a.pdf#page="), C("c_custkey").cast("string"))).alias("line"))
 
 
+def load_report(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as tables, orders as rows, some of them with issues, and the result of a check each."""
+    o = table(spark, d, "orders").select(C("o_custkey").alias("key"), "o_orderkey")
+    issues = o.filter("o_orderkey % 5 = 0").select("key", F.when(C("key") % 4 == 0, "refused").otherwise("unread").alias("kind"), F.lit("no grid").alias("detail"))
+    status = F.element_at(F.array(*map(F.lit, ("PASS", "ROUNDING", "FAIL", "UNCHECKED"))), (C("o_orderkey") % 4 + 1).cast("int"))
+    return publish.load_report(table(spark, d, "customer").select(C("c_custkey").alias("key")), o, issues, o.select("key", status.alias("status")))
+
+
+REPORT_SQL = """WITH g AS (SELECT o_custkey AS key, count(*) AS n, count(*) FILTER (o_orderkey % 5 = 0) AS i, count(*) FILTER (o_orderkey % 4 = 0) AS p, count(*) FILTER (o_orderkey % 4 = 1) AS r, count(*) FILTER (o_orderkey % 4 = 2) AS f, count(*) FILTER (o_orderkey % 4 = 3) AS u FROM orders GROUP BY 1),
+t AS (SELECT c_custkey AS key, coalesce(i, 0) AS i, NOT (c_custkey % 4 = 0 AND coalesce(i, 0) > 0) AS ok, n, p, r, f, u FROM customer LEFT JOIN g ON key = c_custkey)
+SELECT key, CASE WHEN NOT ok THEN 'no grid' END AS refused, i AS issues, CASE WHEN ok THEN coalesce(n, 0) ELSE 0 END AS n_rows, CASE WHEN ok THEN coalesce(p, 0) ELSE 0 END AS passed, CASE WHEN ok THEN coalesce(r, 0) ELSE 0 END AS rounding, CASE WHEN ok THEN coalesce(f, 0) ELSE 0 END AS failed, CASE WHEN ok THEN coalesce(u, 0) ELSE 0 END AS unchecked FROM t"""
+
+
 QUERIES = {
+    "load_report": (load_report, REPORT_SQL),
     "csv_lines": (csv_lines, "SELECT c_custkey, c_custkey || ',' || CASE c_custkey % 3 WHEN 0 THEN '\"say \"\"' || c_name || '\"\"\"' WHEN 1 THEN '\"' || c_name || ', Roma\"' ELSE '' END || ',https://x/a.pdf#page=' || c_custkey AS line FROM customer"),
     "report_files": (report_files, told({"year": [f[1] for f in FILES], "volume": [f[2] for f in FILES], "job": [f[1] is not None and f[1] >= 2016 for f in FILES]})),
     "volume_order": (volume_order, "SELECT c_name AS path, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_custkey % 4 > 0 THEN c_custkey * 7 % 5 ELSE 0 END, c_name) AS place FROM customer"),
