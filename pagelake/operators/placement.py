@@ -155,16 +155,17 @@ def clusters(detections: DataFrame, key: list[str], listings: DataFrame, bookmar
     listings: volume, page, codes (array). bookmarks: volume, code, page.
     """
     by = ["volume", *key]
-    r = runs(detections, by, "page")
-    was = F.lag("last").over(W.partitionBy(*by).orderBy("first"))
+    r = runs(detections, by, "page").withColumn("_was", F.lag("last").over(W.partitionBy(*by).orderBy("first")))
     lists = listings.groupBy("volume").agg(F.array_sort(F.collect_list(F.struct("page", "codes"))).alias("_lists"))  # a dozen pages a volume
-    r = r.join(lists, "volume", "left").withColumn("_was", was)
-    between = F.exists(F.coalesce("_lists", F.array()), lambda x: (x["page"] > F.col("_was")) & (x["page"] < F.col("first")))
+    at = r.join(lists.select("volume", F.col("_lists.page").alias("_at")), "volume", "left")  # gone again before rows are sorted
+    between = F.exists(F.coalesce("_at", F.array()), lambda p: (p > F.col("_was")) & (p < F.col("first")))
     cut = F.when((F.col("first") - F.col("_was") > GAP) | F.coalesce(between, F.lit(False)), 1).otherwise(0)
-    c = r.withColumn("_cut", cut).withColumn("cluster", F.sum("_cut").over(W.partitionBy(*by).orderBy("first")))
-    promised = F.array_max(F.transform(F.filter(F.coalesce("_lists", F.array()), lambda x: F.exists(x["codes"], lambda k: same_table(F.col("code"), k))), lambda x: x["page"]))
-    c = c.withColumn("_promised", promised).join(bookmarks.select("volume", "code", F.col("page").alias("_mark")), ["volume", "code"], "left")
-    g = c.groupBy(*by, "cluster").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("pages"), F.max("_promised").alias("_p"), F.max(F.col("_mark").between(F.col("first"), F.col("last"))).alias("_m"))
+    c = at.withColumn("_cut", cut).drop("_at", "_was").withColumn("cluster", F.sum("_cut").over(W.partitionBy(*by).orderBy("first")))
+    c = c.join(bookmarks.select("volume", "code", F.col("page").alias("_mark")), ["volume", "code"], "left")
+    promised = F.array_max(F.transform(F.filter("_lists", lambda x: F.exists(x["codes"], lambda k: same_table(F.col("code"), k))), lambda x: x["page"]))
+    codes = detections.select("volume", "code").distinct().join(lists, "volume").select("volume", "code", promised.alias("_p"))
+    g = c.groupBy(*by, "cluster").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("pages"), F.max(F.col("_mark").between(F.col("first"), F.col("last"))).alias("_m"))
+    g = g.join(codes, ["volume", "code"], "left").select(*by, "cluster", "first", "last", "pages", "_p", "_m")
     order = [F.desc(F.coalesce(F.col("last") > F.col("_p"), F.lit(False))), F.desc(F.coalesce("_m", F.lit(False))), F.desc("pages"), "first"]
     return g.withColumn("kept", F.row_number().over(W.partitionBy(*by).orderBy(*order)) == 1).drop("_p", "_m")
 
