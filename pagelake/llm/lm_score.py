@@ -138,7 +138,7 @@ def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
     table = np.zeros((many + 1, v), np.float32)
     np.add.at(table, (np.minimum(first[got["a"].to_numpy()], many), first[got["b"].to_numpy()]), got["n"].to_numpy())
     table[many] = 0  # the others' row: shares alone
-    clusters = 1 << round(math.log2(math.sqrt(v)))
+    clusters = max(1, 1 << round(math.log2(math.sqrt(v))) >> 1)  # about as many as there are ids in the cluster of a usual id
     some = min(FEATURES, many, v)
     company = np.zeros((v, 2 * some), np.float32)
     company[:, :some] = np.sqrt(table[:some].T / weight[:, None])
@@ -269,18 +269,16 @@ def scores(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
                 lm += (np.add.reduceat(got, np.cumsum(lengths) - lengths) / math.log(10)).tolist()
                 at = end
             for raw in raws:
-                bag = Counter(raw.lower().split())
-                total_log, sure = log(ends + ALPHA), int(ends > 0)
-                for w, n in bag.items():
-                    if (x := worth.get(w)) is not None:
-                        total_log += n * x
-                        sure += n
-                    else:
-                        keys.append(w)
-                        times.append(n)
-                n_tokens.append(bag.total() + 1)
-                n_known.append(sure)
-                first.append(total_log)
+                words = raw.lower().split()
+                found = [*map(worth.get, words)]
+                if None in found:
+                    bag = Counter([w for w, x in zip(words, found, strict=True) if x is None])
+                    keys += bag.keys()
+                    times += bag.values()
+                    found = [x for x in found if x is not None]
+                n_tokens.append(len(words) + 1)
+                n_known.append(len(found) + int(ends > 0))
+                first.append(sum(found, log(ends + ALPHA)))
                 cuts.append(len(keys))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             rare = lists(cuts, key=pa.array(keys, pa.binary()), n=pa.array(times, pa.int64()))

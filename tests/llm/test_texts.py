@@ -557,6 +557,35 @@ def test_model_has_its_sizes():
     assert all(np.flatnonzero(x)[0] >= 8 for x in w.counts[1:])
 
 
+def test_clusters_of_frequent_ids_are_small():
+    """The cost of a softmax within clusters, ids being as frequent as words are and the frequent ones alike in company."""
+    weight = 1 / np.arange(1, 4_001)
+    company = np.random.default_rng(0).random((4_000, 8))
+    company[:, 0] += 10 * np.sqrt(weight)
+    groups = attention.bisect(company, weight, 32)
+    assert sorted(np.concatenate(groups).tolist()) == list(range(4_000)) and all(map(len, groups))
+    assert sum(len(g) * weight[g].sum() for g in groups) / weight.sum() < 80  # 125 by clusters of equal size
+    assert [len(g) for g in attention.bisect(np.ones((3, 2)), np.ones(3), 4) if len(g)] == [1, 1, 1]
+
+
+def test_outputs_far_beyond_what_occurs():
+    """Logits are cut off at the highest; below it, nothing changes: the same as by plain softmaxes, place by place."""
+    rng = np.random.default_rng(4)
+    base, _ = _base()
+    for scale in (1, 10):
+        p = attention.fresh(9, 2)
+        p["top"], p["inner"] = ((scale * rng.standard_normal(p[k].shape)).astype(np.float32) for k in ("top", "inner"))
+        g, seen, target = rng.standard_normal((40, attention.WIDTH)).astype(np.float32), rng.integers(0, 9, 40), rng.integers(0, 9, 40)
+        told = attention.outputs(p, base, g, seen, target, False)[0]
+        for i, (x, s, t) in enumerate(zip(g.astype(float), seen, target, strict=True)):
+            k = int(t >= 4)
+            want = 0
+            for logits, at in ((x @ p["top"] + base.clusters[s], k), ((x @ p["inner"] + base.inner[s])[base.edges[k] : base.edges[k + 1]], t - base.edges[k])):
+                e = np.exp(np.minimum(logits, attention.HIGHEST))
+                want += np.log(e[at] + attention.TINY) - np.log(e.sum())
+            assert abs(told[i] - want) < 1e-3 * max(1, abs(want))
+
+
 def test_every_id_of_all_rows_is_told_apart(spark):
     rows = spark.createDataFrame([(b"x", np.array([1, 1, 2] if k < 9_000 else [7, 8, 9] * 9, "<u2").tobytes()) for k in range(9_100)], "raw binary, ids binary")
     vocab = lm_score.vocabulary(lm_score.corpus_counts(rows), 100)
