@@ -101,9 +101,10 @@ def widths() -> list[int]:
     return sorted({min(SHINGLE, len(w)) for _, _, w in all_templates()})
 
 
-def known_shingles(width: int) -> list[int]:
-    """Hashes, as Spark makes them, of all notices' shingles of a width: a fixed, small list."""
-    text = [" ".join(w[i : i + width]) for _, _, w in all_templates() if min(SHINGLE, len(w)) == width for i in range(len(w) - width + 1)]
+def known_shingles(width: int, words: int | None = None) -> list[int]:
+    """Hashes, as Spark makes them, of all notices' shingles of a width, or of those of so many words: a fixed, small list."""
+    some = [w for _, _, w in all_templates() if min(SHINGLE, len(w)) == width and words in (None, len(w))]
+    text = [" ".join(w[i : i + width]) for w in some for i in range(len(w) - width + 1)]
     return sorted({(xxhash.xxh64_intdigest(t.encode(), seed=42) ^ (1 << 63)) - (1 << 63) for t in text})
 
 
@@ -132,14 +133,15 @@ def _segments(h: Column, width: int) -> Column:
 
 
 def _windows(first: Column, base: Column, h: Column, lengths: list[int], width: int) -> Column:
-    """Windows for notices of these lengths that start in a stretch, around the shingles that some notice has: array of
-    start, n_words, bands, around (the shingles of the window and as many words before and after it).
+    """Windows for notices of these lengths that start in a stretch, around the shingles that some notice of that length
+    has: array of start, n_words, bands, around (the shingles of the window and as many words before and after it).
 
-    Starts lie on a grid of a tenth of the length. All is cut from h here, so that no row carries the text further on.
+    A window without such a shingle shares no minimum with a notice of its length, so no band either. Starts lie on a grid of a tenth of the length. All is cut from h here, so that no row carries the text further on.
     """
-    spots = F.filter(F.transform(h, lambda x, i: F.when(x.isin(known_shingles(width)), base + i)), lambda i: i.isNotNull())
 
     def of(n: int) -> Column:
+        known = known_shingles(width, n)
+        spots = F.filter(F.transform(h, lambda x, i: F.when(x.isin(known), base + i)), lambda i: i.isNotNull())
         step = max(1, n // 10)
         near = lambda i: F.sequence(F.floor(F.greatest(i - (n - width), F.lit(0)) / step).cast("int"), F.floor(i / step).cast("int"))
         starts = F.transform(F.array_distinct(F.flatten(F.transform(spots, near))), lambda k: k * step)

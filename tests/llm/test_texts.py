@@ -453,6 +453,18 @@ def test_very_many_cue_words_and_notices(spark):
     assert got == {(2, "mit", 1.0), (None, "mit", 1.0)} and time.time() - t < 60
 
 
+def test_windows_only_for_notices_that_share_a_shingle(spark):
+    """No window is hashed for a length of which no notice has a shingle of the text; those of the others all are."""
+    line = license_scan.words_of("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.")
+    lengths = sorted({len(w) for _, _, w in license_scan.all_templates() if len(w) >= license_scan.SHINGLE})
+    shingles = lambda w: {tuple(w[k : k + license_scan.SHINGLE]) for k in range(len(w) - license_scan.SHINGLE + 1)}
+    want = {len(w) for _, _, w in license_scan.all_templates() if len(w) >= license_scan.SHINGLE and shingles(w) & shingles(line * 3)}
+    df = spark.createDataFrame([(line * 3,)], "words array<string>").select(license_scan._hashes(F.col("words"), license_scan.SHINGLE).alias("h"))
+    got = df.select(F.explode(license_scan._windows(F.lit(0), F.lit(0), F.col("h"), lengths, license_scan.SHINGLE)).alias("w")).select("w.n_words", "w.start").collect()
+    assert {r["n_words"] for r in got} == want and 0 < len(want) < len(lengths)
+    assert {r["start"] for r in got if r["n_words"] == 20} == set(range(0, 3 * len(line) - license_scan.SHINGLE + 1, 2))
+
+
 def test_every_notice_has_cues():
     for _, name, w in license_scan.templates():
         sh = [w[k : k + 5] for k in range(len(w) - 4)]
