@@ -212,11 +212,16 @@ def table_foot(lines: Column, grid: Column) -> Column:
 
 
 def cut_words(words: DataFrame, bands: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(words of each band: page, number, word columns; words that no band has). words: page, v0, v1. A page's bands, a few,
-    travel as an array.
+    """(words of each band: page, number, word columns; words that no band has). words: page, v0, v1.
+
+    Of the bands that begin at or above a word, the one that reaches furthest has it if any has: one sort of a page's bands
+    and words.
     """
-    b = bands.groupBy("page").agg(F.collect_list(F.struct("lo", "hi", "number")).alias("_b"))
-    w = words.join(b, "page", "left").withColumn("number", F.try_element_at(F.transform(F.filter(F.coalesce("_b", F.array()), lambda x: (F.col("v0") >= x["lo"]) & (F.col("v1") <= x["hi"])), lambda x: x["number"]), F.lit(1))).drop("_b")
+    b = bands.filter("page IS NOT NULL AND number IS NOT NULL").select("page", F.col("lo").alias("_at"), F.lit(0).alias("_side"), F.struct("hi", "number").alias("_b"))
+    w = words.select("page", F.col("v0").alias("_at"), F.lit(1).alias("_side"), F.struct(*[c for c in words.columns if c != "page"]).alias("_w"))
+    reach = F.max("_b").over(W.partitionBy("page").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0))
+    w = b.unionByName(w, allowMissingColumns=True).withColumn("_r", reach).filter("_side = 1")
+    w = w.select("page", "_w.*", F.when(F.col("_w.v1") <= F.col("_r.hi"), F.col("_r.number")).alias("number")).select(*words.columns, "number")
     return w.filter("number IS NOT NULL"), w.filter("number IS NULL").drop("number")
 
 
