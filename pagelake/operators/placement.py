@@ -16,6 +16,7 @@ from pagelake.functions.pages import is_table_cover, names_table, rel_article, s
 from pagelake.functions.text import cited_article, squeezed
 from pagelake.operators.ordered import end_before_next, fill_where_agreed, runs
 from pagelake.operators.sets import first_in_group
+from pagelake.sources.tables import spread
 
 # ---------------------------------------------------------------- the printed index
 
@@ -312,17 +313,21 @@ def continued(spans: DataFrame, pages: DataFrame) -> DataFrame:
 
     It reaches the last numbered page; the next volume's numbers go on from there before its first table; the pages at
     its end and those there have the same running header. TAIL pages beyond the last such page belong to it still.
-    spans: volume (1, 2, ...), code, start, end. pages: volume, page, numbers (array), header.
+    spans: volume (1, 2, ...), code, start, end. pages: volume, page, numbers (array), header. Both are dealt by volume, and
+    joined by sorting: what the planner takes for their size says nothing about rows that were exploded.
     """
+    spans, pages = spread(spans, "volume"), spread(pages, "volume")
+    join = lambda a, b: a.join(b.hint("merge"), "volume")
     w = W.partitionBy("volume")
     numbered = pages.filter(F.size("numbers") > 0)
     last = numbered.groupBy("volume").agg(F.max("page").alias("last"), F.max_by("numbers", "page").alias("at_end"))
-    tail = spans.withColumn("_r", F.row_number().over(w.orderBy(F.desc("start"), "code"))).filter("_r = 1").join(last, "volume").filter(F.col("end") >= F.col("last"))
-    heads = tail.select("volume", "start", "end").join(pages, "volume").filter((F.col("page") >= F.greatest("start", F.col("end") - 7)) & (F.col("page") <= F.col("end")) & (F.col("header") != ""))
+    tail = spans.withColumn("_r", F.row_number().over(w.orderBy(F.desc("start"), "code"))).filter("_r = 1")
+    tail = join(tail, last).filter(F.col("end") >= F.col("last"))
+    heads = join(tail.select("volume", "start", "end"), pages).filter((F.col("page") >= F.greatest("start", F.col("end") - 7)) & (F.col("page") <= F.col("end")) & (F.col("header") != ""))
     usual = first_in_group(heads.groupBy("volume", "header").agg(F.count("*").alias("n"), F.min("page").alias("f")), ["volume"], [F.desc("n"), "f"]).select("volume", F.col("header").alias("expected"))
-    tail = tail.join(usual, "volume").select((F.col("volume") + 1).alias("volume"), F.col("volume").alias("from_volume"), "code", "at_end", "expected")
+    tail = join(tail, usual).select((F.col("volume") + 1).alias("volume"), F.col("volume").alias("from_volume"), "code", "at_end", "expected")
     nxt = spans.groupBy("volume").agg(F.min("start").alias("_next"))
-    p = numbered.join(nxt, "volume").join(tail, "volume")
+    p = join(join(numbered, nxt), tail)
     p = p.withColumn("_first", F.min("page").over(w)).filter(F.col("page") < F.col("_next"))
     o = w.orderBy("page")
     was = F.when(F.col("page") == F.col("_first"), F.col("at_end")).otherwise(F.lag("numbers").over(o))

@@ -1,6 +1,6 @@
 """Steps whose cost must grow with their input and no faster: what each plan may not hold, and results at the odd places."""
 
-from pagelake.operators import publish
+from pagelake.operators import placement, publish
 
 
 def rows(df, *cols):
@@ -18,3 +18,11 @@ def test_words_find_their_band_in_one_sort(spark):
     assert rows(inner, "number", "text") == [("1", "a"), ("2", "c"), ("4", "f")] and inner.columns == ["page", "v0", "v1", "text", "number"]
     assert rows(outer, "text") == [("b",), ("d",), ("e",), ("g",), ("h",), ("i",)] and outer.columns == words.columns
     assert "collect_list" not in plan(inner)  # a page's bands in every word's row: quadratic
+
+
+def test_volumes_that_go_on_are_joined_by_sorting(spark):
+    spans = spark.createDataFrame([(1, "F", 4, 10), (2, "G", 11, 12)], "volume int, code string, start int, end int")
+    pages = spark.createDataFrame([(1, k, [k + 90], "h") for k in range(1, 11)] + [(2, k, [k + 98] if k > 2 else [], "h" if k < 6 else "x") for k in range(1, 13)], "volume int, page int, numbers array<int>, header string")
+    out = placement.continued(spans, pages)
+    assert rows(out, "volume", "code", "from_volume", "start", "end") == [(2, "F", 1, 3, 7)]
+    assert "BroadcastHashJoin" not in plan(out)  # exploded pages look small to the planner and ended on the driver
