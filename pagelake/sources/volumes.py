@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.pages import CODE, parse_stem
 from pagelake.operators.sets import first_in_group
-from pagelake.sources.tables import MANIFEST, Refused, path_year, volume_ordinal
+from pagelake.sources.tables import MANIFEST, Refused, path_year, spread, volume_ordinal
 
 #: The first edition that is read, and where on a page, and how large, the export's stamp stands.
 FIRST_YEAR, STAMP_SIZE, STAMP_BAND = 2016, (8.5, 10.0), (0.30, 0.52)
@@ -177,9 +177,19 @@ def bookmark_codes(outline: DataFrame) -> DataFrame:
 
 
 def bookmarks_in(outline: DataFrame, spans: DataFrame) -> DataFrame:
-    """volume, key, titles: outline entries inside each table's pages, in their order. Joined by page."""
-    pages = spans.select("volume", "key", F.explode(F.sequence("start", "end")).alias("page"))
-    return outline.join(pages, ["volume", "page"]).groupBy("volume", "key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda x: x["title"]), " | ").alias("titles"))
+    """volume, key, titles: outline entries inside each table's pages, in their order. Joined by page.
+
+    Tables of the same pages have the same entries, which are collected once for all of them; an entry that several spans
+    of a table have is counted until the text is written out, a row at a time. What is written still grows with tables times
+    entries.
+    """
+    own = spans.groupBy("volume", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    pages = own.select("volume", "_spans").distinct().select("volume", "_spans", F.explode("_spans").alias("s"))
+    pages = pages.select("volume", "_spans", F.explode(F.sequence("s.start", "s.end")).alias("page")).groupBy("volume", "_spans", "page").agg(F.count("*").cast("int").alias("n"))
+    found = outline.join(pages, ["volume", "page"]).groupBy("volume", "_spans").agg(F.array_sort(F.collect_list(F.struct("ord", "title", "n"))).alias("_t"))
+    titles = F.array_join(F.flatten(F.transform("_t", lambda x: F.array_repeat(x["title"], x["n"]))), " | ")
+    by = ["volume", "_spans"]
+    return spread(own, *by).join(spread(found, *by).hint("merge"), by).select("volume", "key", titles.alias("titles"))
 
 
 def verifier_manifest(spark: SparkSession, path: str) -> DataFrame:

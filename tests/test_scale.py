@@ -1,6 +1,7 @@
 """Steps whose cost must grow with their input and no faster: what each plan may not hold, and results at the odd places."""
 
 from pagelake.operators import placement, publish
+from pagelake.sources import volumes
 
 
 def rows(df, *cols):
@@ -26,3 +27,12 @@ def test_volumes_that_go_on_are_joined_by_sorting(spark):
     out = placement.continued(spans, pages)
     assert rows(out, "volume", "code", "from_volume", "start", "end") == [(2, "F", 1, 3, 7)]
     assert "BroadcastHashJoin" not in plan(out)  # exploded pages look small to the planner and ended on the driver
+
+
+def test_titles_of_equal_spans_are_collected_once(spark):
+    outline = spark.createDataFrame([(1, 1, "a", 3), (1, 3, "c", 3), (1, 2, "b", 4), (1, 9, "z", 9), (2, 1, "x", 3)], "volume int, ord int, title string, page int")
+    spans = spark.createDataFrame([(1, "k", 3, 4), (1, "m", 3, 4), (1, "n", 3, 3), (1, "n", 3, 4), (1, "o", 5, 6), (2, "k", 1, 3)], "volume int, key string, start int, end int")
+    out = volumes.bookmarks_in(outline, spans)
+    assert rows(out) == [(1, "k", "a | b | c"), (1, "m", "a | b | c"), (1, "n", "a | a | b | c | c"), (2, "k", "x")]
+    joined = plan(out).split("SortMergeJoin", 1)[1].split("\n", 1)[0]
+    assert "_spans" in joined  # the texts are joined to tables; collected for every table they made a row a table and entry
