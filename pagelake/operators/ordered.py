@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagelake.sources.tables import spread
+
 
 def upto(by: list[str], order: list) -> "W":
     return W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
@@ -45,10 +47,11 @@ def running_unit(opens: Column, by: list[str], order: list) -> Column:
 
 
 def runs(df: DataFrame, by: list[str], number: str) -> DataFrame:
-    """Consecutive whole numbers as ranges: by, first, last, n."""
-    d = df.select(*by, F.col(number).cast("bigint").alias("_n")).distinct()
-    island = F.col("_n") - F.row_number().over(W.partitionBy(*by).orderBy("_n"))
-    return d.withColumn("_i", island).groupBy(*by, "_i").agg(F.min("_n").alias("first"), F.max("_n").alias("last"), F.count("*").alias("n")).drop("_i")
+    """Consecutive whole numbers as ranges: by, first, last, n. Repeated numbers count once; groups are dealt to tasks once."""
+    d = spread(df.select(*by, F.col(number).cast("bigint").alias("_n")), *by)
+    island = F.col("_n") - F.dense_rank().over(W.partitionBy(*by).orderBy("_n"))
+    r = d.withColumn("_i", island).groupBy(*by, "_i").agg(F.min("_n").alias("first"), F.max("_n").alias("last"))
+    return r.select(*by, "first", "last", F.coalesce(F.col("last") - F.col("first") + 1, F.lit(1)).alias("n"))
 
 
 def end_before_next(start: Column, by: list[str], order: list, last: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pagelake.functions.numbers import money
 from pagelake.operators import detect, geometry
 from pagelake.operators import ordered as o
-from pagelake.sources.tables import table
+from pagelake.sources.tables import spread, table
 
 BY, ORDER = ["user_id"], ["ts", "event_id"]
 OVER = "(PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -111,7 +111,7 @@ def repeated_key_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cluster_positions(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice").distinct()
+    x = spread(table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice"), "l_suppkey").distinct()
     c = o.cluster_near(x, ["l_suppkey"], "l_extendedprice", 50.0)
     return c.groupBy("l_suppkey", "cluster").agg(F.count("*").alias("n"), F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"))
 

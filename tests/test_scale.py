@@ -1,11 +1,14 @@
 """Steps whose cost must grow with their input and no faster: what each plan may not hold, and results at the odd places."""
 
 import duckdb
+from pyspark.sql import functions as F
 
-from pagelake.operators import placement, publish
-from pagelake.plans import volume_queries
+from pagelake.operators import ordered, placement, publish
+from pagelake.plans import order_queries, page_queries, row_queries, scan_queries, volume_queries
 from pagelake.sources import volumes
 
+D = "/root/testdata/sf0.001"
+
 
 def rows(df, *cols):
     return sorted((tuple(r[c] for c in (cols or df.columns)) for r in df.collect()), key=str)
@@ -50,3 +53,13 @@ def test_customers_of_six_digits_keep_apart(spark, tmp_path):
     for t in ("customer", "orders"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     assert rows(f(spark, str(tmp_path)), "name", "printed", "computed", "status") == sorted(duck.execute(sql).fetchall(), key=str)
+
+
+def test_groups_of_runs_are_dealt_to_tasks_once(spark):
+    x = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 4), ("b", None), ("b", None), ("b", 7), (None, 1), (None, 2)], "g string, n int")
+    out = ordered.runs(x, ["g"], "n")
+    assert rows(out) == sorted([("a", 1, 2, 2), ("a", 4, 4, 1), ("b", None, None, 1), ("b", 7, 7, 1), (None, 1, 2, 2)], key=str)
+    assert plan(out).count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan(out)  # others are put together to 64 MB of compressed blocks
+    for name in ("id_runs", "wide_gap_clusters", "two_page_runs", "cluster_positions"):
+        p = plan(order_queries.QUERIES[name][0](spark, D))
+        assert p.count("Exchange") == 1 and "REPARTITION_BY_NUM" in p, name
