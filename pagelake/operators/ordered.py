@@ -6,6 +6,8 @@ group. Nothing relies on the order in which rows come.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,6 +48,24 @@ def running_unit(opens: Column, by: list[str], order: list) -> Column:
     return F.count(F.when(opens, 1)).over(upto(by, order))
 
 
+#: Whole numbers in a block of rows that one task counts.
+BLOCK = 1 << 16
+
+
+def unit_in_blocks(df: DataFrame, opens: Column, by: list[str], order: str, name: str) -> DataFrame:
+    """df with the number of each row's unit, as `running_unit` gives it, where a group may be a whole table.
+
+    Rows are counted in blocks of their whole number `order`, side by side; only the blocks' sums, one row a block, are
+    counted up in one place.
+    """
+    d = df.withColumns({"_block": F.floor(F.col(order) / BLOCK), "_opens": F.coalesce(opens, F.lit(False))})
+    sums = d.groupBy(*by, "_block").agg(F.count_if("_opens").alias("_n"))
+    sums = sums.select(*by, "_block", F.coalesce(F.sum("_n").over(before(by, ["_block"])), F.lit(0)).alias("_before"))
+    own = spread(d, *by, "_block").withColumn("_own", F.count_if("_opens").over(upto([*by, "_block"], [order])))
+    null_safe = reduce(lambda p, q: p & q, [F.col(f"o.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, "_block"]])
+    return own.alias("o").join(sums.alias("s"), null_safe).select(*[F.col(f"o.{c}") for c in df.columns], (F.col("_before") + F.col("_own")).alias(name))
+
+
 def runs(df: DataFrame, by: list[str], number: str) -> DataFrame:
     """Consecutive whole numbers as ranges: by, first, last, n. Repeated numbers count once; groups are dealt to tasks once."""
     d = spread(df.select(*by, F.col(number).cast("bigint").alias("_n")), *by)

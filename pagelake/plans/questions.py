@@ -38,11 +38,9 @@ def _largest(df: DataFrame, value: str, tie: str, n: int = LARGEST) -> DataFrame
 
 
 def _by_unit(df: DataFrame, value: str) -> DataFrame:
-    """A table that prints an authorisation, and `value` with it, on its first row: both on every row. An edition's rows, a
-    few thousand, are one ordered table.
-    """
+    """A table that prints an authorisation, and `value` with it, on its first row: both on every row."""
     by, order = ["year"], ["row_ord"]
-    out = df.withColumn("unit", ordered.running_unit(C("numero_autorizzazione").isNotNull(), by, order))
+    out = ordered.unit_in_blocks(df, C("numero_autorizzazione").isNotNull(), by, "row_ord", "unit")
     return out.withColumn(value, ordered.carry(C(value), [*by, "unit"], order))
 
 

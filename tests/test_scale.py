@@ -63,3 +63,11 @@ def test_groups_of_runs_are_dealt_to_tasks_once(spark):
     for name in ("id_runs", "wide_gap_clusters", "two_page_runs", "cluster_positions"):
         p = plan(order_queries.QUERIES[name][0](spark, D))
         assert p.count("Exchange") == 1 and "REPARTITION_BY_NUM" in p, name
+
+
+def test_units_are_counted_in_blocks(spark):
+    n = ordered.BLOCK
+    at = [-n - 1, -1, 0, 1, n - 1, n, n + 5, 5 * n, 5 * n + 1]
+    x = spark.createDataFrame([(y, k, k % 2 == 0) for y in (1, 2, None) for k in at] + [(3, None, True), (3, 4, None)], "y int, k long, o boolean")
+    got = rows(ordered.unit_in_blocks(x, F.col("o"), ["y"], "k", "u"))
+    assert got == rows(x.withColumn("u", ordered.running_unit(F.col("o"), ["y"], ["k"])))
