@@ -9,18 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.sources.tables import table
+from pagelake.sources.tables import spread, table
 
 
 def dealt(spark: SparkSession, d: str, cases: dict[str, list], source: str = "part", key: str = "p_partkey") -> DataFrame:
-    """Every row of a table: its key, its kind (key modulo the number of cases) and the case's columns."""
+    """Every row of a table: its key, its kind (key modulo the number of cases) and the case's columns. Rows are dealt to
+    many tasks first, as a table of a few megabytes would be read, and every case worked out, by one.
+    """
     n = len(next(iter(cases.values())))
     kind = (F.col(key) % n).cast("int")
     cols = []
     for name, values in cases.items():
         made = [F.array(*map(F.lit, v)) if isinstance(v, list) and v else F.array().cast("array<string>") if isinstance(v, list) else F.lit(v) for v in values]
         cols.append(F.element_at(F.array(*made), kind + 1).alias(name))
-    return table(spark, d, source).select(key, kind.alias("kind"), *cols)
+    return spread(table(spark, d, source).select(key), key).select(key, kind.alias("kind"), *cols)
 
 
 def literal(v: object) -> str:

@@ -71,3 +71,8 @@ def test_units_are_counted_in_blocks(spark):
     x = spark.createDataFrame([(y, k, k % 2 == 0) for y in (1, 2, None) for k in at] + [(3, None, True), (3, 4, None)], "y int, k long, o boolean")
     got = rows(ordered.unit_in_blocks(x, F.col("o"), ["y"], "k", "u"))
     assert got == rows(x.withColumn("u", ordered.running_unit(F.col("o"), ["y"], ["k"])))
+
+
+def test_made_pages_are_dealt_to_many_tasks(spark):
+    for f in (row_queries.band_kinds, page_queries.page_listing, scan_queries.unruled_headers):
+        assert "REPARTITION_BY_NUM" in plan(f(spark, D)), f.__name__  # a few megabytes are read by one task
