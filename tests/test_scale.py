@@ -76,3 +76,8 @@ def test_units_are_counted_in_blocks(spark):
 def test_made_pages_are_dealt_to_many_tasks(spark):
     for f in (row_queries.band_kinds, page_queries.page_listing, scan_queries.unruled_headers):
         assert "REPARTITION_BY_NUM" in plan(f(spark, D)), f.__name__  # a few megabytes are read by one task
+
+
+def test_volumes_of_made_pages_are_dealt_to_many_tasks(spark):
+    for f in (scan_queries.body_starts, scan_queries.volume_families):
+        assert "REPARTITION_BY_NUM" in plan(f(spark, D)), f.__name__
