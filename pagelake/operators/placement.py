@@ -34,6 +34,8 @@ OWNERS = ["MAE", "MEF", "DOG", "DIFESA"]
 INDEX_WITHIN, LEAST_BLOCKS, LEAST_FOLIOS = 40, 3, 0.5
 #: Pages between two runs of a key from which they are two prints; pages that a weak kind must hold on.
 GAP, LEAST_RUN = 40, 2
+#: Pages in a block by which lists are joined to runs; GAP at least.
+BLOCK = 64
 #: Trailing pages that a stamp may take away, and pages kept beyond the last match when a table goes on in the next volume.
 TRAILING, TAIL = 25, 2
 
@@ -157,14 +159,18 @@ def clusters(detections: DataFrame, key: list[str], listings: DataFrame, bookmar
     """
     by = ["volume", *key]
     r = runs(detections, by, "page").withColumn("_was", F.lag("last").over(W.partitionBy(*by).orderBy("first")))
-    lists = listings.groupBy("volume").agg(F.array_sort(F.collect_list(F.struct("page", "codes"))).alias("_lists"))  # a dozen pages a volume
-    at = r.join(lists.select("volume", F.col("_lists.page").alias("_at")), "volume", "left")  # gone again before rows are sorted
+    # a run no more than GAP behind the one before meets only lists of its own block of pages and of the block before
+    block = lambda p: F.floor(p / BLOCK)
+    lists = listings.select("volume", "page", F.explode(F.array(block(F.col("page")), block(F.col("page")) + 1)).alias("_block"))
+    lists = lists.groupBy("volume", "_block").agg(F.collect_set("page").alias("_at"))
+    near = (F.col("first") - F.col("_was") > 1) & (F.col("first") - F.col("_was") <= GAP)
+    at = r.withColumn("_block", F.when(near, block(F.col("first")))).join(lists, ["volume", "_block"], "left")
     between = F.exists(F.coalesce("_at", F.array()), lambda p: (p > F.col("_was")) & (p < F.col("first")))
     cut = F.when((F.col("first") - F.col("_was") > GAP) | F.coalesce(between, F.lit(False)), 1).otherwise(0)
-    c = at.withColumn("_cut", cut).drop("_at", "_was").withColumn("cluster", F.sum("_cut").over(W.partitionBy(*by).orderBy("first")))
+    c = at.withColumn("_cut", cut).drop("_at", "_was", "_block").withColumn("cluster", F.sum("_cut").over(W.partitionBy(*by).orderBy("first")))
     c = c.join(bookmarks.select("volume", "code", F.col("page").alias("_mark")), ["volume", "code"], "left")
-    promised = F.array_max(F.transform(F.filter("_lists", lambda x: F.exists(x["codes"], lambda k: same_table(F.col("code"), k))), lambda x: x["page"]))
-    codes = detections.select("volume", "code").distinct().join(lists, "volume").select("volume", "code", promised.alias("_p"))
+    last = listings.select("volume", "page", F.explode("codes").alias("_k")).groupBy("volume", "_k").agg(F.max("page").alias("_l"))
+    codes = detections.select("volume", "code").distinct().join(last, "volume").filter(same_table(F.col("code"), F.col("_k"))).groupBy("volume", "code").agg(F.max("_l").alias("_p"))
     g = c.groupBy(*by, "cluster").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("pages"), F.max(F.col("_mark").between(F.col("first"), F.col("last"))).alias("_m"))
     g = g.join(codes, ["volume", "code"], "left").select(*by, "cluster", "first", "last", "pages", "_p", "_m")
     order = [F.desc(F.coalesce(F.col("last") > F.col("_p"), F.lit(False))), F.desc(F.coalesce("_m", F.lit(False))), F.desc("pages"), "first"]

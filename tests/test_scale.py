@@ -15,7 +15,7 @@ def rows(df, *cols):
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def test_words_find_their_band_in_one_sort(spark):
@@ -81,3 +81,16 @@ def test_made_pages_are_dealt_to_many_tasks(spark):
 def test_volumes_of_made_pages_are_dealt_to_many_tasks(spark):
     for f in (scan_queries.body_starts, scan_queries.volume_families):
         assert "REPARTITION_BY_NUM" in plan(f(spark, D)), f.__name__
+
+
+def test_lists_between_runs_are_looked_up_by_block(spark):
+    pages = [1, 2, 63, 66, 90, 91, 127, 129, 170, 171, 200, 250, 251, 252]
+    d = spark.createDataFrame([(1, "A1", p) for p in pages] + [(2, "A1", p) for p in pages], "volume int, code string, page int")
+    lists = spark.createDataFrame([(1, 64, ["A1"]), (1, 64, ["X"]), (1, 128, ["AB1"]), (1, 171, ["A1"]), (1, 90, ["Z"]), (1, 255, ["B9"])], "volume int, page int, codes array<string>")
+    marks = spark.createDataFrame([(1, "A1", 200), (2, "A1", 63)], "volume int, code string, page int")
+    out = placement.clusters(d, ["code"], lists, marks)
+    cut = [(1, 2), (63, 63), (66, 127), (129, 129), (170, 200), (250, 252)]
+    assert rows(out.filter("volume = 1"), "first", "last") == sorted(cut, key=str)
+    assert rows(out.filter("volume = 2"), "first", "last") == sorted([(1, 2), (63, 129), (170, 200), (250, 252)], key=str)
+    assert rows(out.filter("kept"), "volume", "first") == [(1, 170), (2, 63)]
+    assert "collect_list" not in plan(out)  # a volume's lists in every run's row: quadratic
