@@ -211,7 +211,8 @@ def ends(first: DataFrame, volumes: DataFrame, edges: DataFrame, sections: DataF
     first: volume, start, floor. volumes: volume, pages. edges: volume, page, name. sections, listings: volume, page.
     """
     s = first.join(volumes.select("volume", "pages"), "volume")
-    s = s.withColumn("end0", end_before_next(F.col("start"), ["volume"], ["start", "code"], F.col("pages")))
+    order = ["start", "code", *[F.desc(c) for c in ("authority", "article") if c in first.columns]]  # no ties but for equal keys
+    s = s.withColumn("end0", end_before_next(F.col("start"), ["volume"], order, F.col("pages")))
     lists = lambda df, x, n: df.groupBy("volume").agg(F.array_sort(F.collect_set(x)).alias(n))  # noqa: E731  a few dozen a volume
     for df, x, n in ((edges, F.struct("page", "name"), "_edges"), (sections, F.col("page"), "_sections"), (listings, F.col("page"), "_lists")):
         s = s.join(lists(df, x, n), "volume", "left")

@@ -94,3 +94,12 @@ def test_lists_between_runs_are_looked_up_by_block(spark):
     assert rows(out.filter("volume = 2"), "first", "last") == sorted([(1, 2), (63, 129), (170, 200), (250, 252)], key=str)
     assert rows(out.filter("kept"), "volume", "first") == [(1, 170), (2, 63)]
     assert "collect_list" not in plan(out)  # a volume's lists in every run's row: quadratic
+
+
+def test_spans_of_one_page_and_code_end_in_a_fixed_order(spark):
+    names = ["DOG", "MAE", "MEF"]
+    s = spark.createDataFrame([(1, a, "A1", 5, 5) for a in names] + [(1, "MAE", "B1", 9, 9)], "volume int, authority string, code string, start int, floor int")
+    none = spark.createDataFrame([], "volume int, page int, name string, codes array<string>")
+    for first in (s, s.orderBy("authority"), s.orderBy(F.desc("authority"))):
+        e = placement.ends(first.coalesce(1), spark.createDataFrame([(1, 20)], "volume int, pages int"), none, none, none)
+        assert rows(e, "authority", "code", "end0") == [("DOG", "A1", 8), ("MAE", "A1", 5), ("MAE", "B1", 20), ("MEF", "A1", 5)]
