@@ -86,9 +86,9 @@ def after_line(text: Column, keyword: str) -> Column:
 
 
 def windows_of_lines(text: Column, size: int) -> Column:
-    """Every line joined with those after it, `size` in all."""
-    ls = lines(text)
-    return F.transform(ls, lambda _, i: F.array_join(F.slice(ls, i + 1, F.lit(size)), " "))
+    """Every line joined with those after it, `size` in all. The text is cut into lines once, not again for every line."""
+    joined = lambda ls: F.transform(ls, lambda _, i: F.array_join(F.slice(ls, i + 1, F.lit(size)), " "))
+    return F.get(F.transform(F.array(lines(text)), joined), F.lit(0))
 
 
 def stems(text: Column, letters: str = "a-zà-ÿ0-9", length: int = 6) -> Column:

@@ -3,6 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from pagelake.functions import numbers, text
 from pagelake.operators import ordered, placement, publish
 from pagelake.plans import order_queries, page_queries, row_queries, scan_queries, volume_queries
 from pagelake.sources import volumes
@@ -103,3 +104,10 @@ def test_spans_of_one_page_and_code_end_in_a_fixed_order(spark):
     for first in (s, s.orderBy("authority"), s.orderBy(F.desc("authority"))):
         e = placement.ends(first.coalesce(1), spark.createDataFrame([(1, 20)], "volume int, pages int"), none, none, none)
         assert rows(e, "authority", "code", "end0") == [("DOG", "A1", 8), ("MAE", "A1", 5), ("MAE", "B1", 20), ("MEF", "A1", 5)]
+
+
+def test_windows_cut_a_text_into_lines_once(spark):
+    df = spark.createDataFrame([(" a \n\nb\n c",), ("",), (None,), ("x",)], "t string")
+    out = df.select(text.windows_of_lines(F.col("t"), 2).alias("w"))
+    assert [r["w"] for r in out.collect()] == [["a b", "b c", "c"], [], None, ["x"]]
+    assert plan(out).count("split(") == 1  # inside the lambda it was cut again for every line: quadratic
