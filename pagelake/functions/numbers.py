@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DASHES = ["", "-", "–", "—", "‐", "‑", "−", "_", ".", "n.d.", "N.D.", "nd", "ND", "n/a", "N/A", "/", "null", "NULL"]
 MONEY = r"(?:€|EUR|euro)"
 NUMBER = r"\s*([-−–—])?\s*(\()?\s*(\d{1,3}(?:[.\x{00a0} ]\d{3})*|\d+)([.,]\d{1,4})?\s*(\))?(?:\s*%)?(?:\s*(?:€|EUR|euro))?\s*"
+PLAIN = r"^[1-9](?:\d{0,2}(?:\.\d{3})*|\d*),\d{1,4}\z"
 TOTAL_WORDS = r"(?i)\b(?:totale|totali|complessivo|grand\s*total)\b"
 DATE = r"(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})"
 DECIMAL = "decimal(38,4)"
@@ -37,13 +38,14 @@ def parse_number(text: Column) -> Column:
     digits that begin with 0 are codes and become empty; points between thousands go; the sign, or both parentheses,
     come before; then the text is a decimal.
     """
+    plain = F.when(text.rlike(PLAIN), F.translate(text, ",.", "."))  # most amounts: one look instead of nine replacements
     t = F.regexp_replace(_bare(text), rf"(?s)^(?!{NUMBER}$).*$", "")
     t = F.regexp_replace(t, f"^{NUMBER}$", "$1;$2;$3;$4;$5")
     t = F.regexp_replace(t, r"^[^;]*;[^;]*;0\d{1,2};(?:\.\d+)?;[^;]*$", "")
     t = F.regexp_replace(t, r"[.\x{00a0} ](?=[^;]*;[^;]*;[^;]*$)", "")
     t = F.regexp_replace(t, r"^(?:[-−–—];\(?;|;\(;(?=.*;\)$))(\d+);[.,]?(\d*);\)?$", "-$1.$2")
     t = F.regexp_replace(t, r"^;\(?;(\d+);[.,]?(\d*);\)?$", "$1.$2")
-    return t.try_cast(DECIMAL)
+    return F.coalesce(plain, t).try_cast(DECIMAL)
 
 
 def parse_date(text: Column) -> Column:

@@ -111,3 +111,11 @@ def test_windows_cut_a_text_into_lines_once(spark):
     out = df.select(text.windows_of_lines(F.col("t"), 2).alias("w"))
     assert [r["w"] for r in out.collect()] == [["a b", "b c", "c"], [], None, ["x"]]
     assert plan(out).count("split(") == 1  # inside the lambda it was cut again for every line: quadratic
+
+
+def test_plain_amounts_are_read_at_one_look(spark):
+    cases = [("1,5", "1.5000"), ("12.345.678,90", "12345678.9000"), ("1234,5", "1234.5000"), ("1.23,4", None), ("012,5", "12.5000"), ("0,5", "0.5000"), ("1.000,5 ", "1000.5000"), ("1,50\n", "1.5000"), ("-1,5", "-1.5000"), ("016", None)]
+    df = spark.createDataFrame([(a,) for a, _ in cases], "t string")
+    out = df.select("t", numbers.parse_number(F.col("t")).cast("string").alias("v"))
+    assert rows(out) == sorted(cases, key=str)
+    assert "translate" in plan(out)
