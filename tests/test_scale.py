@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from pagelake.functions import numbers, text
-from pagelake.operators import ordered, placement, publish
+from pagelake.operators import ordered, placement, publish, reader
 from pagelake.plans import order_queries, page_queries, row_queries, scan_queries, volume_queries
 from pagelake.sources import volumes
 
@@ -119,3 +119,9 @@ def test_plain_amounts_are_read_at_one_look(spark):
     out = df.select("t", numbers.parse_number(F.col("t")).cast("string").alias("v"))
     assert rows(out) == sorted(cases, key=str)
     assert "translate" in plan(out)
+
+
+def test_pages_are_objects_a_hundred_at_a_time(spark):
+    seen = reader._by_page(lambda w: [{"kind": "n", "text": str(len(w))}], "array<struct<kind:string,text:string>>", reader.OUTSIDE)
+    df = spark.range(3 * reader.AT_ONCE + 1).coalesce(1).select("id", F.array_repeat(F.lit("x"), (F.col("id") % 7).cast("int")).alias("w"))
+    assert all(r["s"][0]["text"] == str(r["id"] % 7) for r in df.select("id", seen("w").alias("s")).collect())
